@@ -49,6 +49,20 @@ def time_of_day(ts) -> Column:
     return bucket(F.hour(_col(ts)), TIME_OF_DAY, TIME_OF_DAY_ELSE)
 
 
+TIME_OF_DAY_LABELS = [label for label, _ in TIME_OF_DAY] + [TIME_OF_DAY_ELSE]
+
+
+def time_of_day_code(ts) -> Column:
+    """Index of the time-of-day bucket (0-based, same first-match rule) as a
+    tinyint: a compact grouping key; :func:`time_of_day_label` maps it back."""
+    buckets = [(i, hours) for i, (_, hours) in enumerate(TIME_OF_DAY)]
+    return bucket(F.hour(_col(ts)), buckets, len(TIME_OF_DAY)).cast("tinyint")
+
+
+def time_of_day_label(code) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in TIME_OF_DAY_LABELS]), _col(code).cast("int") + 1)
+
+
 def season(ts) -> Column:
     return bucket(F.month(_col(ts)), SEASONS, SEASON_ELSE)
 

@@ -29,8 +29,9 @@ MAX_CATEGORIES = 3
 def level_map(spark: SparkSession, levels: dict | None = None) -> DataFrame:
     """(name, level) rows from a literal level dictionary."""
     levels = levels or LEVELS
-    rows = [(name, level) for level, names in levels.items() for name in names]
-    return spark.createDataFrame(rows, "name string, level string")
+    rows = [F.struct(F.lit(name).alias("name"), F.lit(level).alias("level"))
+            for level, names in levels.items() for name in names]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def bridge_join(product: DataFrame, category: DataFrame, product_categories: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +52,17 @@ def conform(dim: DataFrame, spec: DimensionSpec, schema: T.StructType | None = N
 
 
 def empty_dimension(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def seed_members(spark: SparkSession, rows: Sequence[dict], schema: T.StructType) -> DataFrame:
-    """Default members (key given explicitly), missing attributes NULL."""
-    return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
+    """Default members (key given explicitly), missing attributes NULL.
+    Built from literals on the JVM side (no Python round trip)."""
+    if not rows:
+        return empty_dimension(spark, schema)
+    parts = [spark.range(1).select(*[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name)
+                                     for f in schema.fields]) for r in rows]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def first_per_key(rows: DataFrame, keys: Sequence[str], attrs: Sequence[str], seq: str,

@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import chain
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,11 @@ def assign_keys(df: DataFrame, order_cols: Sequence, key: str = "id", start: int
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(order_cols)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # The input is computed once: range sampling, the checkpoint job and its
+    # write all read the persisted copy, which is dropped once checkpointed.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = source.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    source.unpersist()
 
     pid = F.spark_partition_id()
     counts = sorted((r["pid"], r["n"]) for r in

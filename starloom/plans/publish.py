@@ -59,7 +59,7 @@ def write_run(spark: SparkSession, tables: dict[str, DataFrame], root: str | Non
         if name == "salesfact" and fact_partitions:
             out = out.repartition(fact_partitions, "timeid")
         out.write.mode("overwrite").parquet(f"{root}/runs/{run_id}/{name}")
-    pointer = spark.createDataFrame([(run_id,)], "run_id string")
+    pointer = spark.range(1).select(F.lit(run_id).alias("run_id"))
     pointer.coalesce(1).write.mode("overwrite").json(f"{root}/_current")
     return run_id
 

@@ -23,7 +23,12 @@ from pyspark.sql import functions as F
 from starloom import schemas
 from starloom.functions.money import hundredths_to_money
 from starloom.functions.recode import GENDER_CODES, bool_label, fill_defaults, recode
-from starloom.functions.timeparts import calendar_from_date, time_member_columns, time_of_day
+from starloom.functions.timeparts import (
+    calendar_from_date,
+    time_member_columns,
+    time_of_day_code,
+    time_of_day_label,
+)
 from starloom.operators import categories as cat
 from starloom.operators.dims import (
     conform,
@@ -159,13 +164,18 @@ def keyed_sales(src: Operational, product: DataFrame, member: DataFrame, room: D
     pmap = small_side(product_key_map(src, product, on_missing_product))
     mmap = small_side(member_key_map(src, member))
     rmap = small_side(room_key_map(src, room))
+    # The moment travels as (date, tinyint bucket): a narrow shuffle key; the
+    # calendar columns are derived after the aggregate, on far fewer rows.
     ts = F.col("ts")
     sales = src.sale.select("product_id", "room_id", "member_id", "price",
-                            F.year(ts).alias("year"), F.month(ts).alias("month"),
-                            F.dayofmonth(ts).alias("day"), time_of_day(ts).alias("time_of_day"))
+                            F.to_date(ts).alias("sale_date"), time_of_day_code(ts).alias("tod"))
     priced = sales.join(pmap, "product_id").join(rmap, "room_id").join(mmap, "member_id")
-    return (priced.groupBy("productid", "memberid", "roomid", *TIME_LOOKUP)
-            .agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("unit_sales")))
+    agg = (priced.groupBy("productid", "memberid", "roomid", "sale_date", "tod")
+           .agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("unit_sales")))
+    d = F.col("sale_date")
+    return agg.select("productid", "memberid", "roomid", F.year(d).alias("year"), F.month(d).alias("month"),
+                      F.dayofmonth(d).alias("day"), time_of_day_label("tod").alias("time_of_day"),
+                      "price", "unit_sales")
 
 
 def time_dimension_from_moments(moments: DataFrame) -> DataFrame:
