@@ -152,6 +152,9 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     skewed partitions."""
     if on_missing not in POLICIES:
         raise ValueError(f"on_missing must be one of {POLICIES}")
+    default = spec.default_id if default_id is None else default_id
+    if on_missing == "default" and default is None:
+        raise ValueError(f"dimension {spec.name} has no default member")
     natural = list(spec.lookup)
     on = list(on or natural)
     kmap = key_map(dim, spec) if dedupe else dim.select(*natural, spec.key)
@@ -159,9 +162,6 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     joined = facts.join(small_side(kmap), on, "left")
     key = F.col(spec.key)
     if on_missing == "default":
-        default = spec.default_id if default_id is None else default_id
-        if default is None:
-            raise ValueError(f"dimension {spec.name} has no default member")
         key = F.coalesce(key, F.lit(default).cast("long"))
     elif on_missing == "error":
         msg = F.concat(F.lit(f"no {spec.name} member for "),
