@@ -20,9 +20,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """(``df`` with a broadcast hint, True) if its size is proven small,
+    else (``df``, False)."""
+    small = fits_broadcast(df, max_rows)
+    return (F.broadcast(df) if small else df), small
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its size is proven small, else as is."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return sized(df, max_rows)[0]
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",

@@ -16,8 +16,6 @@ NULLs first)`` for any number of partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import chain
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,18 +48,21 @@ def assign_keys(df: DataFrame, order_cols: Sequence, key: str = "id", start: int
     source.unpersist()
 
     pid = F.spark_partition_id()
-    counts = sorted((r["pid"], r["n"]) for r in
-                    ranged.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, total = {}, 0
-    for p, c in counts:
-        offsets[p] = total
-        total += c
-    if not offsets:
-        return ranged.withColumn(key, F.lit(None).cast("long"))
-    offset_of = F.create_map(*[F.lit(x) for x in chain.from_iterable(offsets.items())])[pid]
+    counts = dict((r["pid"], r["n"]) for r in
+                  ranged.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n")).collect())
+    if not counts:
+        return ranged.select(F.lit(None).cast("long").alias(key), *ranged.columns)
+    # offsets[p] = rows in partitions before p; one entry per partition, so
+    # the literal is bounded by the partition count. Catalyst folds it into
+    # a constant array: an O(1) lookup per row.
+    offsets, total = [], 0
+    for p in range(max(counts) + 1):
+        offsets.append(total)
+        total += counts.get(p, 0)
+    offset_of = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _ROW_BITS)
     start_col = start if isinstance(start, Column) else F.lit(start)
-    keyed = start_col.cast("long") + offset_of.cast("long") + position
+    keyed = start_col.cast("long") + offset_of + position
     return ranged.select(keyed.alias(key), *[F.col(c) for c in ranged.columns])
 
 

@@ -53,7 +53,7 @@ from starloom.operators.facts import (
     staged_sales,
     time_dimension,
 )
-from starloom.operators.joins import small_side
+from starloom.operators.joins import sized, small_side
 from starloom.operators.keys import assign_keys
 
 # Default members seeded before any load.
@@ -155,23 +155,36 @@ def room_key_map(src: Operational, room: DataFrame) -> DataFrame:
 
 
 def keyed_sales(src: Operational, product: DataFrame, member: DataFrame, room: DataFrame,
-                on_missing_product: str = "default") -> DataFrame:
-    """Sales aggregated once at the final grain (three keys + moment).
-
-    The key maps are dimension-sized and joined map-side when their size is
-    checked small, so the only shuffle of sale data is this aggregate, and
-    its partial (map-side) step collapses hot keys before the exchange."""
-    pmap = small_side(product_key_map(src, product, on_missing_product))
-    mmap = small_side(member_key_map(src, member))
-    rmap = small_side(room_key_map(src, room))
-    # The moment travels as (date, tinyint bucket): a narrow shuffle key; the
-    # calendar columns are derived after the aggregate, on far fewer rows.
+                on_missing_product: str = "default", max_broadcast_rows: int | None = None) -> DataFrame:
+    """Sales aggregated at the final grain (three keys + moment).
+
+    The moment travels as (date, tinyint bucket): a narrow shuffle key; the
+    calendar columns are derived after the aggregate, on far fewer rows.
+
+    * Key maps proven small (the usual case: they have one row per product,
+      member or room) are joined map-side, and the aggregate by key is the
+      only shuffle of sale data; its partial step collapses hot keys first.
+    * Otherwise sales are first aggregated by source ids (partial
+      aggregation again absorbs a hot product or member before any
+      exchange), the much smaller result is shuffle-joined to the maps (AQE
+      splits skewed partitions), and regrouped by surrogate key."""
+    limit = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
+    pmap, p_small = sized(product_key_map(src, product, on_missing_product), **limit)
+    mmap, m_small = sized(member_key_map(src, member), **limit)
+    rmap, r_small = sized(room_key_map(src, room), **limit)
     ts = F.col("ts")
     sales = src.sale.select("product_id", "room_id", "member_id", "price",
                             F.to_date(ts).alias("sale_date"), time_of_day_code(ts).alias("tod"))
-    priced = sales.join(pmap, "product_id").join(rmap, "room_id").join(mmap, "member_id")
-    agg = (priced.groupBy("productid", "memberid", "roomid", "sale_date", "tod")
-           .agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("unit_sales")))
+    moment = ["sale_date", "tod"]
+    measures = [F.sum("price").alias("price"), F.count(F.lit(1)).alias("unit_sales")]
+    if p_small and m_small and r_small:
+        priced = sales.join(pmap, "product_id").join(rmap, "room_id").join(mmap, "member_id")
+        agg = priced.groupBy("productid", "memberid", "roomid", *moment).agg(*measures)
+    else:
+        by_source = sales.groupBy("product_id", "room_id", "member_id", *moment).agg(*measures)
+        priced = by_source.join(pmap, "product_id").join(rmap, "room_id").join(mmap, "member_id")
+        agg = (priced.groupBy("productid", "memberid", "roomid", *moment)
+               .agg(F.sum("price").alias("price"), F.sum("unit_sales").alias("unit_sales")))
     d = F.col("sale_date")
     return agg.select("productid", "memberid", "roomid", F.year(d).alias("year"), F.month(d).alias("month"),
                       F.dayofmonth(d).alias("day"), time_of_day_label("tod").alias("time_of_day"),
@@ -186,11 +199,14 @@ def time_dimension_from_moments(moments: DataFrame) -> DataFrame:
 
 
 def keys_first_load(spark: SparkSession, src: Operational, levels: DataFrame,
-                    on_missing_product: str = "default") -> Warehouse:
+                    on_missing_product: str = "default", max_broadcast_rows: int | None = None) -> Warehouse:
     product = product_dimension(spark, product_rows(src, levels))
     member = member_dimension(spark, src.member)
     room = room_dimension(spark, src.room)
-    agg = keyed_sales(src, product, member, room, on_missing_product).persist(StorageLevel.MEMORY_AND_DISK)
+    agg = keyed_sales(src, product, member, room, on_missing_product, max_broadcast_rows)
+    # Read twice (time members, fact rows): kept, so the sale table is
+    # scanned and shuffled once; lost blocks are recomputed from lineage.
+    agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
     time = time_dimension_from_moments(agg)
     tkeys = small_side(time.select("timeid", *TIME_LOOKUP))
     fact = agg.join(tkeys, TIME_LOOKUP).select(

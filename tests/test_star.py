@@ -87,3 +87,27 @@ def test_publish_round_trip(spark, loads, tmp_path):
     publish.write_run(spark, {"room": loads["first"].room}, root=root, run_id="r2")
     assert publish.current_run(spark, root) == "r2"
     assert publish.read_table(spark, "salesfact", root=root, run_id="r1").count() == back.count()
+
+
+def test_shuffle_path_equals_broadcast_path(spark, loads):
+    src = loads["src"]
+    wh = star.keys_first_load(spark, operational(src, gap=True), src.level_map(gap=True), max_broadcast_rows=0)
+    assert _rows(wh.salesfact) == _rows(loads["gap_first"].salesfact)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_plan_shape(spark, loads):
+    src = loads["src"]
+    op = operational(src)
+    wh = loads["first"]
+    agg = star.keyed_sales(op, wh.product, wh.member, wh.room)
+    plan = _plan(agg)
+    # sale data: joined map-side, exactly one exchange (the aggregate by key);
+    # no single-partition window; Python only below a broadcast (dimension side)
+    sale_side = plan.split("BroadcastExchange")[0]
+    assert "SinglePartition" not in sale_side and "Window" not in sale_side
+    assert sale_side.count("Exchange hashpartitioning") == 1
+    assert "ArrowEvalPython" not in sale_side and "BatchEvalPython" not in sale_side
