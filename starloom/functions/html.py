@@ -1,13 +1,16 @@
 """HTML markup -> plain text, as a column expression.
 
-Structure is removed on the JVM side with regular expressions, in this order
-(a script may hold a string such as "</p>"):
+Structure is removed on the JVM side by one regular expression read left to
+right, like an HTML tokenizer (so a script's string "</p>" or a "<!--" inside
+a script never starts a new construct):
 
-1. comments ``<!-- ... -->`` (an unterminated one runs to the end),
-2. ``script`` / ``style`` / ``template`` elements with their content,
-3. every other tag, declaration or processing instruction
-   (``<x ...>``, ``</x>``, ``<!...>``, ``<?...>``); a tag cut off by the end
-   of the text is dropped, as an HTML tokenizer does at end of input.
+* comments ``<!-- ... -->``,
+* ``script`` / ``style`` / ``template`` elements with their content,
+* every other tag, declaration or processing instruction
+  (``<x ...>``, ``</x>``, ``<!...>``, ``<?...>``).
+
+A construct cut off by the end of the text runs to the end and is dropped,
+as an HTML tokenizer does at end of input.
 
 Character references are then decoded in a single pass (HTML5 rules, so
 ``&amp;lt;`` becomes ``&lt;`` and not ``<``). Text whose only references
@@ -25,11 +28,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_COMMENT = r"(?s)<!--.*?-->"
-_OPEN_COMMENT = r"(?s)<!--.*\z"
 _RAW_TEXT_ELEMENTS = ("script", "style", "template")
-_TAG = r"<[A-Za-z/!?][^>]*>"
-_OPEN_TAG = r"<[A-Za-z/!?][^>]*\z"
+# At each '<' the first alternative that matches wins.
+_MARKUP = "(?is)" + "|".join(
+    [r"<!--.*?(?:-->|\z)"]
+    + [rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in _RAW_TEXT_ELEMENTS]
+    + [r"<[a-z/!?][^>]*(?:>|\z)"])
 
 # The named references decoded natively, '&amp;' applied last.
 _BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
@@ -42,14 +46,8 @@ def _col(c) -> Column:
 
 
 def strip_markup(value) -> Column:
-    """Steps 1-3: markup removed, references still encoded."""
-    s = F.regexp_replace(_col(value), _COMMENT, "")
-    s = F.regexp_replace(s, _OPEN_COMMENT, "")
-    for tag in _RAW_TEXT_ELEMENTS:
-        s = F.regexp_replace(s, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-        s = F.regexp_replace(s, rf"(?is)<{tag}\b[^>]*>.*\z", "")
-    s = F.regexp_replace(s, _TAG, "")
-    return F.regexp_replace(s, _OPEN_TAG, "")
+    """Markup removed, references still encoded."""
+    return F.regexp_replace(_col(value), _MARKUP, "")
 
 
 def _decode_basic(s: Column) -> Column:

@@ -11,18 +11,27 @@
 
 The result equals ``start - 1 + row_number() over (order by natural key,
 NULLs first)`` for any number of partitions.
+
+Inputs proven small (at most ``LOCAL_MAX_ROWS`` rows, checked by reading at
+most one row more) take the plain window: one task sorts a bounded number of
+rows, and with every column as a tie-breaker the numbering is the same on
+every recomputation, so no checkpoint is needed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.session import checkpoint_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row position
+# Largest input numbered by a single window task.
+LOCAL_MAX_ROWS = 100_000
 
 
 def _order(cols: Sequence) -> list[Column]:
@@ -30,13 +39,19 @@ def _order(cols: Sequence) -> list[Column]:
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence, key: str = "id", start: int | Column = 1,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, local_max_rows: int = LOCAL_MAX_ROWS) -> DataFrame:
     """Add ``key``: dense ids ``start, start+1, ...`` in ``order_cols`` order.
 
     ``order_cols`` should identify rows uniquely (ties get an arbitrary but
     fixed order). ``start`` may be a literal or a Column such as the result
     of :func:`next_key`.
     """
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    if local_max_rows > 0 and df.limit(local_max_rows + 1).count() <= local_max_rows:
+        ties = [c for c in df.columns if c not in order_cols]
+        w = W.orderBy(*_order(list(order_cols) + ties))
+        keyed = start_col.cast("long") + F.row_number().over(w) - 1
+        return df.select(keyed.alias(key), *[F.col(c) for c in df.columns])
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -61,11 +76,18 @@ def assign_keys(df: DataFrame, order_cols: Sequence, key: str = "id", start: int
         total += counts.get(p, 0)
     offset_of = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
     position = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), _ROW_BITS)
-    start_col = start if isinstance(start, Column) else F.lit(start)
     keyed = start_col.cast("long") + offset_of + position
     return ranged.select(keyed.alias(key), *[F.col(c) for c in ranged.columns])
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint
+    (in the cluster's shared ``spark.checkpoint.dir``). Used for finished
+    dimensions, which every lookup reads again."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def next_key(dim: DataFrame, key: str) -> int:
     """1 + the largest key of a dimension (1 when empty)."""
     top = dim.agg(F.max(key).alias("m")).collect()[0]["m"]

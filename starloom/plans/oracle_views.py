@@ -90,17 +90,17 @@ SEASON = """case when month({ts}) in (12,1,2) then 'Winter'
      when month({ts}) in (3,4,5) then 'Spring'
      when month({ts}) in (6,7,8) then 'Summer' else 'Fall' end"""
 GENDER = """case {g} when 'M' then 'Male' when 'F' then 'Female' when 'U' then 'Undefined' end"""
-# Markup removal and the reference decoding that occurs in the fixtures.
-HTML_TEXT = """replace(replace(replace(replace(replace(replace(replace(replace(
-  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-  regexp_replace(regexp_replace(regexp_replace(regexp_replace({x},
-    '(?s)<!--.*?-->', '', 'g'), '(?s)<!--.*\\z', '', 'g'),
-    '(?is)<script\\b[^>]*>.*?</script\\s*>', '', 'g'), '(?is)<script\\b[^>]*>.*\\z', '', 'g'),
-    '(?is)<style\\b[^>]*>.*?</style\\s*>', '', 'g'), '(?is)<style\\b[^>]*>.*\\z', '', 'g'),
-    '(?is)<template\\b[^>]*>.*?</template\\s*>', '', 'g'), '(?is)<template\\b[^>]*>.*\\z', '', 'g'),
-    '<[A-Za-z/!?][^>]*>', '', 'g'), '<[A-Za-z/!?][^>]*\\z', '', 'g'),
-  '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'),
-  '&quot;', '"'), '&apos;', ''''), '&#39;', '''')"""
+# Markup removal in one leftmost-first pass, then the references that occur
+# in the fixtures ('&amp' is decoded last, in html_text_sql).
+MARKUP = (r"(?is)<!--.*?(?:-->|\z)"
+          r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
+          r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+          r"|<template\b[^>]*>.*?(?:</template\s*>|\z)"
+          r"|<[a-z/!?][^>]*(?:>|\z)")
+HTML_TEXT = ("replace(replace(replace(replace(replace(replace(replace(replace("
+             "regexp_replace({x}, '" + MARKUP + "', '', 'g'), "
+             "'&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), "
+             "'&quot;', '\"'), '&apos;', ''''), '&#39;', '''')")
 
 
 def html_text_sql(x: str) -> str:

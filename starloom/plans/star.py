@@ -54,7 +54,7 @@ from starloom.operators.facts import (
     time_dimension,
 )
 from starloom.operators.joins import sized, small_side
-from starloom.operators.keys import assign_keys
+from starloom.operators.keys import assign_keys, materialize
 
 # Default members seeded before any load.
 PRODUCT_SEED = {"productid": 1, "product_name": "undefined", "status": "inactive", "alcohol_content_ml": 0.0}
@@ -101,7 +101,7 @@ def product_rows(src: Operational, levels: DataFrame) -> DataFrame:
 
 def product_dimension(spark: SparkSession, rows: DataFrame) -> DataFrame:
     seed = seed_members(spark, [PRODUCT_SEED], schemas.PRODUCT)
-    return conform(scd1_upsert(seed, rows, PRODUCT_SPEC, seq="id"), PRODUCT_SPEC, schemas.PRODUCT)
+    return materialize(conform(scd1_upsert(seed, rows, PRODUCT_SPEC, seq="id"), PRODUCT_SPEC, schemas.PRODUCT))
 
 
 def member_rows(member: DataFrame, on_unknown: str = "error") -> DataFrame:
@@ -112,13 +112,13 @@ def member_rows(member: DataFrame, on_unknown: str = "error") -> DataFrame:
 
 def member_dimension(spark: SparkSession, member: DataFrame) -> DataFrame:
     dim = dim_ensure(empty_dimension(spark, schemas.MEMBER), member_rows(member), MEMBER_SPEC)
-    return conform(dim, MEMBER_SPEC, schemas.MEMBER)
+    return materialize(conform(dim, MEMBER_SPEC, schemas.MEMBER))
 
 
 def room_dimension(spark: SparkSession, room: DataFrame) -> DataFrame:
     seed = seed_members(spark, [ROOM_SEED], schemas.ROOM)
     rows = room.select("id", F.col("name").alias("room_name"))
-    return conform(dim_insert(seed, rows, ROOM_SPEC, order=["id"]), ROOM_SPEC, schemas.ROOM)
+    return materialize(conform(dim_insert(seed, rows, ROOM_SPEC, order=["id"]), ROOM_SPEC, schemas.ROOM))
 
 
 # -- two-stage plan -------------------------------------------------------------
@@ -129,7 +129,7 @@ def two_stage_load(spark: SparkSession, src: Operational, levels: DataFrame,
     room = room_dimension(spark, src.room)
     staged = staged_sales(sales_aggregated(src.sale, src.product, src.room, src.member))
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    time = conform(time_dimension(staged), TIME_SPEC, schemas.TIME)
+    time = materialize(conform(time_dimension(staged), TIME_SPEC, schemas.TIME))
     fact = load_facts(reaggregate(staged), time, product, member, room, on_missing_product)
     return Warehouse(product, member, room, time, fact)
 
@@ -195,7 +195,7 @@ def time_dimension_from_moments(moments: DataFrame) -> DataFrame:
     members = (moments.select(*TIME_LOOKUP).distinct()
                .select(*TIME_LOOKUP, *calendar_from_date())
                .select(*TIME_LOOKUP, "season", "day_of_week", *time_member_columns()))
-    return conform(assign_keys(members, TIME_LOOKUP, key="timeid"), TIME_SPEC, schemas.TIME)
+    return materialize(conform(assign_keys(members, TIME_LOOKUP, key="timeid"), TIME_SPEC, schemas.TIME))
 
 
 def keys_first_load(spark: SparkSession, src: Operational, levels: DataFrame,

@@ -94,6 +94,9 @@ def test_fill_defaults(spark):
     ("not &am entity", "not &am entity"),
     ("<!DOCTYPE html><title>T</title>", "T"),
     ("a < b", "a < b"),
+    ("<script>if (a<!--b) x()</script>after", "after"),
+    ("<p>x<!-- never closed", "x"),
+    ("<SCRIPT type=t>x</SCRIPT>y", "y"),
 ])
 def test_html_text(spark, raw, text):
     df = spark.createDataFrame([(raw,)], "s string")

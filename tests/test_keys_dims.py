@@ -22,22 +22,31 @@ from conftest import SF_MID
 @pytest.mark.parametrize("n", [1, 4, 50, 200])
 def test_assign_keys_matches_row_number(spark, n):
     li = spark.read.parquet(f"{SF_MID}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct()
-    keyed = assign_keys(li, ["l_orderkey", "l_linenumber"], key="id", num_partitions=n)
+    keyed = assign_keys(li, ["l_orderkey", "l_linenumber"], key="id", num_partitions=n, local_max_rows=0)
     ref = li.withColumn("rid", F.row_number().over(W.orderBy("l_orderkey", "l_linenumber")))
     assert keyed.join(ref, ["l_orderkey", "l_linenumber"]).filter("id != rid").count() == 0
     stats = keyed.agg(F.min("id"), F.max("id"), F.countDistinct("id"), F.count("*")).first()
     assert tuple(stats) == (1, 45832, 45832, 45832)
 
 
-def test_assign_keys_nulls_first_and_start(spark):
+@pytest.mark.parametrize("local", [0, 100])
+def test_assign_keys_nulls_first_and_start(spark, local):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "k string")
-    got = sorted((r.id, r.k) for r in assign_keys(df, ["k"], key="id", start=10).collect())
+    got = sorted((r.id, r.k) for r in assign_keys(df, ["k"], key="id", start=10, local_max_rows=local).collect())
     assert got == [(10, None), (11, "a"), (12, "b")]
 
 
-def test_assign_keys_empty(spark):
+def test_small_and_distributed_paths_agree(spark):
+    li = spark.read.parquet(f"{SF_MID}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct()
+    a = assign_keys(li, ["l_orderkey", "l_linenumber"], key="id", num_partitions=7, local_max_rows=0)
+    b = assign_keys(li, ["l_orderkey", "l_linenumber"], key="id")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("local", [0, 100])
+def test_assign_keys_empty(spark, local):
     df = spark.createDataFrame([], "k string")
-    assert assign_keys(df, ["k"]).count() == 0
+    assert assign_keys(df, ["k"], local_max_rows=local).count() == 0
 
 
 SPEC = DimensionSpec("d", "key", ["name", "status", "size"], ["name"], type1=("status",))
