@@ -82,13 +82,20 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], attrs: Sequence[str], se
     return out.select(*cols)
 
 
-def _append_new(dim: DataFrame, new: DataFrame, spec: DimensionSpec) -> DataFrame:
+def _start(dim: DataFrame, spec: DimensionSpec, start: int | None) -> int:
+    """First free key: given by a caller that built ``dim`` itself (seeds),
+    else 1 + the dimension's largest key (one small job)."""
+    return next_key(dim, spec.key) if start is None else start
+
+
+def _append_new(dim: DataFrame, new: DataFrame, spec: DimensionSpec, start: int | None = None) -> DataFrame:
     keyed = assign_keys(new.select(*spec.attributes), list(spec.lookup), key=spec.key,
-                        start=next_key(dim, spec.key))
+                        start=_start(dim, spec, start))
     return dim.select(*spec.columns).unionByName(keyed.select(*spec.columns))
 
 
-def dim_ensure(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str | None = None) -> DataFrame:
+def dim_ensure(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str | None = None,
+               start: int | None = None) -> DataFrame:
     """Insert the rows whose natural key is not yet a member.
 
     Within the batch the first row of a natural key (smallest ``seq``; when
@@ -100,10 +107,11 @@ def dim_ensure(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str |
     batch = (first_per_key(rows, lookup, others, seq) if seq else
              rows.select(*spec.attributes).dropDuplicates(lookup))
     new = batch.join(dim.select(*lookup), lookup, "left_anti")
-    return _append_new(dim, new, spec)
+    return _append_new(dim, new, spec, start)
 
 
-def scd1_upsert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str) -> DataFrame:
+def scd1_upsert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str,
+                start: int | None = None) -> DataFrame:
     """Type-1 slowly changing dimension.
 
     Per natural key of the batch: plain attributes come from the first row
@@ -122,14 +130,15 @@ def scd1_upsert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str)
           if a in spec.type1 else F.col(a) for a in spec.attributes])
     new = batch.join(current.select(*lookup), lookup, "left_anti")
     keyed = assign_keys(new.select(*spec.attributes), lookup, key=spec.key,
-                        start=next_key(dim, spec.key))
+                        start=_start(dim, spec, start))
     return updated.unionByName(keyed.select(*spec.columns))
 
 
-def dim_insert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, order: Sequence[str]) -> DataFrame:
+def dim_insert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, order: Sequence[str],
+               start: int | None = None) -> DataFrame:
     """Unconditional append: every row becomes a member, duplicates
     included, keyed after the current largest key in ``order``."""
-    keyed = assign_keys(rows, list(order), key=spec.key, start=next_key(dim, spec.key))
+    keyed = assign_keys(rows, list(order), key=spec.key, start=_start(dim, spec, start))
     return dim.select(*spec.columns).unionByName(keyed.select(*spec.columns))
 
 

@@ -101,7 +101,8 @@ def product_rows(src: Operational, levels: DataFrame) -> DataFrame:
 
 def product_dimension(spark: SparkSession, rows: DataFrame) -> DataFrame:
     seed = seed_members(spark, [PRODUCT_SEED], schemas.PRODUCT)
-    return materialize(conform(scd1_upsert(seed, rows, PRODUCT_SPEC, seq="id"), PRODUCT_SPEC, schemas.PRODUCT))
+    dim = scd1_upsert(seed, rows, PRODUCT_SPEC, seq="id", start=PRODUCT_SEED["productid"] + 1)
+    return materialize(conform(dim, PRODUCT_SPEC, schemas.PRODUCT))
 
 
 def member_rows(member: DataFrame, on_unknown: str = "error") -> DataFrame:
@@ -111,14 +112,15 @@ def member_rows(member: DataFrame, on_unknown: str = "error") -> DataFrame:
 
 
 def member_dimension(spark: SparkSession, member: DataFrame) -> DataFrame:
-    dim = dim_ensure(empty_dimension(spark, schemas.MEMBER), member_rows(member), MEMBER_SPEC)
+    dim = dim_ensure(empty_dimension(spark, schemas.MEMBER), member_rows(member), MEMBER_SPEC, start=1)
     return materialize(conform(dim, MEMBER_SPEC, schemas.MEMBER))
 
 
 def room_dimension(spark: SparkSession, room: DataFrame) -> DataFrame:
     seed = seed_members(spark, [ROOM_SEED], schemas.ROOM)
     rows = room.select("id", F.col("name").alias("room_name"))
-    return materialize(conform(dim_insert(seed, rows, ROOM_SPEC, order=["id"]), ROOM_SPEC, schemas.ROOM))
+    dim = dim_insert(seed, rows, ROOM_SPEC, order=["id"], start=ROOM_SEED["roomid"] + 1)
+    return materialize(conform(dim, ROOM_SPEC, schemas.ROOM))
 
 
 # -- two-stage plan -------------------------------------------------------------
