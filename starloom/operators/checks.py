@@ -29,17 +29,19 @@ def missing_references(child: DataFrame, fk: str, parent: DataFrame, pk: str) ->
 
 
 def null_values(df: DataFrame, columns: Sequence[str], ids: Sequence[str]) -> DataFrame:
-    """Key columns that must not be NULL: one row per (id, column) hit."""
-    parts = [df.filter(F.col(c).isNull()).select(*ids, F.lit(c).alias("column")) for c in columns]
-    return reduce(DataFrame.unionAll, parts)
+    """Key columns that must not be NULL: one row per (id, column) hit.
+    One scan for all columns."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).isNull().alias("hit")) for c in columns])
+    return (df.select(*ids, F.explode(cells).alias("_c")).filter("_c.hit")
+            .select(*ids, F.col("_c.column").alias("column")))
 
 
 def too_long(df: DataFrame, limits: dict[str, int], ids: Sequence[str]) -> DataFrame:
-    """varchar(n) limits: values longer than n characters."""
-    parts = [df.filter(F.length(c) > n).select(*ids, F.lit(c).alias("column"),
-                                                F.length(c).alias("length"))
-             for c, n in limits.items()]
-    return reduce(DataFrame.unionAll, parts)
+    """varchar(n) limits: values longer than n characters. One scan."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.length(c).alias("length"),
+                               F.lit(n).alias("limit")) for c, n in limits.items()])
+    return (df.select(*ids, F.explode(cells).alias("_c")).filter("_c.length > _c.limit")
+            .select(*ids, F.col("_c.column").alias("column"), F.col("_c.length").alias("length")))
 
 
 def out_of_decimal_range(df: DataFrame, column: str, precision: int, scale: int,
@@ -51,21 +53,31 @@ def out_of_decimal_range(df: DataFrame, column: str, precision: int, scale: int,
 
 def warehouse_report(tables: dict[str, DataFrame], primary_keys: dict[str, list[str]],
                      foreign_keys: dict[str, list[tuple[str, str, str]]]) -> DataFrame:
-    """One row per (table, check, detail) with the number of violations."""
+    """One row per (table, check, detail) with the number of violations.
+
+    Per table: the primary-key check is one aggregate by key; NULL keys and
+    all foreign keys are counted in one more pass over the table (each
+    parent's keys joined in, broadcast when checked small)."""
     rows = []
     for t, pk in primary_keys.items():
-        df = tables[t]
-        rows.append(duplicate_keys(df, pk).agg(F.count(F.lit(1)).alias("violations"))
+        rows.append(duplicate_keys(tables[t], pk).agg(F.count(F.lit(1)).alias("violations"))
                     .select(F.lit(t).alias("table"), F.lit("primary_key").alias("check"),
                             F.lit(",".join(pk)).alias("detail"), "violations"))
-        for c in pk:
-            rows.append(df.filter(F.col(c).isNull()).agg(F.count(F.lit(1)).alias("violations"))
-                        .select(F.lit(t).alias("table"), F.lit("not_null").alias("check"),
-                                F.lit(c).alias("detail"), "violations"))
-    for t, fks in foreign_keys.items():
-        for fk, parent, pk in fks:
-            rows.append(missing_references(tables[t], fk, tables[parent], pk)
-                        .agg(F.count(F.lit(1)).alias("violations"))
-                        .select(F.lit(t).alias("table"), F.lit("foreign_key").alias("check"),
-                                F.lit(f"{fk}->{parent}.{pk}").alias("detail"), "violations"))
+    for t in sorted(set(primary_keys) | set(foreign_keys)):
+        df = tables[t]
+        counters = [(("not_null", c), F.col(c).isNull()) for c in primary_keys.get(t, [])]
+        for i, (fk, parent, pk) in enumerate(foreign_keys.get(t, [])):
+            keys = small_side(tables[parent].select(F.col(pk).alias(fk)).distinct()
+                              .withColumn(f"_found{i}", F.lit(True)))
+            df = df.join(keys, fk, "left")
+            counters.append((("foreign_key", f"{fk}->{parent}.{pk}"),
+                             F.col(fk).isNotNull() & F.col(f"_found{i}").isNull()))
+        if not counters:
+            continue
+        counts = df.agg(*[F.count(F.when(cond, 1)).alias(f"c{i}") for i, (_, cond) in enumerate(counters)])
+        stacked = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(detail).alias("detail"),
+                                     F.col(f"c{i}").alias("violations"))
+                            for i, ((check, detail), _) in enumerate(counters)])
+        rows.append(counts.select(F.explode(stacked).alias("_r")).select(
+            F.lit(t).alias("table"), "_r.check", "_r.detail", "_r.violations"))
     return reduce(DataFrame.unionAll, rows)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.joins import small_side
+from starloom.operators.joins import salted_join, sized
 from starloom.operators.keys import assign_keys, next_key
 
 POLICIES = ("error", "default", "null")
@@ -150,7 +150,7 @@ def key_map(dim: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: str = "error",
            default_id: int | None = None, on: Sequence[str] | None = None,
-           dedupe: bool = True) -> DataFrame:
+           dedupe: bool = True, salt: int = 0) -> DataFrame:
     """Add ``spec.key`` to ``facts`` by natural key (columns ``on`` of the
     facts, named like ``spec.lookup``).
 
@@ -158,7 +158,9 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     (NULL keys included), ``default`` uses ``default_id`` (or the spec's),
     ``null`` leaves NULL. The dimension side is broadcast only when its size
     is checked to be small; otherwise AQE plans a shuffle join and splits
-    skewed partitions."""
+    skewed partitions, or, with ``salt`` > 0, the fact side is spread over
+    ``salt`` deterministic sub-keys per natural key (for hot keys when AQE
+    skew handling is off)."""
     if on_missing not in POLICIES:
         raise ValueError(f"on_missing must be one of {POLICIES}")
     default = spec.default_id if default_id is None else default_id
@@ -168,7 +170,9 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     on = list(on or natural)
     kmap = key_map(dim, spec) if dedupe else dim.select(*natural, spec.key)
     kmap = kmap.toDF(*on, spec.key) if on != natural else kmap
-    joined = facts.join(small_side(kmap), on, "left")
+    side, small = sized(kmap)
+    joined = (salted_join(facts, kmap, on, "left", salt) if salt > 0 and not small
+              else facts.join(side, on, "left"))
     key = F.col(spec.key)
     if on_missing == "default":
         key = F.coalesce(key, F.lit(default).cast("long"))

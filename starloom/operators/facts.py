@@ -13,7 +13,7 @@ from starloom.functions.money import hundredths_to_money, money, money_sum
 from starloom.functions.recode import GENDER_CODES, recode
 from starloom.functions.timeparts import calendar_columns, time_member_columns
 from starloom.operators.dims import DimensionSpec, lookup
-from starloom.operators.joins import fits_broadcast, small_side
+from starloom.operators.joins import BROADCAST_MAX_BYTES, fits_broadcast, small_side
 from starloom.operators.keys import assign_keys
 
 # Grain of the sales aggregate and of the staging table.
@@ -68,8 +68,8 @@ def canonical_names(df: DataFrame, column: str, out: str | None = None) -> DataF
     out = out or column
     names = df.select(F.col(column).alias("_raw")).distinct()
     cleaned = names.select("_raw", html_text("_raw").alias("_clean"))
-    # the size check counts raw names (same rows), so it runs no Python
-    if fits_broadcast(names):
+    # the check reads raw names (same rows, half the bytes), so it runs no Python
+    if fits_broadcast(names, max_bytes=BROADCAST_MAX_BYTES // 2):
         cleaned = F.broadcast(cleaned)
     joined = df.join(cleaned, df[column].eqNullSafe(cleaned["_raw"]), "left")
     if out == column:

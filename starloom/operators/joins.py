@@ -4,32 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side is broadcast only when it has at most this many rows. Dimension
-# members are narrow (a few short columns), so this bounds the broadcast at
-# a few hundred MB; larger sides are shuffle-joined and AQE re-plans them
-# (skew splitting, or broadcast once the real size is known).
+# A side is broadcast only when it is proven to hold at most this many rows
+# and this many bytes of column data; larger sides are shuffle-joined and AQE
+# re-plans them (skew splitting, or broadcast once the real size is known).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
+_FIXED_WIDTH = 8  # bytes counted per non-string value (an upper bound for scalars)
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def _row_bytes(df: DataFrame) -> Column:
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH))
+    return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
-def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
+    of column data. One job that reads at most ``max_rows + 1`` rows."""
+    r = (df.limit(max_rows + 1)
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("long")).alias("b")).first())
+    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+
+
+def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+          max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
     """(``df`` with a broadcast hint, True) if its size is proven small,
     else (``df``, False)."""
-    small = fits_broadcast(df, max_rows)
+    small = fits_broadcast(df, max_rows, max_bytes)
     return (F.broadcast(df) if small else df), small
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its size is proven small, else as is."""
-    return sized(df, max_rows)[0]
+    return sized(df, max_rows, max_bytes)[0]
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",

@@ -126,3 +126,16 @@ def test_next_key_and_empty_dimension(spark):
 
 def test_product_spec_is_the_declared_one():
     assert PRODUCT_SPEC.lookup == ["product_name"] and tuple(PRODUCT_SPEC.type1) == ("status",)
+
+
+def test_salted_lookup_matches_plain(spark, monkeypatch):
+    import starloom.operators.dims as D
+
+    dim = spark.createDataFrame([(i, f"n{i}") for i in range(1, 6)], "productid long, product_name string")
+    spec = DimensionSpec("product", "productid", ["product_name"], ["product_name"], default_id=1)
+    # one hot name holds most fact rows; one name is missing
+    facts = spark.createDataFrame([("n2", i) for i in range(200)] + [("n3", 1), ("zz", 2)], "product_name string, v long")
+    plain = sorted(tuple(r) for r in lookup(facts, dim, spec, "default").collect())
+    monkeypatch.setattr(D, "sized", lambda df, *a, **k: (df, False))  # force the shuffle path
+    salted = sorted(tuple(r) for r in lookup(facts, dim, spec, "default", salt=8).collect())
+    assert salted == plain and len(salted) == 202
