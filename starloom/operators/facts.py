@@ -11,7 +11,7 @@ from starloom import schemas
 from starloom.functions.html import html_text
 from starloom.functions.money import hundredths_to_money, money, money_sum
 from starloom.functions.recode import GENDER_CODES, recode
-from starloom.functions.timeparts import calendar_columns, time_member_columns
+from starloom.functions.timeparts import calendar_columns, calendar_from_date, time_member_columns
 from starloom.operators.dims import DimensionSpec, lookup
 from starloom.operators.joins import BROADCAST_MAX_BYTES, fits_broadcast, small_side
 from starloom.operators.keys import assign_keys
@@ -97,10 +97,11 @@ def reaggregate(staged: DataFrame) -> DataFrame:
 
 def time_members(rows: DataFrame) -> DataFrame:
     """Distinct observed moments (year, month, day, time_of_day) with their
-    calendar attributes; season and weekday are functions of the date, so
-    any row of a moment gives the same values."""
-    return (rows.groupBy(*TIME_LOOKUP)
-            .agg(F.max("season").alias("season"), F.max("day_of_week").alias("day_of_week"))
+    calendar attributes. Season and weekday are functions of the date, so
+    they are derived after the distinct (a hash aggregate with no string
+    buffers) instead of being carried through it."""
+    return (rows.select(*TIME_LOOKUP).distinct()
+            .select(*TIME_LOOKUP, *calendar_from_date())
             .select(*TIME_LOOKUP, "season", "day_of_week", *time_member_columns()))
 
 

@@ -23,12 +23,7 @@ from pyspark.sql import functions as F
 from starloom import schemas
 from starloom.functions.money import hundredths_to_money
 from starloom.functions.recode import GENDER_CODES, bool_label, fill_defaults, recode
-from starloom.functions.timeparts import (
-    calendar_from_date,
-    time_member_columns,
-    time_of_day_code,
-    time_of_day_label,
-)
+from starloom.functions.timeparts import time_of_day_code, time_of_day_label
 from starloom.operators import categories as cat
 from starloom.operators.dims import (
     conform,
@@ -54,7 +49,7 @@ from starloom.operators.facts import (
     time_dimension,
 )
 from starloom.operators.joins import sized, small_side
-from starloom.operators.keys import assign_keys, materialize
+from starloom.operators.keys import materialize
 
 # Default members seeded before any load.
 PRODUCT_SEED = {"productid": 1, "product_name": "undefined", "status": "inactive", "alcohol_content_ml": 0.0}
@@ -194,10 +189,7 @@ def keyed_sales(src: Operational, product: DataFrame, member: DataFrame, room: D
 
 
 def time_dimension_from_moments(moments: DataFrame) -> DataFrame:
-    members = (moments.select(*TIME_LOOKUP).distinct()
-               .select(*TIME_LOOKUP, *calendar_from_date())
-               .select(*TIME_LOOKUP, "season", "day_of_week", *time_member_columns()))
-    return materialize(conform(assign_keys(members, TIME_LOOKUP, key="timeid"), TIME_SPEC, schemas.TIME))
+    return materialize(conform(time_dimension(moments), TIME_SPEC, schemas.TIME))
 
 
 def keys_first_load(spark: SparkSession, src: Operational, levels: DataFrame,

@@ -111,3 +111,28 @@ def test_fact_plan_shape(spark, loads):
     assert "SinglePartition" not in sale_side and "Window" not in sale_side
     assert sale_side.count("Exchange hashpartitioning") == 1
     assert "ArrowEvalPython" not in sale_side and "BatchEvalPython" not in sale_side
+
+
+def test_names_that_clean_to_one_merge(spark):
+    from starloom.operators.facts import reaggregate, staged_sales
+
+    cols = ("year int, month int, season string, day int, day_of_week string, time_of_day string, "
+            "product_name string, room_name string, gender string, is_active boolean, "
+            "kroner_sales decimal(10,2), unit_sales long")
+    base = (2024, 1, "Winter", 1, "Monday", "Noon")
+    rows = [base + ("<b>A</b> &amp; B", "Hall", "M", True, Decimal("1.50"), 1),
+            base + ("A & B", "Hall", "M", True, Decimal("2.25"), 2)]
+    staged = staged_sales(spark.createDataFrame(rows, cols))
+    assert sorted(r.product_name for r in staged.collect()) == ["A & B", "A & B"]
+    merged = reaggregate(staged).collect()
+    assert len(merged) == 1 and merged[0].kroner_sales == Decimal("3.75") and merged[0].unit_sales == 3
+    assert merged[0].gender == "Male"
+
+
+def test_missing_product_policies(spark, loads):
+    src = loads["src"]
+    op = operational(src, gap=True)
+    with pytest.raises(Exception, match="no product member"):
+        star.two_stage_load(spark, op, src.level_map(gap=True), on_missing_product="error").salesfact.collect()
+    nulls = star.two_stage_load(spark, op, src.level_map(gap=True), on_missing_product="null").salesfact
+    assert nulls.filter("productid is null").count() > 0
