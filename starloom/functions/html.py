@@ -70,3 +70,14 @@ def decode_entities(value) -> Column:
 def html_text(value) -> Column:
     """Visible text of an HTML fragment or page."""
     return decode_entities(strip_markup(value))
+
+
+def with_html_text(df, column: str, out: str):
+    """``df`` plus ``out`` = visible text of ``column``. The markup pass runs
+    once per row: its result is a column that both the native decoder and
+    the Arrow batch decoder read (a single expression would evaluate the
+    regex on each side of the Python boundary)."""
+    tmp = f"_{out}_stripped"
+    return (df.withColumn(tmp, strip_markup(column))
+            .withColumn(out, decode_entities(tmp))
+            .drop(tmp))

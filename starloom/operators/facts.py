@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.functions.html import html_text
+from starloom.functions.html import with_html_text
 from starloom.functions.money import hundredths_to_money, money, money_sum
 from starloom.functions.recode import GENDER_CODES, recode
 from starloom.functions.timeparts import calendar_columns, calendar_from_date, time_member_columns
@@ -67,7 +67,7 @@ def canonical_names(df: DataFrame, column: str, out: str | None = None) -> DataF
     size is checked small)."""
     out = out or column
     names = df.select(F.col(column).alias("_raw")).distinct()
-    cleaned = names.select("_raw", html_text("_raw").alias("_clean"))
+    cleaned = with_html_text(names, "_raw", "_clean")
     # the check reads raw names (same rows, half the bytes), so it runs no Python
     if fits_broadcast(names, max_bytes=BROADCAST_MAX_BYTES // 2):
         cleaned = F.broadcast(cleaned)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import schemas
-from starloom.functions.html import html_text
+from starloom.functions.html import with_html_text
 from starloom.functions.money import money_sum
 from starloom.functions.recode import GENDER_CODES, bool_label, fill_defaults, recode
 from starloom.functions.timeparts import date_parts, day_name, season, time_of_day, weekday_flag
@@ -151,8 +151,8 @@ def q_recode_default(spark, sf_dir):
 
 @query("html_text")
 def q_html_text(spark, sf_dir):
-    pages = Sources(spark, sf_dir).table("pages")
-    return pages.select("page_id", html_text("html").alias("text"))
+    pages = Sources(spark, sf_dir).table("pages").select("page_id", "html")
+    return with_html_text(pages, "html", "text").select("page_id", "text")
 
 
 @query("canonical_names")
