@@ -196,8 +196,8 @@ ORACLES: dict[str, str] = {
     "bridge_join": with_views("v_product", "v_product_categories", "v_category") + """
 select p.id, p.name pname, c.name cname, p.active, p.alcohol_content_ml
 from v_product p join v_product_categories pc on p.id = pc.product_id join v_category c on c.id = pc.category_id""",
-    "rank_in_group": _products(upto="ranked") + "select id, pname, cname, rn from ranked",
-    "topk_per_group": _products(upto="ranked") + "select id, cname, rn from ranked where rn <= 3",
+    "rank_in_group": _products(upto="ranked") + "select id, pname, cname, cast(rn as int) rn from ranked",
+    "topk_per_group": _products(upto="ranked") + "select id, cname, cast(rn as int) rn from ranked where rn <= 3",
     "category_pivot": _products(upto="pivoted") + "select * from pivoted",
     "category_route": _products(upto="routed") + "select id, product_type, category, subcategory from routed",
     "fill_defaults": _products(upto="routed") + """
@@ -291,7 +291,7 @@ from fact f join time_dim t on t.timeid = f.timeid join product_dim p on p.produ
                  "(select 1 from labels l where l.doc_id = d.doc_id)"),
     "check_not_null": ("select d.doc_id, 'quality' \"column\" from documents d left join labels l "
                        "on l.doc_id = d.doc_id where l.quality is null"),
-    "check_length": ("select doc_id, 'text' \"column\", length(text) length from documents "
+    "check_length": ("select doc_id, 'text' \"column\", cast(length(text) as int) length from documents "
                      "where length(text) > 100"),
     "check_decimal_range": ("select l_orderkey, l_linenumber, l_extendedprice * 1000 value from lineitem "
                             "where l_extendedprice * 1000 is not null "
