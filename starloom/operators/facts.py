@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.functions.html import with_html_text
-from starloom.functions.money import hundredths_to_money, money, money_sum
+from starloom.functions.money import money, money_sum
 from starloom.functions.recode import GENDER_CODES, recode
 from starloom.functions.timeparts import calendar_columns, calendar_from_date, time_member_columns
 from starloom.operators.dims import DimensionSpec, lookup
@@ -24,7 +24,6 @@ TIME_LOOKUP = ["year", "month", "day", "time_of_day"]
 TIME_ATTRIBUTES = ["year", "month", "day", "time_of_day", "season", "day_of_week", "is_weekday",
                    "holiday", "event"]
 FACT_KEYS = ["timeid", "productid", "memberid", "roomid"]
-MEASURES = ["kroner_sales", "unit_sales"]
 
 PRODUCT_SPEC = DimensionSpec("product", "productid",
                              ["product_type", "category", "subcategory", "product_name", "status",
@@ -127,11 +126,3 @@ def regroup_facts(f: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
             .agg(money(F.sum("kroner_sales")).alias("kroner_sales"),
                  F.sum("unit_sales").cast("long").alias("unit_sales"))
             .select(*schemas.SALESFACT.fieldNames()))
-
-
-def facts_from_hundredths(f: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
-    """Keys-first fact rows straight from priced sales (price in hundredths)."""
-    return (f.groupBy(*keys)
-            .agg(hundredths_to_money(F.sum("price")).alias("kroner_sales"),
-                 F.count(F.lit(1)).alias("unit_sales"))
-            .select(*schemas.SALESFACT.fieldNames()))

@@ -26,3 +26,21 @@ def test_too_long_101_characters(spark):
 def test_decimal_range(spark):
     df = spark.createDataFrame([(1, 99999999.99), (2, 100000000.00), (3, None)], "id long, v double")
     assert [r.id for r in checks.out_of_decimal_range(df, "v", 10, 2, ["id"]).collect()] == [2]
+
+
+def test_bridge_file_round_trip(spark, tmp_path):
+    from starloom.plans import publish
+    from starloom.sources.fixtures import Sources
+    from starloom.sources.readers import read_pairs
+
+    from conftest import SF_SMALL
+
+    pairs = Sources(spark, SF_SMALL).product_categories()
+    path = str(tmp_path / "bridge_csv")
+    pairs.write.option("header", "true").csv(path)
+    back = read_pairs(spark, path)
+    replaced = publish.replace_table(spark, back, "bridge", root=str(tmp_path / "wh"))
+    assert sorted(map(tuple, replaced.collect())) == sorted(map(tuple, pairs.collect()))
+    # a second replace overwrites instead of appending
+    replaced = publish.replace_table(spark, back.limit(5), "bridge", root=str(tmp_path / "wh"))
+    assert replaced.count() == 5
