@@ -136,3 +136,18 @@ def test_missing_product_policies(spark, loads):
         star.two_stage_load(spark, op, src.level_map(gap=True), on_missing_product="error").salesfact.collect()
     nulls = star.two_stage_load(spark, op, src.level_map(gap=True), on_missing_product="null").salesfact
     assert nulls.filter("productid is null").count() > 0
+
+
+def test_job_from_parquet_tables(spark, loads, tmp_path):
+    from starloom.plans import job
+
+    src = loads["src"]
+    op = operational(src)
+    tables_dir = tmp_path / "oltp"
+    for name in job.OPERATIONAL:
+        getattr(op, name).write.parquet(str(tables_dir / name))
+    run_id, report = job.run(spark, job.operational_from(spark, str(tables_dir)), src.level_map(),
+                             str(tmp_path / "wh"))
+    assert report and all(r["violations"] == 0 for r in report)
+    fact = publish.read_table(spark, "salesfact", root=str(tmp_path / "wh"), run_id=run_id)
+    assert _rows(fact) == _rows(loads["first"].salesfact)
