@@ -111,6 +111,22 @@ def test_fact_plan_shape(spark, loads):
     assert "SinglePartition" not in sale_side and "Window" not in sale_side
     assert sale_side.count("Exchange hashpartitioning") == 1
     assert "ArrowEvalPython" not in sale_side and "BatchEvalPython" not in sale_side
+    # map-side partial aggregate below the exchange: hot keys collapse before the shuffle
+    assert sale_side.index("partial_sum") > sale_side.index("Exchange hashpartitioning")
+
+
+def test_shuffle_path_pre_aggregates_before_joins(spark, loads):
+    src = loads["src"]
+    wh = loads["first"]
+    agg = star.keyed_sales(operational(src), wh.product, wh.member, wh.room, max_broadcast_rows=0)
+    plan = agg._jdf.queryExecution().sparkPlan().toString()
+    lines = plan.splitlines()
+    joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+    assert joins, "key maps above the limit must be shuffle-joined"
+    # the sale scan's partial aggregate sits below (after) every shuffle join
+    sale_scan = max(i for i, line in enumerate(lines) if "lineitem" in line)
+    pre_agg = [i for i, line in enumerate(lines) if "partial_sum(price" in line and i < sale_scan]
+    assert pre_agg and max(pre_agg) > max(joins)
 
 
 def test_names_that_clean_to_one_merge(spark):
