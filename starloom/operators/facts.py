@@ -11,9 +11,17 @@ from starloom import schemas
 from starloom.functions.html import with_html_text
 from starloom.functions.money import money, money_sum
 from starloom.functions.recode import GENDER_CODES, recode
-from starloom.functions.timeparts import calendar_columns, calendar_from_date, time_member_columns
+from starloom.functions.timeparts import (
+    calendar_columns,
+    calendar_from_date,
+    day_name,
+    season,
+    time_member_columns,
+    time_of_day_code,
+    time_of_day_label,
+)
 from starloom.operators.dims import DimensionSpec, lookup
-from starloom.operators.joins import BROADCAST_MAX_BYTES, fits_broadcast, small_side
+from starloom.operators.joins import BROADCAST_MAX_BYTES, fits_broadcast, sized, small_side
 from starloom.operators.keys import assign_keys
 
 # Grain of the sales aggregate and of the staging table.
@@ -45,15 +53,40 @@ def star_join(sale: DataFrame, product: DataFrame, room: DataFrame, member: Data
             .join(p, "product_id").join(r, "room_id").join(m, "member_id"))
 
 
-def sales_aggregated(sale: DataFrame, product: DataFrame, room: DataFrame, member: DataFrame) -> DataFrame:
+def sales_aggregated(sale: DataFrame, product: DataFrame, room: DataFrame, member: DataFrame,
+                     max_broadcast_rows: int | None = None) -> DataFrame:
     """Sales at the 10-column grain: kroner_sales = ROUND(SUM(price)/100, 2),
-    unit_sales = COUNT(*). Partial aggregation runs before the shuffle."""
-    joined = star_join(sale, product, room, member)
-    return (joined.select(*calendar_columns("ts"), F.col("p_name").alias("product_name"),
-                          F.col("r_name").alias("room_name"), "gender",
-                          F.col("active").alias("is_active"), "price")
-            .groupBy(*SALES_GRAIN)
-            .agg(money_sum("price").alias("kroner_sales"), F.count(F.lit(1)).alias("unit_sales"))
+    unit_sales = COUNT(*).
+
+    With dimension sources proven small, the star join is map-side and the
+    aggregate (partial before the exchange) is the only shuffle. Otherwise
+    sales are first aggregated by (ids, date, time bucket), so a hot member
+    or product is collapsed before any shuffle join; the calendar columns are
+    derived from the date afterwards. Both give identical rows: money stays
+    in integer hundredths until the last step."""
+    limit = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
+    p, p_small = sized(product.select(F.col("id").alias("product_id"), F.col("name").alias("p_name")), **limit)
+    r, r_small = sized(room.select(F.col("id").alias("room_id"), F.col("name").alias("r_name")), **limit)
+    m, m_small = sized(member.select(F.col("id").alias("member_id"), "gender", "active"), **limit)
+    names = [F.col("p_name").alias("product_name"), F.col("r_name").alias("room_name"), "gender",
+             F.col("active").alias("is_active")]
+    if p_small and r_small and m_small:
+        joined = (sale.select("product_id", "room_id", "member_id", "price", "ts")
+                  .join(p, "product_id").join(r, "room_id").join(m, "member_id"))
+        rows = joined.select(*calendar_columns("ts"), *names, "price", F.lit(1).cast("long").alias("n"))
+    else:
+        ts = F.col("ts")
+        pre = (sale.groupBy("product_id", "room_id", "member_id", F.to_date(ts).alias("sale_date"),
+                            time_of_day_code(ts).alias("tod"))
+               .agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("n")))
+        joined = pre.join(p, "product_id").join(r, "room_id").join(m, "member_id")
+        d = F.col("sale_date")
+        calendar = [F.year(d).alias("year"), F.month(d).alias("month"), season(d).alias("season"),
+                    F.dayofmonth(d).alias("day"), day_name(d).alias("day_of_week"),
+                    time_of_day_label("tod").alias("time_of_day")]
+        rows = joined.select(*calendar, *names, "price", "n")
+    return (rows.groupBy(*SALES_GRAIN)
+            .agg(money_sum("price").alias("kroner_sales"), F.sum("n").alias("unit_sales"))
             .select("year", "month", "season", "day", "day_of_week", "time_of_day", "product_name",
                     "room_name", "gender", "is_active", "kroner_sales", "unit_sales"))
 

@@ -167,3 +167,13 @@ def test_job_from_parquet_tables(spark, loads, tmp_path):
     assert report and all(r["violations"] == 0 for r in report)
     fact = publish.read_table(spark, "salesfact", root=str(tmp_path / "wh"), run_id=run_id)
     assert _rows(fact) == _rows(loads["first"].salesfact)
+
+
+def test_sales_aggregated_paths_agree(spark, loads):
+    from starloom.operators.facts import sales_aggregated
+
+    src = loads["src"]
+    a = sales_aggregated(src.sale, src.product, src.room, src.member)
+    b = sales_aggregated(src.sale, src.product, src.room, src.member, max_broadcast_rows=0)
+    assert a.schema == b.schema
+    assert _rows(a) == _rows(b)
