@@ -166,9 +166,11 @@ def keyed_sales(src: Operational, product: DataFrame, member: DataFrame, room: D
       exchange), the much smaller result is shuffle-joined to the maps (AQE
       splits skewed partitions), and regrouped by surrogate key."""
     limit = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    pmap, p_small = sized(product_key_map(src, product, on_missing_product), **limit)
-    mmap, m_small = sized(member_key_map(src, member), **limit)
-    rmap, r_small = sized(room_key_map(src, room), **limit)
+    # each map is computed once (name cleaning included) and then both size-
+    # checked and broadcast from its checkpoint
+    pmap, p_small = sized(materialize(product_key_map(src, product, on_missing_product)), **limit)
+    mmap, m_small = sized(materialize(member_key_map(src, member)), **limit)
+    rmap, r_small = sized(materialize(room_key_map(src, room)), **limit)
     ts = F.col("ts")
     sales = src.sale.select("product_id", "room_id", "member_id", "price",
                             F.to_date(ts).alias("sale_date"), time_of_day_code(ts).alias("tod"))
