@@ -31,6 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.driver.memory": os.environ.get("STARLOOM_DRIVER_MEMORY", "8g"),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })
