@@ -150,7 +150,7 @@ def key_map(dim: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: str = "error",
            default_id: int | None = None, on: Sequence[str] | None = None,
-           dedupe: bool = True, salt: int = 0) -> DataFrame:
+           dedupe: bool = True, salt: int = 0, null_safe: bool = False) -> DataFrame:
     """Add ``spec.key`` to ``facts`` by natural key (columns ``on`` of the
     facts, named like ``spec.lookup``).
 
@@ -160,7 +160,8 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     is checked to be small; otherwise AQE plans a shuffle join and splits
     skewed partitions, or, with ``salt`` > 0, the fact side is spread over
     ``salt`` deterministic sub-keys per natural key (for hot keys when AQE
-    skew handling is off)."""
+    skew handling is off). ``null_safe=True`` matches NULL natural-key parts
+    to NULL member attributes (``<=>``) instead of treating them as missing."""
     if on_missing not in POLICIES:
         raise ValueError(f"on_missing must be one of {POLICIES}")
     default = spec.default_id if default_id is None else default_id
@@ -171,8 +172,15 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     kmap = key_map(dim, spec) if dedupe else dim.select(*natural, spec.key)
     kmap = kmap.toDF(*on, spec.key) if on != natural else kmap
     side, small = sized(kmap)
-    joined = (salted_join(facts, kmap, on, "left", salt) if salt > 0 and not small
-              else facts.join(side, on, "left"))
+    if null_safe:
+        renamed = kmap.select(*[F.col(c).alias(f"_k_{c}") for c in on], spec.key)
+        renamed = F.broadcast(renamed) if small else renamed
+        cond = [facts[c].eqNullSafe(renamed[f"_k_{c}"]) for c in on]
+        joined = facts.join(renamed, cond, "left").drop(*[f"_k_{c}" for c in on])
+    elif salt > 0 and not small:
+        joined = salted_join(facts, kmap, on, "left", salt)
+    else:
+        joined = facts.join(side, on, "left")
     key = F.col(spec.key)
     if on_missing == "default":
         key = F.coalesce(key, F.lit(default).cast("long"))

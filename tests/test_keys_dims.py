@@ -139,3 +139,13 @@ def test_salted_lookup_matches_plain(spark, monkeypatch):
     monkeypatch.setattr(D, "sized", lambda df, *a, **k: (df, False))  # force the shuffle path
     salted = sorted(tuple(r) for r in lookup(facts, dim, spec, "default", salt=8).collect())
     assert salted == plain and len(salted) == 202
+
+
+def test_null_safe_composite_lookup(spark):
+    from starloom.operators.facts import MEMBER_SPEC
+
+    dim = spark.createDataFrame([(1, "Male", True), (2, None, True)], "memberid long, gender string, is_active boolean")
+    facts = spark.createDataFrame([("Male", True, 10), (None, True, 20)], "gender string, is_active boolean, v long")
+    got = sorted((r.v, r.memberid) for r in lookup(facts, dim, MEMBER_SPEC, "error", null_safe=True).collect())
+    assert got == [(10, 1), (20, 2)]
+    assert lookup(facts, dim, MEMBER_SPEC, "null").filter("v = 20").first().memberid is None
