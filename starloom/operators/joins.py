@@ -30,9 +30,10 @@ def _row_bytes(df: DataFrame) -> Column:
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
-    of column data. One job that reads at most ``max_rows + 1`` rows."""
-    r = (df.limit(max_rows + 1)
-         .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("long")).alias("b")).first())
+    of column data. One distributed aggregate: each partition sends one
+    partial (count, bytes) row, so no task gathers rows (a ``limit`` would
+    funnel up to ``partitions * max_rows`` rows into a single task)."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("long")).alias("b")).first()
     return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
 
 

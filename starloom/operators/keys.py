@@ -12,10 +12,10 @@
 The result equals ``start - 1 + row_number() over (order by natural key,
 NULLs first)`` for any number of partitions.
 
-Inputs proven small (at most ``LOCAL_MAX_ROWS`` rows, checked by reading at
-most one row more) take the plain window: one task sorts a bounded number of
-rows, and with every column as a tie-breaker the numbering is the same on
-every recomputation, so no checkpoint is needed.
+Inputs proven small (at most ``LOCAL_MAX_ROWS`` rows, by a distributed
+count of the persisted input) take the plain window: one task sorts a
+bounded number of rows, and with every column as a tie-breaker the numbering
+is the same on every recomputation, so no checkpoint is needed.
 """
 
 from __future__ import annotations
@@ -47,18 +47,18 @@ def assign_keys(df: DataFrame, order_cols: Sequence, key: str = "id", start: int
     of :func:`next_key`.
     """
     start_col = start if isinstance(start, Column) else F.lit(start)
-    if local_max_rows > 0 and df.limit(local_max_rows + 1).count() <= local_max_rows:
-        ties = [c for c in df.columns if c not in order_cols]
+    spark = df.sparkSession
+    # The input is computed once: the size count, range sampling, the
+    # checkpoint job and its write all read this persisted copy.
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if local_max_rows > 0 and source.count() <= local_max_rows:
+        ties = [c for c in source.columns if c not in order_cols]
         w = W.orderBy(*_order(list(order_cols) + ties))
         keyed = start_col.cast("long") + F.row_number().over(w) - 1
-        return df.select(keyed.alias(key), *[F.col(c) for c in df.columns])
-    spark = df.sparkSession
+        return source.select(keyed.alias(key), *[F.col(c) for c in source.columns])
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _order(order_cols)
-    # The input is computed once: range sampling, the checkpoint job and its
-    # write all read the persisted copy, which is dropped once checkpointed.
-    source = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = source.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     source.unpersist()
 
