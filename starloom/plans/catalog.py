@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom import schemas
 from starloom.functions.html import with_html_text
@@ -19,7 +20,14 @@ from starloom.functions.recode import GENDER_CODES, bool_label, fill_defaults, r
 from starloom.functions.timeparts import date_parts, day_name, season, time_of_day, weekday_flag
 from starloom.operators import categories as cat
 from starloom.operators import checks
-from starloom.operators.dims import dim_ensure, dim_insert, lookup, scd1_upsert, seed_members
+from starloom.operators.dims import (
+    DimensionSpec,
+    dim_ensure,
+    dim_insert,
+    lookup,
+    scd1_upsert,
+    seed_members,
+)
 from starloom.operators.facts import (
     MEMBER_SPEC,
     PRODUCT_SPEC,
@@ -257,16 +265,16 @@ def q_dim_insert(spark, sf_dir):
     return dim_insert(first, rows, ROOM_SPEC, order=["id"])
 
 
+CATEGORY_SPEC = DimensionSpec("category", "id", ["name"], ["name"])
+CATEGORY_NAME = T.StructType([T.StructField("name", T.StringType(), True)])
+
+
 @query("dim_append_members")
 def q_dim_append(spark, sf_dir):
     """Category table plus two reference names appended after the last id."""
-    from starloom.operators.dims import DimensionSpec
-
     src = Sources(spark, sf_dir)
-    spec = DimensionSpec("category", "id", ["name"], ["name"])
-    extra = seed_members(spark, [{"name": n} for n in star.EXTRA_CATEGORIES],
-                         schemas._struct(("name", schemas.S, True)))
-    return dim_insert(src.category(), extra, spec, order=["name"])
+    extra = seed_members(spark, [{"name": n} for n in star.EXTRA_CATEGORIES], CATEGORY_NAME)
+    return dim_insert(src.category(), extra, CATEGORY_SPEC, order=["name"])
 
 
 @query("default_members")
