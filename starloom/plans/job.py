@@ -39,8 +39,10 @@ def run(spark: SparkSession, src: star.Operational, levels, out: str, plan: str
     wh = load(spark, src, levels, on_missing_product)
     run_id = publish.write_run(spark, wh.tables(), root=out)
     tables = {t: publish.read_table(spark, t, root=out, run_id=run_id) for t in wh.tables()}
-    report = warehouse_report(tables, schemas.PRIMARY_KEYS, schemas.FOREIGN_KEYS)
-    return run_id, [r.asDict() for r in report.collect()]
+    report = [r.asDict() for r in warehouse_report(tables, schemas.PRIMARY_KEYS, schemas.FOREIGN_KEYS).collect()]
+    # the run is published: release what the load kept (staged or keyed sales, small key inputs)
+    spark.catalog.clearCache()
+    return run_id, report
 
 
 def main(argv: list[str] | None = None) -> int:
