@@ -15,6 +15,9 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # let AQE coalesce/re-plan inside persisted plans too (dimension inputs,
+    # staged and keyed sales are persisted)
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.ansi.enabled": "true",
 }
 
