@@ -117,11 +117,13 @@ class HarmonicPacker:
             yield from self._close(bin_)
 
 
-def pack(docs: DataFrame, encode: Callable[[list[str | None]], Iterable[np.ndarray]], capacity: int = CAPACITY, end_id: int = END_ID, slack: float = SLACK, checksums: bool = False) -> DataFrame:
+def pack(docs: DataFrame, encode: Callable[[list[str | None]], Iterable[np.ndarray]], capacity: int = CAPACITY, end_id: int = END_ID, slack: float = SLACK, checksums: bool = False, sequences: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id,
     offset and ids (array<int>), or with ``checksums`` instead of the ids their
     CRC-32 as little-endian unsigned 32-bit integers. ``encode`` gives the ids
-    of each text of a list; ``end_id`` ends each document."""
+    of each text of a list; ``end_id`` ends each document. With ``sequences`` (a
+    numpy type such as "<u2") there is one row per sequence instead:
+    sequence_id, length and its ids as bytes of that type."""
 
     extra, extra_type = ("ids_crc32", "long") if checksums else ("ids", "array<int>")
 
@@ -140,6 +142,11 @@ def pack(docs: DataFrame, encode: Callable[[list[str | None]], Iterable[np.ndarr
                 if not known[2]:
                     del pending[p.doc]
             longs = [pa.array(c, pa.int64()) for c in ([p.start for p in pieces], [len(p.ids) for p in pieces], tokens, [base + p.sequence for p in pieces], [p.offset for p in pieces])]
+            if sequences:
+                whole: dict[int, list[np.ndarray]] = {}
+                for p in pieces:
+                    whole.setdefault(p.sequence, []).append(p.ids)
+                return pa.RecordBatch.from_arrays([pa.array([base + s for s in whole], pa.int64()), pa.array([sum(map(len, v)) for v in whole.values()], pa.int64()), pa.array([np.concatenate(v).astype(sequences).tobytes() for v in whole.values()], pa.binary())], ["sequence_id", "length", "tokens"])
             if checksums:
                 last = pa.array([zlib.crc32(p.ids.astype("<u4", copy=False).tobytes()) for p in pieces], pa.int64())
             else:
@@ -163,6 +170,8 @@ def pack(docs: DataFrame, encode: Callable[[list[str | None]], Iterable[np.ndarr
             yield rows(done)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
+    if sequences:
+        return only(docs, "doc_id", "text").mapInArrow(run, "sequence_id long, length long, tokens binary")
     return only(docs, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, {extra} {extra_type}")
 
 

@@ -98,8 +98,12 @@ def _counts(docs: DataFrame, stop_words: Sequence[str]) -> DataFrame:
     at = F.sort_array(F.transform(F.filter(windows, repeated), lambda x: x["i"]))
     start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("n"))
     covered = F.aggregate(at, start, lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(WINDOW), i - s["last"])).alias("n")), lambda s: s["n"])
+    # Always n_words, but not foldable: a filter on the verdict stays above the
+    # counts. Pushed down, it would split the text anew for each use of a word.
+    n_words = F.when(F.monotonically_increasing_id() >= 0, F.col("n_words"))
     symbols = F.length(F.regexp_replace("_text", f"[^{SYMBOLS}]+", ""))
     return docs.withColumns({
+        "n_words": n_words,
         "word_chars": F.length(F.array_join(words, "")).cast("long"),
         "n_symbols": symbols.cast("long"),
         "n_lines": F.size(lines).cast("long"),
