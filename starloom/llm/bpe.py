@@ -44,7 +44,7 @@ LIBRARY_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # there that only one of the two sides counts as white space.
 OTHER = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xff]")
 PIECE = re.compile("[^ \t-\r]+")
-MEMO_WORDS = 800_000  # memo entries per worker; a full memo is started anew
+MEMO_WORDS = 400_000  # memo entries per worker; a full memo is started anew
 MEMO_LENGTH = 40  # bytes; longer words are not kept
 BLOCK_CHARS = 4_000_000  # texts are taken together up to this many characters
 

@@ -6,6 +6,9 @@ cycle until the value is below n (at most four steps on average). The slot
 follows from the sequence's number alone, so no sort, no random column and no
 table of the order is needed, and the inverse tells which sequence a slot holds.
 
+A shard is read as a whole by one task, so ``shard_rows`` times the record
+length, times a few copies, has to fit the memory of an executor's slot.
+
 Shard s holds the slots from s * shard_rows on, in order, as records of one
 fixed length: the ids as little-endian integers, filled up with the padding
 value, and a line feed. A slot's bytes are found by arithmetic alone, reading is
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import stored
 
 ROUNDS = 8
-SHARD_ROWS = 8_192
+SHARD_ROWS = 2_048
 _ROW_BITS = 33  # monotonically_increasing_id: partition << 33 | row
 
 
@@ -113,7 +116,7 @@ class Layout:
 
 def numbered(rows: DataFrame, name: str = "sequences") -> tuple[DataFrame, int]:
     """(rows with ``_index`` 0 .. n-1, n), stored in the shared folder."""
-    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()), name)
+    rows = stored(rows.withColumn("_at", F.monotonically_increasing_id()), name, level=9)
     part = F.shiftright("_at", _ROW_BITS)
     counts = {r["p"]: r["n"] for r in rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, n = [], 0
