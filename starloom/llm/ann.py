@@ -214,8 +214,8 @@ def _best(found: list[tuple], k: int) -> tuple[np.ndarray, ...]:
 
 
 def _score_blocks(entries: DataFrame, dtype: str, k: int) -> DataFrame:
-    """Best candidates of each query in a task's blocks: (q, c, least, score).
-    Rows come sorted by block, visits before vectors."""
+    """Best candidates of each query in a task's blocks, one row a query with
+    lists (q, c, least, score). Rows come sorted by block, visits first."""
 
     def block(rows: list[pa.RecordBatch]) -> tuple | None:
         t = pa.Table.from_batches(rows)
@@ -255,12 +255,50 @@ def _score_blocks(entries: DataFrame, dtype: str, k: int) -> DataFrame:
         if rows and (got := block(rows)):
             found.append(got)
         if found:
-            q, c, least, score = _best(found, k)
-            for at in range(0, len(q), 50_000):
-                s = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(q[s]), pa.array(c[s]), pa.array(least[s]), pa.array(score[s])], ["q", "c", "least", "score"])
+            yield from _listed(*_best(found, k))
 
-    return entries.mapInArrow(run, "q long, c long, least long, score double")
+    return entries.mapInArrow(run, _LISTS)
+
+
+_LISTS = "q long, c array<long>, least array<long>, score array<double>"
+
+
+def _listed(q: np.ndarray, *values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row a query; values come sorted by query."""
+    first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+    ends = np.append(first[1:], len(q))
+    for at in range(0, len(first), 4096):
+        i, j = first[at : at + 4096], ends[at : at + 4096]
+        offsets = pa.array(np.append(i - i[0], j[-1] - i[0]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v[i[0] : j[-1]])) for v in values]
+        yield pa.RecordBatch.from_arrays([pa.array(q[i]), *lists], ["q", "c", "least", "score"])
+
+
+def _merge(lists: DataFrame, k: int) -> DataFrame:
+    """(q, c, score): the k best of each query over the lists of all tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[tuple] = []
+
+        def rows(found: list[tuple]) -> pa.RecordBatch:
+            q, c, _, score = _best(found, k)
+            return pa.RecordBatch.from_arrays([pa.array(q), pa.array(c), pa.array(score)], ["q", "c", "score"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            n = np.diff(b.column("c").offsets.to_numpy())
+            new = (np.repeat(b.column("q").to_numpy(), n), *(b.column(x).flatten().to_numpy() for x in ("c", "least", "score")))
+            rest.append(new)
+            last = new[0] == new[0][-1]  # sorted by query: all others are complete
+            if not last.all() or rest[0][0][0] != new[0][-1]:
+                done = [tuple(x[~last] for x in new)]
+                yield rows([*rest[:-1], *done])
+                rest = [tuple(x[last] for x in new)]
+        if rest:
+            yield rows(rest)
+
+    return lists.repartition("q").sortWithinPartitions("q").mapInArrow(run, "q long, c long, score double")
 
 
 def search(rows: DataFrame, asks: Column, k: int = K, index: Index = Index(), block: int = BLOCK) -> DataFrame:
@@ -282,10 +320,7 @@ def search(rows: DataFrame, asks: Column, k: int = K, index: Index = Index(), bl
     grid = dealt.withColumn("v", F.explode(F.when(F.col("kind") == 1, mine(v_parts)).otherwise(every(v_parts))))
     grid = grid.withColumn("q", F.explode(F.when(F.col("kind") == 0, mine(q_parts)).otherwise(every(q_parts)))).drop("v_parts", "q_parts")
     blocks = grid.repartition("bucket", "v", "q").sortWithinPartitions("bucket", "dim", "v", "q", "kind")
-    near = _score_blocks(blocks, dtype, k + 1)
-    near = near.groupBy("q", "c").agg(F.max("score").alias("score"), F.min("least").alias("least"))
-    best = W.partitionBy("q").orderBy(F.desc("score"), "least")
-    near = cut(near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("q", "c", "score"))
+    near = cut(_merge(_score_blocks(blocks, dtype, k + 1), k + 1))
     named = usable.join(classes.select("dim", "vec", "cls"), ["dim", "vec"]).select("vec_id", "cls")
     first = W.partitionBy("cls").orderBy("vec_id")
     members = named.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select(F.col("cls").alias("c"), "vec_id")
