@@ -52,20 +52,31 @@ def out_of_decimal_range(df: DataFrame, column: str, precision: int, scale: int,
 
 
 def warehouse_report(tables: dict[str, DataFrame], primary_keys: dict[str, list[str]],
-                     foreign_keys: dict[str, list[tuple[str, str, str]]]) -> DataFrame:
+                     foreign_keys: dict[str, list[tuple[str, str, str]]],
+                     max_length: dict[str, dict[str, int]] | None = None,
+                     natural_keys: dict[str, list[str]] | None = None,
+                     decimals: dict[str, tuple[str, int, int]] | None = None) -> DataFrame:
     """One row per (table, check, detail) with the number of violations.
 
-    Per table: the primary-key check is one aggregate by key; NULL keys and
-    all foreign keys are counted in one more pass over the table (each
-    parent's keys joined in, broadcast when checked small)."""
+    Per table: each key check (primary, natural) is one aggregate by key;
+    NULL keys, lengths, decimal ranges and all foreign keys are counted in one
+    more pass over the table (each parent's keys joined in, broadcast when
+    checked small)."""
     rows = []
-    for t, pk in primary_keys.items():
-        rows.append(duplicate_keys(tables[t], pk).agg(F.count(F.lit(1)).alias("violations"))
-                    .select(F.lit(t).alias("table"), F.lit("primary_key").alias("check"),
-                            F.lit(",".join(pk)).alias("detail"), "violations"))
-    for t in sorted(set(primary_keys) | set(foreign_keys)):
+    for check, keys in (("primary_key", primary_keys), ("natural_key", natural_keys or {})):
+        for t, key in keys.items():
+            rows.append(duplicate_keys(tables[t], key).agg(F.count(F.lit(1)).alias("violations"))
+                        .select(F.lit(t).alias("table"), F.lit(check).alias("check"),
+                                F.lit(",".join(key)).alias("detail"), "violations"))
+    for t in sorted(set(primary_keys) | set(foreign_keys) | set(max_length or {}) | set(decimals or {})):
         df = tables[t]
         counters = [(("not_null", c), F.col(c).isNull()) for c in primary_keys.get(t, [])]
+        counters += [(("max_length", c), F.coalesce(F.length(c) > n, F.lit(False)))
+                     for c, n in (max_length or {}).get(t, {}).items()]
+        if decimals and t in decimals:
+            c, precision, scale = decimals[t]
+            counters.append((("decimal_range", c),
+                             F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({precision},{scale})").isNull()))
         for i, (fk, parent, pk) in enumerate(foreign_keys.get(t, [])):
             keys = small_side(tables[parent].select(F.col(pk).alias(fk)).distinct()
                               .withColumn(f"_found{i}", F.lit(True)))

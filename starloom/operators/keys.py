@@ -14,8 +14,8 @@ NULLs first)`` for any number of partitions.
 
 Inputs proven small (at most ``LOCAL_MAX_ROWS`` rows, by a distributed
 count of the persisted input) take the plain window: one task sorts a
-bounded number of rows, and with every column as a tie-breaker the numbering
-is the same on every recomputation, so no checkpoint is needed.
+bounded number of rows. Both ways order ties by every other column and give
+the same keys; the persisted input is released once the keys are stored.
 """
 
 from __future__ import annotations
@@ -42,23 +42,24 @@ def assign_keys(df: DataFrame, order_cols: Sequence, key: str = "id", start: int
                 num_partitions: int | None = None, local_max_rows: int = LOCAL_MAX_ROWS) -> DataFrame:
     """Add ``key``: dense ids ``start, start+1, ...`` in ``order_cols`` order.
 
-    ``order_cols`` should identify rows uniquely (ties get an arbitrary but
-    fixed order). ``start`` may be a literal or a Column such as the result
-    of :func:`next_key`.
+    Rows with equal ``order_cols`` are ordered by their remaining columns, so
+    the numbering is the same for any size and any number of partitions (rows
+    equal in every column are interchangeable). ``start`` may be a literal or
+    a Column such as the result of :func:`next_key`.
     """
     start_col = start if isinstance(start, Column) else F.lit(start)
     spark = df.sparkSession
     # The input is computed once: the size count, range sampling, the
     # checkpoint job and its write all read this persisted copy.
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if local_max_rows > 0 and source.count() <= local_max_rows:
-        ties = [c for c in source.columns if c not in order_cols]
-        w = W.orderBy(*_order(list(order_cols) + ties))
-        keyed = start_col.cast("long") + F.row_number().over(w) - 1
-        return source.select(keyed.alias(key), *[F.col(c) for c in source.columns])
     checkpoint_dir(spark)
+    order = _order([*order_cols, *[c for c in source.columns if c not in order_cols]])
+    if local_max_rows > 0 and source.count() <= local_max_rows:
+        keyed = start_col.cast("long") + F.row_number().over(W.orderBy(*order)) - 1
+        out = source.select(keyed.alias(key), *[F.col(c) for c in source.columns]).checkpoint(eager=True)
+        source.unpersist()
+        return out
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = _order(order_cols)
     ranged = source.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     source.unpersist()
 

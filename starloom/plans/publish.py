@@ -3,13 +3,15 @@
 The original job resets its tables in place and commits per table, so a
 failure can leave dimensions without facts. Here every table of a run is
 written under ``<root>/runs/<run_id>/<table>`` with its declared schema;
-only when all writes succeeded is the one-row pointer ``<root>/_current``
-overwritten, so readers see either the old or the new warehouse.
+only when all writes succeeded is a pointer file added to
+``<root>/pointers``. Pointers are never overwritten or deleted; readers take
+the newest one, so at every moment they see a complete warehouse.
 """
 
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,16 +26,16 @@ TARGET_SCHEMAS = {"product": schemas.PRODUCT, "member": schemas.MEMBER, "room":
 
 
 def output_root(spark: SparkSession) -> str:
-    """Shared output folder: ``starloom.output.dir``, else the session's
-    SQL warehouse folder on a cluster; a local session without either gets
-    a fresh scratch folder."""
+    """Shared output folder: ``starloom.output.dir``. Without it a local
+    session gets a fresh scratch folder; on a cluster that is an error, as any
+    default may be a folder of one machine."""
     root = spark.conf.get(OUTPUT_CONF, None)
     if root:
         return root.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
         root = tempfile.mkdtemp(prefix="starloom-out-")
     else:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/starloom"
+        raise RuntimeError(f"{OUTPUT_CONF} must name a shared folder on a cluster")
     spark.conf.set(OUTPUT_CONF, root)
     return root
 
@@ -50,8 +52,9 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str | Non
 
 
 def write_run(spark: SparkSession, tables: dict[str, DataFrame], root: str | None = None,
-              run_id: str | None = None, fact_partitions: int | None = None) -> str:
-    """Write all tables of one load, then switch the pointer. Returns run id."""
+              run_id: str | None = None, fact_partitions: int | None = None, publish: bool = True) -> str:
+    """Write all tables of one load, then (with ``publish``) point readers to
+    them. Returns the run id."""
     root = root or output_root(spark)
     run_id = run_id or uuid.uuid4().hex
     for name, df in tables.items():
@@ -59,14 +62,21 @@ def write_run(spark: SparkSession, tables: dict[str, DataFrame], root: str | Non
         if name == "salesfact" and fact_partitions:
             out = out.repartition(fact_partitions, "timeid")
         out.write.mode("overwrite").parquet(f"{root}/runs/{run_id}/{name}")
-    pointer = spark.range(1).select(F.lit(run_id).alias("run_id"))
-    pointer.coalesce(1).write.mode("overwrite").json(f"{root}/_current")
+    if publish:
+        publish_run(spark, run_id, root)
     return run_id
 
 
+def publish_run(spark: SparkSession, run_id: str, root: str | None = None) -> None:
+    """Makes a written run the current one: appends a pointer file, which
+    appears as a whole when its write commits."""
+    pointer = spark.range(1).select(F.lit(time.time_ns()).alias("seq"), F.lit(run_id).alias("run_id"))
+    pointer.coalesce(1).write.mode("append").json(f"{root or output_root(spark)}/pointers")
+
+
 def current_run(spark: SparkSession, root: str | None = None) -> str:
-    root = root or output_root(spark)
-    return spark.read.schema("run_id string").json(f"{root}/_current").first()["run_id"]
+    pointers = spark.read.schema("seq long, run_id string").json(f"{root or output_root(spark)}/pointers")
+    return pointers.agg(F.max_by("run_id", "seq").alias("run_id")).first()["run_id"]
 
 
 def read_table(spark: SparkSession, name: str, root: str | None = None, run_id: str | None = None) -> DataFrame:

@@ -76,6 +76,12 @@ class Warehouse:
     room: DataFrame
     time: DataFrame
     salesfact: DataFrame
+    kept: tuple[DataFrame, ...] = ()  # persisted inputs of the lazy tables
+
+    def release(self) -> None:
+        """Frees what the load persisted, once its tables are written."""
+        for df in self.kept:
+            df.unpersist()
 
     def tables(self) -> dict[str, DataFrame]:
         return {"product": self.product, "member": self.member, "room": self.room,
@@ -128,7 +134,7 @@ def two_stage_load(spark: SparkSession, src: Operational, levels: DataFrame,
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     time = materialize(conform(time_dimension(staged), TIME_SPEC, schemas.TIME))
     fact = load_facts(reaggregate(staged), time, product, member, room, on_missing_product)
-    return Warehouse(product, member, room, time, fact)
+    return Warehouse(product, member, room, time, fact, (staged,))
 
 
 # -- keys-first plan -------------------------------------------------------------
@@ -168,12 +174,17 @@ def keyed_sales(src: Operational, product: DataFrame, member: DataFrame, room: D
     limit = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
     # each map is computed once (name cleaning included) and then both size-
     # checked and broadcast from its checkpoint
-    pmap, p_small = sized(materialize(product_key_map(src, product, on_missing_product)), **limit)
+    # "error" concerns products that were sold: a product without a member
+    # stays NULL in the map and fails only when a sale refers to it
+    in_map = "null" if on_missing_product == "error" else on_missing_product
+    pmap, p_small = sized(materialize(product_key_map(src, product, in_map)), **limit)
     mmap, m_small = sized(materialize(member_key_map(src, member)), **limit)
     rmap, r_small = sized(materialize(room_key_map(src, room)), **limit)
     ts = F.col("ts")
+    # the fact's time key must not be NULL: a sale without a moment fails the load
+    sale_date = F.coalesce(F.to_date(ts), F.raise_error(F.lit("sale without timestamp")).cast("date"))
     sales = src.sale.select("product_id", "room_id", "member_id", "price",
-                            F.to_date(ts).alias("sale_date"), time_of_day_code(ts).alias("tod"))
+                            sale_date.alias("sale_date"), time_of_day_code(ts).alias("tod"))
     moment = ["sale_date", "tod"]
     measures = [F.sum("price").alias("price"), F.count(F.lit(1)).alias("unit_sales")]
     if p_small and m_small and r_small:
@@ -185,7 +196,10 @@ def keyed_sales(src: Operational, product: DataFrame, member: DataFrame, room: D
         agg = (priced.groupBy("productid", "memberid", "roomid", *moment)
                .agg(F.sum("price").alias("price"), F.sum("unit_sales").alias("unit_sales")))
     d = F.col("sale_date")
-    return agg.select("productid", "memberid", "roomid", F.year(d).alias("year"), F.month(d).alias("month"),
+    productid = F.col("productid")
+    if on_missing_product == "error":
+        productid = F.coalesce(productid, F.raise_error(F.lit("sale of a product without a member")).cast("long"))
+    return agg.select(productid.alias("productid"), "memberid", "roomid", F.year(d).alias("year"), F.month(d).alias("month"),
                       F.dayofmonth(d).alias("day"), time_of_day_label("tod").alias("time_of_day"),
                       "price", "unit_sales")
 
@@ -208,7 +222,7 @@ def keys_first_load(spark: SparkSession, src: Operational, levels: DataFrame,
     fact = agg.join(tkeys, TIME_LOOKUP).select(
         *FACT_KEYS, hundredths_to_money("price").alias("kroner_sales"),
         F.col("unit_sales").cast("long").alias("unit_sales"))
-    return Warehouse(product, member, room, time, fact)
+    return Warehouse(product, member, room, time, fact, (agg,))
 
 
 def star_rollup(wh: Warehouse) -> DataFrame:

@@ -78,6 +78,14 @@ MAX_LENGTH = {
              "holiday": 50, "event": 50},
 }
 
+# What identifies a member to a lookup. Rooms are inserted unconditionally, so
+# their names may repeat.
+NATURAL_KEYS = {
+    "product": ["product_name"],
+    "member": ["gender", "is_active"],
+    "time": ["year", "month", "day", "time_of_day"],
+}
+
 # Primary and foreign keys of the warehouse DDL.
 PRIMARY_KEYS = {
     "product": ["productid"],

@@ -56,8 +56,9 @@ def test_local_session_gets_scratch_only_when_unset():
     assert d and checkpoint_dir(s) == d  # set once, then reused
 
 
-def test_output_root_prefers_configured_then_warehouse_on_cluster():
+def test_output_root_is_configured_on_a_cluster():
     s = _Session("spark://cluster:7077", session_conf={publish.OUTPUT_CONF: "hdfs://shared/wh/"})
     assert publish.output_root(s) == "hdfs://shared/wh"
-    s = _Session("spark://cluster:7077", session_conf={"spark.sql.warehouse.dir": "hdfs://shared/warehouse"})
-    assert publish.output_root(s) == "hdfs://shared/warehouse/starloom"
+    s = _Session("spark://cluster:7077", session_conf={"spark.sql.warehouse.dir": "/local/warehouse"})
+    with pytest.raises(RuntimeError, match="shared folder"):
+        publish.output_root(s)
