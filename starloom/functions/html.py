@@ -6,8 +6,10 @@ a script never starts a new construct):
 
 * comments ``<!-- ... -->``,
 * ``script`` / ``style`` / ``template`` elements with their content,
+* the brackets of a CDATA section, whose text stays as it is written,
 * every other tag, declaration or processing instruction
-  (``<x ...>``, ``</x>``, ``<!...>``, ``<?...>``).
+  (``<x ...>``, ``</x>``, ``<!...>``, ``<?...>``); a quoted attribute value may
+  hold ``>``, and a quote that never closes is an ordinary character.
 
 A construct cut off by the end of the text runs to the end and is dropped,
 as an HTML tokenizer does at end of input.
@@ -30,10 +32,15 @@ from pyspark.sql import types as T
 
 _RAW_TEXT_ELEMENTS = ("script", "style", "template")
 # At each '<' the first alternative that matches wins.
+# Possessive repeats run as loops in the regex engine: long attributes cost no stack.
+_ATTRIBUTES = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
 _MARKUP = "(?is)" + "|".join(
     [r"<!--.*?(?:-->|\z)"]
-    + [rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in _RAW_TEXT_ELEMENTS]
-    + [r"<[a-z/!?][^>]*(?:>|\z)"])
+    + [rf"<{t}(?![a-z0-9:_-]){_ATTRIBUTES}(?:>.*?(?:</{t}\s*>|\z)|\z)" for t in _RAW_TEXT_ELEMENTS]
+    + [r"<!\[CDATA\[(.*?)\]\]>", r"<!\[CDATA\[.*+", rf"<[a-z/]{_ATTRIBUTES}(?:>|\z)", r"<[!?][^>]*+(?:>|\z)"])
+_CDATA = r"(?i)<!\[CDATA\["
+# Every '&' of a CDATA section, one after the other.
+_CDATA_AMP = r"(?is)(<!\[CDATA\[|\G(?!\A))((?:(?!\]\]>)[^&])*+)&"
 
 # The named references decoded natively, '&amp;' applied last.
 _BASIC_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
@@ -47,7 +54,9 @@ def _col(c) -> Column:
 
 def strip_markup(value) -> Column:
     """Markup removed, references still encoded."""
-    return F.regexp_replace(_col(value), _MARKUP, "")
+    s = _col(value)
+    kept = F.when(s.rlike(_CDATA), F.regexp_replace(s, _CDATA_AMP, "$1$2&amp;")).otherwise(s)
+    return F.regexp_replace(kept, _MARKUP, "$1")
 
 
 def _decode_basic(s: Column) -> Column:

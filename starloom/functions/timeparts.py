@@ -100,7 +100,7 @@ def time_member_columns() -> list[Column]:
             F.lit(NOT_A_HOLIDAY).alias("holiday"), F.lit(NO_EVENT).alias("event")]
 
 
-def calendar_from_date(year="year", month="month", day="day") -> list[Column]:
+def calendar_from_date(year="year", month="month", day="day", pad_day_name: bool = False) -> list[Column]:
     """season and day_of_week of a (year, month, day) moment."""
     date = F.make_date(_col(year), _col(month), _col(day))
-    return [season(date).alias("season"), day_name(date).alias("day_of_week")]
+    return [season(date).alias("season"), day_name(date, pad_day_name).alias("day_of_week")]

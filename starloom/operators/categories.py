@@ -23,6 +23,7 @@ LEVELS = {
     "subcategory": ["Øl", "Special øl", "Hård spiritus", "Spiritus"],
 }
 LEVEL_NAMES = ("product_type", "category", "subcategory")
+# Slots of the pivot and of the top-k; routing has no such limit.
 MAX_CATEGORIES = 3
 
 
@@ -87,15 +88,17 @@ def route_pivoted(pivoted: DataFrame, levels: dict | None = None, k: int = MAX_C
     return out
 
 
-def route_categories(ranked: DataFrame, levels: DataFrame, k: int = MAX_CATEGORIES) -> DataFrame:
+def route_categories(ranked: DataFrame, levels: DataFrame, k: int | None = None) -> DataFrame:
     """Routing without the pivot: join each ranked category to its level
     (``levels``: name, level) and keep, per product and level, the name with
-    the highest rank among the first ``k``.
+    the highest rank. All categories count, unless ``k`` limits them to the
+    first k as the pivot does (:func:`dropped_count` reports what that loses).
 
     Output: id, pname, active, alcohol_content_ml, product_type, category,
     subcategory."""
     lv = small_side(levels.select(F.col("name").alias("cname"), "level"))
-    tagged = ranked.filter(F.col("rn") <= k).join(lv, "cname", "left")
+    counted = ranked if k is None else ranked.filter(F.col("rn") <= k)
+    tagged = counted.join(lv, "cname", "left")
 
     def pick(level: str) -> Column:
         hit = F.col("level") == level

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.joins import salted_join, sized
+from starloom.operators.joins import fits_broadcast, salted_join
 from starloom.operators.keys import assign_keys, next_key
 
 POLICIES = ("error", "default", "null")
@@ -68,8 +68,9 @@ def seed_members(spark: SparkSession, rows: Sequence[dict], schema: T.StructType
 def first_per_key(rows: DataFrame, keys: Sequence[str], attrs: Sequence[str], seq: str,
                   last: Sequence[str] = ()) -> DataFrame:
     """One row per natural key: ``attrs`` from the row with the smallest
-    ``seq``, ``last`` from the row with the largest. One hash aggregate,
-    partial on the map side, so a hot key never gathers in one task."""
+    ``seq``, ``last`` from the row with the largest. One aggregate (sort-based,
+    as its buffers hold strings), partial on the map side, so a hot key never
+    gathers in one task."""
     aggs = []
     if attrs:
         aggs.append(F.min_by(F.struct(*attrs), F.col(seq)).alias("_first"))
@@ -171,7 +172,9 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     on = list(on or natural)
     kmap = key_map(dim, spec) if dedupe else dim.select(*natural, spec.key)
     kmap = kmap.toDF(*on, spec.key) if on != natural else kmap
-    side, small = sized(kmap)
+    # the dimension is at least as large as its key map, and needs no grouping to be measured
+    small = fits_broadcast(dim.select(*natural, spec.key))
+    side = F.broadcast(kmap) if small else kmap
     if null_safe:
         renamed = kmap.select(*[F.col(c).alias(f"_k_{c}") for c in on], spec.key)
         renamed = F.broadcast(renamed) if small else renamed

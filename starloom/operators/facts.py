@@ -12,7 +12,6 @@ from starloom.functions.html import with_html_text
 from starloom.functions.money import money, money_sum
 from starloom.functions.recode import GENDER_CODES, recode
 from starloom.functions.timeparts import (
-    calendar_columns,
     calendar_from_date,
     day_name,
     season,
@@ -21,7 +20,7 @@ from starloom.functions.timeparts import (
     time_of_day_label,
 )
 from starloom.operators.dims import DimensionSpec, lookup
-from starloom.operators.joins import BROADCAST_MAX_BYTES, fits_broadcast, sized, small_side
+from starloom.operators.joins import budget, fits_broadcast, join_sides
 from starloom.operators.keys import assign_keys
 
 # Grain of the sales aggregate and of the staging table.
@@ -42,79 +41,76 @@ ROOM_SPEC = DimensionSpec("room", "roomid", ["room_name"], ["room_name"], defaul
 TIME_SPEC = DimensionSpec("time", "timeid", TIME_ATTRIBUTES, TIME_LOOKUP)
 
 
+def _star_sides(product: DataFrame, room: DataFrame, member: DataFrame) -> dict[str, DataFrame]:
+    return {"product_id": product.select(F.col("id").alias("product_id"), F.col("name").alias("p_name")),
+            "room_id": room.select(F.col("id").alias("room_id"), F.col("name").alias("r_name")),
+            "member_id": member.select(F.col("id").alias("member_id"), "gender", "active")}
+
+
 def star_join(sale: DataFrame, product: DataFrame, room: DataFrame, member: DataFrame) -> DataFrame:
     """sale x product x room x member, inner, with the columns the sales
-    aggregate needs. Dimension-sized sides are broadcast after a size check;
-    otherwise AQE plans shuffle joins and splits skewed partitions."""
-    p = small_side(product.select(F.col("id").alias("product_id"), F.col("name").alias("p_name")))
-    r = small_side(room.select(F.col("id").alias("room_id"), F.col("name").alias("r_name")))
-    m = small_side(member.select(F.col("id").alias("member_id"), "gender", "active"))
-    return (sale.select("product_id", "room_id", "member_id", "price", "ts")
-            .join(p, "product_id").join(r, "room_id").join(m, "member_id"))
+    aggregate needs. Sides are broadcast within the checked budget; for any
+    other, AQE splits skewed partitions of its shuffle join."""
+    return join_sides(sale.select("product_id", "room_id", "member_id", "price", "ts"),
+                      _star_sides(product, room, member))
 
 
 def sales_aggregated(sale: DataFrame, product: DataFrame, room: DataFrame, member: DataFrame,
-                     max_broadcast_rows: int | None = None) -> DataFrame:
+                     max_broadcast_rows: int | None = None, pad_day_name: bool = False) -> DataFrame:
     """Sales at the 10-column grain: kroner_sales = ROUND(SUM(price)/100, 2),
     unit_sales = COUNT(*).
 
-    With dimension sources proven small, the star join is map-side and the
-    aggregate (partial before the exchange) is the only shuffle. Otherwise
-    sales are first aggregated by (ids, date, time bucket), so a hot member
-    or product is collapsed before any shuffle join; the calendar columns are
-    derived from the date afterwards. Both give identical rows: money stays
-    in integer hundredths until the last step."""
-    limit = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    p, p_small = sized(product.select(F.col("id").alias("product_id"), F.col("name").alias("p_name")), **limit)
-    r, r_small = sized(room.select(F.col("id").alias("room_id"), F.col("name").alias("r_name")), **limit)
-    m, m_small = sized(member.select(F.col("id").alias("member_id"), "gender", "active"), **limit)
-    names = [F.col("p_name").alias("product_name"), F.col("r_name").alias("room_name"), "gender",
-             F.col("active").alias("is_active")]
-    if p_small and r_small and m_small:
-        joined = (sale.select("product_id", "room_id", "member_id", "price", "ts")
-                  .join(p, "product_id").join(r, "room_id").join(m, "member_id"))
-        rows = joined.select(*calendar_columns("ts"), *names, "price", F.lit(1).cast("long").alias("n"))
-    else:
-        ts = F.col("ts")
-        pre = (sale.groupBy("product_id", "room_id", "member_id", F.to_date(ts).alias("sale_date"),
-                            time_of_day_code(ts).alias("tod"))
-               .agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("n")))
-        joined = pre.join(p, "product_id").join(r, "room_id").join(m, "member_id")
-        d = F.col("sale_date")
-        calendar = [F.year(d).alias("year"), F.month(d).alias("month"), season(d).alias("season"),
-                    F.dayofmonth(d).alias("day"), day_name(d).alias("day_of_week"),
-                    time_of_day_label("tod").alias("time_of_day")]
-        rows = joined.select(*calendar, *names, "price", "n")
-    return (rows.groupBy(*SALES_GRAIN)
-            .agg(money_sum("price").alias("kroner_sales"), F.sum("n").alias("unit_sales"))
-            .select("year", "month", "season", "day", "day_of_week", "time_of_day", "product_name",
-                    "room_name", "gender", "is_active", "kroner_sales", "unit_sales"))
-
-
-def canonical_names(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
+    The moment is grouped as (date, tinyint bucket), of which the calendar
+    columns are functions; they are derived afterwards. Sides within the budget
+    are joined map-side, so the aggregate (partial before the exchange, which
+    collapses a hot group) is the only shuffle; every larger side adds one."""
+    ts = F.col("ts")
+    moments = sale.select("product_id", "room_id", "member_id", "price",
+                          F.to_date(ts).alias("sale_date"), time_of_day_code(ts).alias("tod"))
+    joined = join_sides(moments, _star_sides(product, room, member), max_rows=max_broadcast_rows)
+    d = F.col("sale_date")
+    return (joined.groupBy("sale_date", "tod", "p_name", "r_name", "gender", "active")
+            .agg(money_sum("price").alias("kroner_sales"), F.count(F.lit(1)).alias("unit_sales"))
+            .select(F.year(d).alias("year"), F.month(d).alias("month"), season(d).alias("season"),
+                    F.dayofmonth(d).alias("day"), day_name(d, pad_day_name).alias("day_of_week"),
+                    time_of_day_label("tod").alias("time_of_day"), F.col("p_name").alias("product_name"),
+                    F.col("r_name").alias("room_name"), "gender", F.col("active").alias("is_active"),
+                    "kroner_sales", "unit_sales"))
+
+
+def canonical_names(df: DataFrame, column: str, out: str | None = None,
+                    names: DataFrame | None = None) -> DataFrame:
     """Replace an HTML-bearing name column by its plain text.
 
     The text job runs once per *distinct* raw name (a dimension-sized set),
     never per sale; the raw -> clean map is joined back (broadcast when its
-    size is checked small)."""
+    size is checked small). ``names`` (one column) holds the raw names when a
+    smaller frame than ``df`` knows them all, so ``df`` is read once; a name
+    that it lacks is an error."""
     out = out or column
-    names = df.select(F.col(column).alias("_raw")).distinct()
-    cleaned = with_html_text(names, "_raw", "_clean")
+    raw = (df.select(column) if names is None else names).toDF("_raw").distinct()
+    cleaned = with_html_text(raw, "_raw", "_clean").withColumn("_known", F.lit(True))
     # the check reads raw names (same rows, half the bytes), so it runs no Python
-    if fits_broadcast(names, max_bytes=BROADCAST_MAX_BYTES // 2):
+    if fits_broadcast(raw, max_bytes=budget(df.sparkSession)[1] // 2):
         cleaned = F.broadcast(cleaned)
     joined = df.join(cleaned, df[column].eqNullSafe(cleaned["_raw"]), "left")
+    clean = F.col("_clean")
+    if names is not None:
+        missing = df[column].isNotNull() & F.col("_known").isNull()
+        clean = F.when(missing, F.raise_error(F.lit(f"{column} outside the given names")).cast("string")).otherwise(clean)
     if out == column:
-        cols = [F.col("_clean").alias(out) if c == column else df[c] for c in df.columns]
+        cols = [clean.alias(out) if c == column else df[c] for c in df.columns]
     else:
-        cols = [df[c] for c in df.columns] + [F.col("_clean").alias(out)]
+        cols = [df[c] for c in df.columns] + [clean.alias(out)]
     return joined.select(*cols)
 
 
-def staged_sales(sales_agg: DataFrame, on_unknown_gender: str = "error") -> DataFrame:
+def staged_sales(sales_agg: DataFrame, on_unknown_gender: str = "error",
+                 names: DataFrame | None = None) -> DataFrame:
     """The staging rows: product names cleaned, gender codes recoded, cast to
-    the staging schema."""
-    cleaned = canonical_names(sales_agg, "product_name")
+    the staging schema. ``names`` as in :func:`canonical_names`: with the name
+    column of the product table, sales are read once."""
+    cleaned = canonical_names(sales_agg, "product_name", names=names)
     out = cleaned.withColumn("gender", recode("gender", GENDER_CODES, on_unknown_gender, name="gender code"))
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.STAGED_SALE.fields])
 
@@ -127,19 +123,19 @@ def reaggregate(staged: DataFrame) -> DataFrame:
             .select(*STAGED_COLUMNS))
 
 
-def time_members(rows: DataFrame) -> DataFrame:
+def time_members(rows: DataFrame, pad_day_name: bool = False) -> DataFrame:
     """Distinct observed moments (year, month, day, time_of_day) with their
     calendar attributes. Season and weekday are functions of the date, so
     they are derived after the distinct (a hash aggregate with no string
     buffers) instead of being carried through it."""
     return (rows.select(*TIME_LOOKUP).distinct()
-            .select(*TIME_LOOKUP, *calendar_from_date())
+            .select(*TIME_LOOKUP, *calendar_from_date(pad_day_name=pad_day_name))
             .select(*TIME_LOOKUP, "season", "day_of_week", *time_member_columns()))
 
 
-def time_dimension(rows: DataFrame) -> DataFrame:
+def time_dimension(rows: DataFrame, pad_day_name: bool = False) -> DataFrame:
     """Time dimension keyed 1.. in (year, month, day, time_of_day) order."""
-    members = time_members(rows)
+    members = time_members(rows, pad_day_name)
     return assign_keys(members, TIME_LOOKUP, key="timeid").select(*TIME_SPEC.columns)
 
 
@@ -157,5 +153,5 @@ def load_facts(staged: DataFrame, time_dim: DataFrame, product_dim: DataFrame, m
 def regroup_facts(f: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataFrame:
     return (f.groupBy(*keys)
             .agg(money(F.sum("kroner_sales")).alias("kroner_sales"),
-                 F.sum("unit_sales").cast("long").alias("unit_sales"))
+                 F.sum("unit_sales").cast("int").alias("unit_sales"))
             .select(*schemas.SALESFACT.fieldNames()))

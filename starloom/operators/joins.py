@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A side is broadcast only when it is proven to hold at most this many rows
-# and this many bytes of column data; larger sides are shuffle-joined and AQE
-# re-plans them (skew splitting, or broadcast once the real size is known).
+# The sides that one plan broadcasts are proven to hold together at most this
+# many rows and bytes of column data (both can be set in the session); larger
+# sides are shuffle-joined, where AQE splits skewed partitions.
+MAX_ROWS_CONF = "starloom.broadcast.maxRows"
+MAX_BYTES_CONF = "starloom.broadcast.maxBytes"
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
@@ -27,30 +30,72 @@ def _row_bytes(df: DataFrame) -> Column:
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes
-    of column data. One distributed aggregate: each partition sends one
-    partial (count, bytes) row, so no task gathers rows (a ``limit`` would
-    funnel up to ``partitions * max_rows`` rows into a single task)."""
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("long")).alias("b")).first()
-    return r["n"] <= max_rows and (r["b"] or 0) <= max_bytes
+def budget(spark: SparkSession) -> tuple[int, int]:
+    """(rows, bytes) that the broadcast sides of one plan may hold together."""
+    return (int(spark.conf.get(MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS))),
+            int(spark.conf.get(MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES))))
 
 
-def sized(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-          max_bytes: int = BROADCAST_MAX_BYTES) -> tuple[DataFrame, bool]:
+def sizes(sides: Sequence[DataFrame]) -> list[tuple[int, int]]:
+    """(rows, bytes of column data) of every side, in one job. Each partition
+    sends one partial (count, bytes) row, so no task gathers rows (a ``limit``
+    would funnel up to ``partitions * max_rows`` rows into a single task)."""
+    counted = [df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("long")).alias("b"))
+               .select(F.lit(i).alias("i"), "n", "b") for i, df in enumerate(sides)]
+    found = {r["i"]: (r["n"], r["b"] or 0) for r in reduce(DataFrame.unionAll, counted).collect()}
+    return [found[i] for i in range(len(sides))]
+
+
+def within_budget(sides: Sequence[DataFrame], max_rows: int | None = None,
+                  max_bytes: int | None = None) -> list[bool]:
+    """Which sides may be broadcast in one plan: the smallest first, as long
+    as all of them together stay within the budget."""
+    rows, size = budget(sides[0].sparkSession)
+    rows = rows if max_rows is None else max_rows
+    size = size if max_bytes is None else max_bytes
+    measured = sizes(sides)
+    chosen = [False] * len(sides)
+    for i in sorted(range(len(sides)), key=lambda i: (measured[i][1], measured[i][0])):
+        n, b = measured[i]
+        if n > rows or b > size:
+            break
+        chosen[i], rows, size = True, rows - n, size - b
+    return chosen
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` alone stays within the broadcast budget."""
+    return within_budget([df], max_rows, max_bytes)[0]
+
+
+def sized(df: DataFrame, max_rows: int | None = None,
+          max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """(``df`` with a broadcast hint, True) if its size is proven small,
     else (``df``, False)."""
     small = fits_broadcast(df, max_rows, max_bytes)
     return (F.broadcast(df) if small else df), small
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if its size is proven small, else as is."""
     return sized(df, max_rows, max_bytes)[0]
 
 
+def join_sides(big: DataFrame, sides: dict[str, DataFrame], how: str = "inner",
+               bounds: Sequence[DataFrame] | None = None, max_rows: int | None = None) -> DataFrame:
+    """``big`` joined to each side by the key column that names it.
+
+    Sides that fit the plan's budget together are joined map-side first. Each
+    of the others costs one shuffle of ``big``; the sort-merge hint keeps
+    Catalyst from broadcasting it after all on a wrong estimate, and AQE splits
+    the partition of a hot key. ``bounds`` gives cheaper frames that are at
+    least as large as the sides, to be measured in their place."""
+    small = within_budget(list(bounds or sides.values()), max_rows)
+    for (key, side), fits in sorted(zip(sides.items(), small), key=lambda x: not x[1]):
+        big = big.join(F.broadcast(side) if fits else side.hint("merge"), key, how)
+    return big
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
                 salt: int = 16, salt_from: Sequence[str] | None = None) -> DataFrame:
     """Equi-join for a hot key on the big side when the small side cannot be

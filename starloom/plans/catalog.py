@@ -7,7 +7,9 @@ the matching SQL oracle in :mod:`starloom.plans.oracles`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +65,8 @@ def operational(src: Sources, gap: bool = False) -> star.Operational:
 
 
 def _staged(src: Sources) -> DataFrame:
-    return staged_sales(sales_aggregated(src.sale, src.product, src.room, src.member))
+    sales = sales_aggregated(src.sale, src.product, src.room, src.member)
+    return staged_sales(sales, names=src.product.select("name"))
 
 
 def _ranked(src: Sources, gap: bool = False) -> DataFrame:
@@ -246,6 +249,13 @@ def q_surrogate_keys(spark, sf_dir):
     return assign_keys(li, ["l_orderkey", "l_linenumber"], key="id")
 
 
+@query("surrogate_keys_tied")
+def q_surrogate_keys_tied(spark, sf_dir):
+    """Keys by supplier alone: its many ties follow the remaining columns."""
+    li = Sources(spark, sf_dir).table("lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey")
+    return assign_keys(li, ["l_suppkey"], key="id")
+
+
 @query("dim_member")
 def q_dim_member(spark, sf_dir):
     return star.member_dimension(spark, Sources(spark, sf_dir).member)
@@ -335,9 +345,8 @@ def q_lookup_single(spark, sf_dir):
 @query("dim_lookup_composite")
 def q_lookup_composite(spark, sf_dir):
     src = Sources(spark, sf_dir)
-    staged = _staged(src)
-    rows = reaggregate(staged)
-    f = lookup(rows, time_dimension(staged), TIME_SPEC, "error")
+    time = time_dimension(star.sold_moments(operational(src)))
+    f = lookup(reaggregate(_staged(src)), time, TIME_SPEC, "error")
     f = lookup(f, star.member_dimension(spark, src.member), MEMBER_SPEC, "error")
     return f.select("year", "month", "day", "time_of_day", "product_name", "room_name", "gender",
                     "is_active", "timeid", "memberid")
@@ -378,9 +387,35 @@ def q_star_rollup(spark, sf_dir):
     return star.star_rollup(star.keys_first_load(spark, operational(src), src.level_map()))
 
 
+@query("full_reload")
+def q_full_reload(spark, sf_dir):
+    """A load of the gapped products, then a full one: the second replaces
+    every table of the first, and its fact is read back."""
+    src = Sources(spark, sf_dir)
+    root = f"{publish.output_root(spark)}/reload-{uuid.uuid4().hex}"
+    for gap in (True, False):
+        wh = star.keys_first_load(spark, operational(src, gap), src.level_map(gap))
+        publish.write_run(spark, wh.tables(), root=root)
+    return publish.read_table(spark, "salesfact", root=root)
+
+
+@query("commit_points")
+def q_commit_points(spark, sf_dir):
+    """Rows per published table, counted after a later run was written but not
+    published: readers still see the first run."""
+    src = Sources(spark, sf_dir)
+    root = f"{publish.output_root(spark)}/commit-{uuid.uuid4().hex}"
+    wh = star.keys_first_load(spark, operational(src), src.level_map())
+    publish.write_run(spark, wh.tables(), root=root)
+    publish.write_run(spark, {t: df.limit(0) for t, df in wh.tables().items()}, root=root, publish=False)
+    counts = [publish.read_table(spark, t, root=root).agg(F.count(F.lit(1)).alias("n"))
+              .select(F.lit(t).alias("table"), "n") for t in wh.tables()]
+    return reduce(DataFrame.unionAll, counts)
+
+
 @query("bridge_replace")
 def q_bridge_replace(spark, sf_dir):
-    """Bridge pairs written in overwrite mode and read back."""
+    """Bridge pairs written as a new version of their table and read back."""
     src = Sources(spark, sf_dir)
     return publish.replace_table(spark, src.product_categories(), "product_categories")
 

@@ -33,10 +33,12 @@ def operational_from(spark: SparkSession, tables_dir: str) -> star.Operational:
 
 
 def run(spark: SparkSession, src: star.Operational, levels, out: str, plan: str = "keys-first",
-        on_missing_product: str = "default") -> tuple[str, list[dict]]:
+        on_missing_product: str = "default", **options) -> tuple[str, list[dict]]:
+    """Load, write, check, publish. ``options`` go to the load
+    (``insert_only_product``, ``pad_day_name``)."""
     configure(spark)
     load = star.keys_first_load if plan == "keys-first" else star.two_stage_load
-    wh = load(spark, src, levels, on_missing_product)
+    wh = load(spark, src, levels, on_missing_product, **options)
     run_id = publish.write_run(spark, wh.tables(), root=out, publish=False)
     wh.release()
     tables = {t: publish.read_table(spark, t, root=out, run_id=run_id) for t in wh.tables()}
@@ -57,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="shared output folder of the warehouse")
     ap.add_argument("--plan", choices=("keys-first", "two-stage"), default="keys-first")
     ap.add_argument("--on-missing-product", choices=("default", "error", "null"), default="default")
+    ap.add_argument("--insert-only-product", action="store_true", help="known products keep their status")
+    ap.add_argument("--pad-day-name", action="store_true", help="weekday names padded to nine characters")
     ap.add_argument("--master", default=None, help="only for local runs, e.g. local[8]")
     args = ap.parse_args(argv)
 
@@ -70,7 +74,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         src = operational_from(spark, args.tables)
         levels = level_map(spark)
-    run_id, report = run(spark, src, levels, args.out, args.plan, args.on_missing_product)
+    run_id, report = run(spark, src, levels, args.out, args.plan, args.on_missing_product,
+                         insert_only_product=args.insert_only_product, pad_day_name=args.pad_day_name)
     print(json.dumps({"run_id": run_id, "out": args.out}))
     for row in report:
         print(json.dumps(row))

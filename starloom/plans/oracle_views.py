@@ -30,7 +30,11 @@ union all
 select p_partkey, p_brand from part where p_size % 10 <> 0 and p_size % 3 <> 0
 union all
 select p_partkey, case when p_size < 17 then 'S' when p_size < 34 then 'M' else 'L' end
-from part where p_size % 10 <> 0 and p_size % 2 = 0""",
+from part where p_size % 10 <> 0 and p_size % 2 = 0
+union all
+select p_partkey, 'XL' from part where p_size % 10 <> 0 and p_size % 4 = 0
+union all
+select p_partkey, 'Seasonal' from part where p_size % 10 <> 0 and p_size % 7 = 0""",
     "v_bridge_gap": """
 select b.* from v_bridge b join part on p_partkey = b.product_id
 where not starts_with(p_name, 'blue') and not starts_with(p_name, 'cold')""",
@@ -40,12 +44,12 @@ where not starts_with(p_name, 'blue') and not starts_with(p_name, 'cold')""",
     "v_product_categories_gap": "select product_id, c.id category_id from v_bridge_gap b join v_category_gap c on c.name = b.cname",
     "v_level": """
 select name, case when starts_with(name, 'Brand#') then 'category'
-                  when name in ('S','M','L') then 'subcategory' else 'product_type' end level
-from v_category""",
+                  when name in ('S','M','L','XL') then 'subcategory' else 'product_type' end level
+from v_category where name <> 'Seasonal'""",
     "v_level_gap": """
 select name, case when starts_with(name, 'Brand#') then 'category'
-                  when name in ('S','M','L') then 'subcategory' else 'product_type' end level
-from v_category_gap""",
+                  when name in ('S','M','L','XL') then 'subcategory' else 'product_type' end level
+from v_category_gap where name <> 'Seasonal'""",
 }
 
 # Views each view depends on.
@@ -82,7 +86,8 @@ def with_views(*names: str, extra: dict[str, str] | None = None) -> str:
     return "with " + ",\n".join(parts) + "\n"
 
 
-# SQL expressions shared by several oracles.
+# SQL expressions shared by several oracles. Hour and month lists,
+# labels and gender codes.
 TIME_OF_DAY = """case when hour({ts}) in (6,7,8,9,10) then 'Morning'
      when hour({ts}) in (11,12,13) then 'Noon'
      when hour({ts}) in (13,14,15,16) then 'Afternoon' else 'Night' end"""
@@ -90,25 +95,26 @@ SEASON = """case when month({ts}) in (12,1,2) then 'Winter'
      when month({ts}) in (3,4,5) then 'Spring'
      when month({ts}) in (6,7,8) then 'Summer' else 'Fall' end"""
 GENDER = """case {g} when 'M' then 'Male' when 'F' then 'Female' when 'U' then 'Undefined' end"""
-# Markup removal in one leftmost-first pass, then the references that occur
-# in the fixtures ('&amp' is decoded last, in html_text_sql).
-MARKUP = (r"(?is)<!--.*?(?:-->|\z)"
-          r"|<script\b[^>]*>.*?(?:</script\s*>|\z)"
-          r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-          r"|<template\b[^>]*>.*?(?:</template\s*>|\z)"
-          r"|<[a-z/!?][^>]*(?:>|\z)")
-HTML_TEXT = ("replace(replace(replace(replace(replace(replace(replace(replace("
-             "regexp_replace({x}, '" + MARKUP + "', '', 'g'), "
-             "'&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), "
-             "'&quot;', '\"'), '&apos;', ''''), '&#39;', '''')")
 
 
-def html_text_sql(x: str) -> str:
-    """Oracle text of a column: markup removed, the references found in the
-    fixtures decoded, '&amp' (with or without ';') last."""
-    inner = HTML_TEXT.format(x=x)
-    return f"regexp_replace({inner}, '&amp;?', '&', 'g')"
+def _without(x: str, opening: str, closing: str) -> str:
+    """``x`` without its spans from ``opening`` through the next ``closing``:
+    split at the openings, each later piece goes on after its closing."""
+    rest = f"substr(p, instr(p, '{closing}') + {len(closing)})"
+    return (f"array_to_string(list_transform(string_split({x}, '{opening}'), "
+            f"lambda p, i: case when i = 1 then p else {rest} end), '')")
 
 
-def clean_name_sql(x: str) -> str:
-    return html_text_sql(x)
+# The references that occur in the fixtures; '&amp' is decoded last.
+REFERENCES = [("&copy;", "'©'"), ("&middot;", "'·'"), ("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"),
+              ("&quot;", "chr(34)"), ("&apos;", "chr(39)"), ("&#39;", "chr(39)")]
+
+
+def html_text_sql(x: str) -> str:
+    """Oracle text of a column by splitting, without a pattern: it covers what
+    the fixtures hold (closed lower-case elements, no '>' inside a tag)."""
+    for opening, closing in (("<!--", "-->"), ("<script", "</script>"), ("<style", "</style>"), ("<", ">")):
+        x = _without(x, opening, closing)
+    for reference, char in REFERENCES:
+        x = f"replace({x}, '{reference}', {char})"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"

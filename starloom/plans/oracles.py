@@ -49,23 +49,19 @@ from v_product p join v_product_categories{sfx} pc on p.id = pc.product_id
 
 
 PIVOTED = """
-select id, pname, active, alcohol_content_ml,
-       max(case when rn = 1 then cname end) cat_01,
-       max(case when rn = 2 then cname end) cat_02,
-       max(case when rn = 3 then cname end) cat_03
-from ranked group by id, pname, active, alcohol_content_ml"""
+select id, pname, active, alcohol_content_ml, max(cname) filter (where rn = 1) cat_01,
+       max(cname) filter (where rn = 2) cat_02, max(cname) filter (where rn = 3) cat_03
+from ranked group by all"""
 
 
 def _routed(sfx: str) -> str:
     def level(name: str) -> str:
-        return (f"coalesce(case when l3.level = '{name}' then cat_03 end, "
-                f"case when l2.level = '{name}' then cat_02 end, "
-                f"case when l1.level = '{name}' then cat_01 end) {name}")
+        return f"arg_max(r.cname, r.rn) filter (where l.level = '{name}') {name}"
     return f"""
-select id, pname, active, alcohol_content_ml, {level('product_type')}, {level('category')},
+select r.id, r.pname, r.active, r.alcohol_content_ml, {level('product_type')}, {level('category')},
        {level('subcategory')}
-from pivoted left join v_level{sfx} l1 on l1.name = cat_01 left join v_level{sfx} l2 on l2.name = cat_02
-     left join v_level{sfx} l3 on l3.name = cat_03"""
+from ranked r left join v_level{sfx} l on l.name = r.cname
+group by r.id, r.pname, r.active, r.alcohol_content_ml"""
 
 
 PROW = f"""
@@ -119,7 +115,7 @@ ROOM_KEYS = "select room_name, min(roomid) roomid from room_dim group by room_na
 
 FACT = """
 select t.timeid, coalesce(p.productid, 1) productid, m.memberid, coalesce(r.roomid, 1) roomid,
-       cast(sum(g.kroner_sales) as decimal(10,2)) kroner_sales, cast(sum(g.unit_sales) as bigint) unit_sales
+       cast(sum(g.kroner_sales) as decimal(10,2)) kroner_sales, cast(sum(g.unit_sales) as int) unit_sales
 from regrouped g
      join time_dim t on t.year = g.year and t.month = g.month and t.day = g.day
                      and t.time_of_day = g.time_of_day
@@ -219,6 +215,10 @@ from v_sale s join v_product p on p.id = s.product_id join v_room r on r.id = s.
     "surrogate_keys": """
 select row_number() over (order by l_orderkey nulls first, l_linenumber nulls first) id, l_orderkey, l_linenumber
 from (select distinct l_orderkey, l_linenumber from lineitem)""",
+    "surrogate_keys_tied": """
+select row_number() over (order by l_suppkey nulls first, l_orderkey nulls first, l_linenumber nulls first,
+                                   l_partkey nulls first) id, l_suppkey, l_orderkey, l_linenumber, l_partkey
+from lineitem""",
     "dim_member": with_views("v_member", extra={"member_dim": MEMBER_DIM}) + "select * from member_dim",
     "dim_room": with_views("v_room", extra={"room_dim": ROOM_DIM}) + "select * from room_dim",
     "dim_insert": with_views("v_room", extra={"room_dim": ROOM_DIM}) + """
@@ -249,7 +249,7 @@ from dim1 d left join b2_last l on l.product_name = d.product_name
 union all
 select * from ({_scd1_new('b2_new', '(select max(productid) from dim1)')})""",
     "dim_ensure": with_views(*_product_views(True), *_product_views(False), extra={
-        **{f"{k}_gap": v.replace("from ranked", "from ranked_gap").replace("from pivoted", "from pivoted_gap")
+        **{f"{k}_gap": v.replace("from ranked", "from ranked_gap")
            .replace("from routed", "from routed_gap").replace("from prow", "from prow_gap")
            for k, v in _product_ctes(True).items()},
         **_product_ctes(False),
@@ -278,6 +278,11 @@ from regrouped g left join product_keys p on p.product_name = g.product_name""",
     "fact_sales": _warehouse() + "select * from fact",
     "fact_sales_keys_first": _warehouse() + "select * from fact",
     "fact_sales_unknown_product": _warehouse(gap=True) + "select * from fact",
+    "full_reload": _warehouse() + "select * from fact",
+    "commit_points": _warehouse() + """
+select 'product' "table", count(*) n from product_dim union all select 'member', count(*) from member_dim
+union all select 'room', count(*) from room_dim union all select 'time', count(*) from time_dim
+union all select 'salesfact', count(*) from fact""",
     "star_rollup": _warehouse() + """
 select t.year, t.month, t.day, t.time_of_day, p.product_name, m.gender, m.is_active, r.room_name,
        f.kroner_sales, f.unit_sales

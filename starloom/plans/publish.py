@@ -45,10 +45,13 @@ def conform_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> DataFrame:
-    """Truncate-and-load of one table (overwrite), read back lazily."""
-    path = f"{root or output_root(spark)}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Truncate-and-load of one table: a new version is written, then pointed
+    to, so readers see the old rows or the new ones. Read back lazily."""
+    base = f"{root or output_root(spark)}/tables/{name}"
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{base}/versions/{version}")
+    _point(spark, base, version)
+    return spark.read.parquet(f"{base}/versions/{_pointed(spark, base)}")
 
 
 def write_run(spark: SparkSession, tables: dict[str, DataFrame], root: str | None = None,
@@ -67,18 +70,26 @@ def write_run(spark: SparkSession, tables: dict[str, DataFrame], root: str | Non
     return run_id
 
 
-def publish_run(spark: SparkSession, run_id: str, root: str | None = None) -> None:
-    """Makes a written run the current one: appends a pointer file, which
-    appears as a whole when its write commits."""
+def _point(spark: SparkSession, base: str, run_id: str) -> None:
+    """Appends a pointer file, which appears as a whole when its write commits."""
     pointer = spark.range(1).select(F.lit(time.time_ns()).alias("seq"), F.lit(run_id).alias("run_id"))
-    pointer.coalesce(1).write.mode("append").json(f"{root or output_root(spark)}/pointers")
+    pointer.coalesce(1).write.mode("append").json(f"{base}/pointers")
 
 
-def current_run(spark: SparkSession, root: str | None = None) -> str:
-    pointers = spark.read.schema("seq long, run_id string").json(f"{root or output_root(spark)}/pointers")
+def _pointed(spark: SparkSession, base: str) -> str:
+    pointers = spark.read.schema("seq long, run_id string").json(f"{base}/pointers")
     return pointers.agg(F.max_by("run_id", "seq").alias("run_id")).first()["run_id"]
 
 
+def publish_run(spark: SparkSession, run_id: str, root: str | None = None) -> None:
+    """Makes a written run the current one."""
+    _point(spark, root or output_root(spark), run_id)
+
+
+def current_run(spark: SparkSession, root: str | None = None) -> str:
+    return _pointed(spark, root or output_root(spark))
+
+
 def read_table(spark: SparkSession, name: str, root: str | None = None, run_id: str | None = None) -> DataFrame:
     root = root or output_root(spark)
     run_id = run_id or current_run(spark, root)

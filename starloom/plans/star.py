@@ -10,6 +10,10 @@ Two equivalent plans are offered:
   once, by key, with map-side partial aggregation. One shuffle of sale data
   instead of three; equal results because money is kept in integer
   hundredths until the end and season/weekday are functions of the date.
+
+Both take ``insert_only_product`` (existing and repeated products keep the
+status they came with first) and ``pad_day_name`` (weekdays blank-padded to nine
+characters; the weekday flag then holds for Wednesday only).
 """
 
 from __future__ import annotations
@@ -48,7 +52,7 @@ from starloom.operators.facts import (
     staged_sales,
     time_dimension,
 )
-from starloom.operators.joins import sized, small_side
+from starloom.operators.joins import join_sides, small_side
 from starloom.operators.keys import materialize
 
 # Default members seeded before any load.
@@ -97,12 +101,13 @@ def product_rows(src: Operational, levels: DataFrame) -> DataFrame:
     rows = fill_defaults(routed).select(
         "id", F.col("pname").alias("product_name"), "product_type", "category", "subcategory",
         bool_label("active").alias("status"), "alcohol_content_ml")
-    return canonical_names(rows, "product_name")
+    return canonical_names(rows, "product_name", names=src.product.select("name"))
 
 
-def product_dimension(spark: SparkSession, rows: DataFrame) -> DataFrame:
+def product_dimension(spark: SparkSession, rows: DataFrame, insert_only: bool = False) -> DataFrame:
     seed = seed_members(spark, [PRODUCT_SEED], schemas.PRODUCT)
-    dim = scd1_upsert(seed, rows, PRODUCT_SPEC, seq="id", start=PRODUCT_SEED["productid"] + 1)
+    load = dim_ensure if insert_only else scd1_upsert
+    dim = load(seed, rows, PRODUCT_SPEC, seq="id", start=PRODUCT_SEED["productid"] + 1)
     return materialize(conform(dim, PRODUCT_SPEC, schemas.PRODUCT))
 
 
@@ -126,13 +131,15 @@ def room_dimension(spark: SparkSession, room: DataFrame) -> DataFrame:
 
 # -- two-stage plan -------------------------------------------------------------
 def two_stage_load(spark: SparkSession, src: Operational, levels: DataFrame,
-                   on_missing_product: str = "default") -> Warehouse:
-    product = product_dimension(spark, product_rows(src, levels))
+                   on_missing_product: str = "default", insert_only_product: bool = False,
+                   pad_day_name: bool = False) -> Warehouse:
+    product = product_dimension(spark, product_rows(src, levels), insert_only_product)
     member = member_dimension(spark, src.member)
     room = room_dimension(spark, src.room)
-    staged = staged_sales(sales_aggregated(src.sale, src.product, src.room, src.member))
+    sales = sales_aggregated(src.sale, src.product, src.room, src.member, pad_day_name=pad_day_name)
+    staged = staged_sales(sales, names=src.product.select("name"))
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    time = materialize(conform(time_dimension(staged), TIME_SPEC, schemas.TIME))
+    time = time_dimension_from_moments(staged, pad_day_name)
     fact = load_facts(reaggregate(staged), time, product, member, room, on_missing_product)
     return Warehouse(product, member, room, time, fact, (staged,))
 
@@ -157,72 +164,78 @@ def room_key_map(src: Operational, room: DataFrame) -> DataFrame:
     return lookup(named, room, ROOM_SPEC, "default").select("room_id", "roomid")
 
 
+def sale_moments(src: Operational) -> DataFrame:
+    """Sales by source ids and moment (date, tinyint bucket). The fact's time
+    key must not be NULL: a sale without a moment fails the load."""
+    ts = F.col("ts")
+    sale_date = F.coalesce(F.to_date(ts), F.raise_error(F.lit("sale without timestamp")).cast("date"))
+    return src.sale.select("product_id", "room_id", "member_id", "price",
+                           sale_date.alias("sale_date"), time_of_day_code(ts).alias("tod"))
+
+
+def _moment_columns() -> list:
+    d = F.col("sale_date")
+    return [F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
+            time_of_day_label("tod").alias("time_of_day")]
+
+
+def _source_ids(src: Operational) -> list[DataFrame]:
+    """(id, a constant) per product, room and member: as many rows and bytes
+    as the key maps, measured without computing these."""
+    return [t.select("id", F.lit(0).cast("long").alias("key")) for t in (src.product, src.room, src.member)]
+
+
 def keyed_sales(src: Operational, product: DataFrame, member: DataFrame, room: DataFrame,
                 on_missing_product: str = "default", max_broadcast_rows: int | None = None) -> DataFrame:
     """Sales aggregated at the final grain (three keys + moment).
 
     The moment travels as (date, tinyint bucket): a narrow shuffle key; the
     calendar columns are derived after the aggregate, on far fewer rows.
-
-    * Key maps proven small (the usual case: they have one row per product,
-      member or room) are joined map-side, and the aggregate by key is the
-      only shuffle of sale data; its partial step collapses hot keys first.
-    * Otherwise sales are first aggregated by source ids (partial
-      aggregation again absorbs a hot product or member before any
-      exchange), the much smaller result is shuffle-joined to the maps (AQE
-      splits skewed partitions), and regrouped by surrogate key."""
-    limit = {} if max_broadcast_rows is None else {"max_rows": max_broadcast_rows}
-    # each map is computed once (name cleaning included) and then both size-
-    # checked and broadcast from its checkpoint
+    Key maps (one row per product, member or room) within the broadcast budget
+    are joined map-side, and the aggregate by key is the only shuffle of sale
+    data; its partial step collapses hot keys first. A map beyond the budget
+    adds one shuffle join, in which AQE splits the partition of a hot key."""
     # "error" concerns products that were sold: a product without a member
     # stays NULL in the map and fails only when a sale refers to it
     in_map = "null" if on_missing_product == "error" else on_missing_product
-    pmap, p_small = sized(materialize(product_key_map(src, product, in_map)), **limit)
-    mmap, m_small = sized(materialize(member_key_map(src, member)), **limit)
-    rmap, r_small = sized(materialize(room_key_map(src, room)), **limit)
-    ts = F.col("ts")
-    # the fact's time key must not be NULL: a sale without a moment fails the load
-    sale_date = F.coalesce(F.to_date(ts), F.raise_error(F.lit("sale without timestamp")).cast("date"))
-    sales = src.sale.select("product_id", "room_id", "member_id", "price",
-                            sale_date.alias("sale_date"), time_of_day_code(ts).alias("tod"))
-    moment = ["sale_date", "tod"]
-    measures = [F.sum("price").alias("price"), F.count(F.lit(1)).alias("unit_sales")]
-    if p_small and m_small and r_small:
-        priced = sales.join(pmap, "product_id").join(rmap, "room_id").join(mmap, "member_id")
-        agg = priced.groupBy("productid", "memberid", "roomid", *moment).agg(*measures)
-    else:
-        by_source = sales.groupBy("product_id", "room_id", "member_id", *moment).agg(*measures)
-        priced = by_source.join(pmap, "product_id").join(rmap, "room_id").join(mmap, "member_id")
-        agg = (priced.groupBy("productid", "memberid", "roomid", *moment)
-               .agg(F.sum("price").alias("price"), F.sum("unit_sales").alias("unit_sales")))
-    d = F.col("sale_date")
+    maps = {"product_id": product_key_map(src, product, in_map), "room_id": room_key_map(src, room),
+            "member_id": member_key_map(src, member)}
+    keyed = join_sides(sale_moments(src), maps, bounds=_source_ids(src), max_rows=max_broadcast_rows)
+    agg = (keyed.groupBy("productid", "memberid", "roomid", "sale_date", "tod")
+           .agg(F.sum("price").alias("price"), F.count(F.lit(1)).alias("unit_sales")))
     productid = F.col("productid")
     if on_missing_product == "error":
         productid = F.coalesce(productid, F.raise_error(F.lit("sale of a product without a member")).cast("long"))
-    return agg.select(productid.alias("productid"), "memberid", "roomid", F.year(d).alias("year"), F.month(d).alias("month"),
-                      F.dayofmonth(d).alias("day"), time_of_day_label("tod").alias("time_of_day"),
-                      "price", "unit_sales")
+    return agg.select(productid.alias("productid"), "memberid", "roomid", *_moment_columns(), "price", "unit_sales")
+
+
+def sold_moments(src: Operational, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Distinct moments of the sales whose product, room and member exist: a
+    narrow scan of its own, so that the fact streams to its writer instead of
+    being kept to be read twice."""
+    ids = [t.select("id") for t in (src.product, src.room, src.member)]
+    sides = {c: t.toDF(c) for c, t in zip(("product_id", "room_id", "member_id"), ids)}
+    known = join_sides(sale_moments(src).drop("price"), sides, "left_semi", _source_ids(src), max_broadcast_rows)
+    return known.select("sale_date", "tod").distinct().select(*_moment_columns())
 
 
-def time_dimension_from_moments(moments: DataFrame) -> DataFrame:
-    return materialize(conform(time_dimension(moments), TIME_SPEC, schemas.TIME))
+def time_dimension_from_moments(moments: DataFrame, pad_day_name: bool = False) -> DataFrame:
+    return materialize(conform(time_dimension(moments, pad_day_name), TIME_SPEC, schemas.TIME))
 
 
 def keys_first_load(spark: SparkSession, src: Operational, levels: DataFrame,
-                    on_missing_product: str = "default", max_broadcast_rows: int | None = None) -> Warehouse:
-    product = product_dimension(spark, product_rows(src, levels))
+                    on_missing_product: str = "default", max_broadcast_rows: int | None = None,
+                    insert_only_product: bool = False, pad_day_name: bool = False) -> Warehouse:
+    product = product_dimension(spark, product_rows(src, levels), insert_only_product)
     member = member_dimension(spark, src.member)
     room = room_dimension(spark, src.room)
+    time = time_dimension_from_moments(sold_moments(src, max_broadcast_rows), pad_day_name)
     agg = keyed_sales(src, product, member, room, on_missing_product, max_broadcast_rows)
-    # Read twice (time members, fact rows): kept, so the sale table is
-    # scanned and shuffled once; lost blocks are recomputed from lineage.
-    agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
-    time = time_dimension_from_moments(agg)
     tkeys = small_side(time.select("timeid", *TIME_LOOKUP))
     fact = agg.join(tkeys, TIME_LOOKUP).select(
         *FACT_KEYS, hundredths_to_money("price").alias("kroner_sales"),
-        F.col("unit_sales").cast("long").alias("unit_sales"))
-    return Warehouse(product, member, room, time, fact, (agg,))
+        F.col("unit_sales").cast("int").alias("unit_sales"))
+    return Warehouse(product, member, room, time, fact)
 
 
 def star_rollup(wh: Warehouse) -> DataFrame:

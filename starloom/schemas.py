@@ -50,7 +50,7 @@ SALESFACT = _struct(
     ("memberid", L, False),
     ("roomid", L, False),
     ("kroner_sales", MONEY, True),
-    ("unit_sales", L, True),
+    ("unit_sales", I, True),
 )
 
 STAGED_SALE = _struct(

@@ -9,6 +9,8 @@ prunes the Parquet scans down to the columns each query uses.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 MALE_SEGMENTS = ["BUILDING", "MACHINERY"]
 FEMALE_SEGMENTS = ["FURNITURE", "HOUSEHOLD"]
 GAP_NAME_PREFIXES = ["blue", "cold"]
-SUBCATEGORY_SIZES = ["S", "M", "L"]
+SUBCATEGORY_SIZES = ["S", "M", "L", "XL"]
+UNLISTED_CATEGORY = "Seasonal"  # found on no level
 BRAND_PREFIX = "Brand#"
 
 
@@ -77,7 +80,8 @@ class Sources:
         return self.table("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
 
     def bridge_named(self, gap: bool = False) -> DataFrame:
-        """(product_id, cname): up to three categories per product.
+        """(product_id, cname): up to five categories per product, some of them two
+        on one level or one on no level.
 
         ``gap=True`` leaves out every part whose name starts with one of
         GAP_NAME_PREFIXES, so whole product names miss the dimension."""
@@ -93,7 +97,9 @@ class Sources:
         first = p.select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("cname"))
         second = p.filter(F.col("p_size") % 3 != 0).select("p_partkey", "p_brand")
         third = p.filter(F.col("p_size") % 2 == 0).select("p_partkey", size_class)
-        return first.unionAll(second.toDF("product_id", "cname")).unionAll(third.toDF("product_id", "cname"))
+        fourth = p.filter(F.col("p_size") % 4 == 0).select("p_partkey", F.lit("XL"))
+        fifth = p.filter(F.col("p_size") % 7 == 0).select("p_partkey", F.lit(UNLISTED_CATEGORY))
+        return reduce(DataFrame.unionAll, [first, *[d.toDF("product_id", "cname") for d in (second, third, fourth, fifth)]])
 
     def category(self, gap: bool = False) -> DataFrame:
         """Category table (id, name): ids dense in name order."""
@@ -112,8 +118,9 @@ class Sources:
 
     # -- routing levels -----------------------------------------------------
     def level_map(self, gap: bool = False) -> DataFrame:
-        """(name, level) for every category name, by the fixture rule."""
+        """(name, level) for every category name that has a level, by the fixture rule."""
         names = self.bridge_named(gap).select(F.col("cname").alias("name")).distinct()
+        names = names.filter(F.col("name") != UNLISTED_CATEGORY)
         return names.select("name", level_of(F.col("name")).alias("level"))
 
 

@@ -51,11 +51,6 @@ def rename_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """A small literal relation (seed rows) with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)
-
-
 def read_pairs(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Bridge pairs kept as a data file (product_id, category_id)."""
     schema = T.StructType([T.StructField("product_id", T.LongType()),

@@ -1,6 +1,9 @@
 from pyspark.sql import functions as F
 
 from starloom.operators import categories as cat
+from starloom.sources.fixtures import Sources
+
+from conftest import SF_SMALL
 
 LEVELS = {"product_type": ["Drikke", "Events"], "category": ["Sodavand", "Kaffe"], "subcategory": ["Øl"]}
 
@@ -33,7 +36,8 @@ def test_pivot_and_dropped(spark):
 
 def test_route_direct_equals_route_pivoted(spark):
     ranked = cat.rank_categories(_rows(spark))
-    direct = cat.route_categories(ranked, cat.level_map(spark, LEVELS))
+    levels = cat.level_map(spark, LEVELS)
+    direct = cat.route_categories(ranked, levels, k=cat.MAX_CATEGORIES)
     pivoted = cat.route_pivoted(cat.pivot_categories(ranked), LEVELS)
     cols = ["id", "product_type", "category", "subcategory"]
     assert sorted(map(tuple, direct.select(cols).collect())) == sorted(map(tuple, pivoted.select(cols).collect()))
@@ -41,6 +45,19 @@ def test_route_direct_equals_route_pivoted(spark):
     assert got[3] == ("Drikke", "Sodavand", "Øl")
     assert got[4] == ("Events", "Kaffe", None)     # Drikke then Events: later wins
     assert got[5] == (None, "Sodavand", None)      # Kaffe then Sodavand; Mystery ignored
+    whole = {r.id: (r.product_type, r.category, r.subcategory) for r in cat.route_categories(ranked, levels).collect()}
+    assert whole[4] == ("Events", "Sodavand", None)  # the fourth category counts too
+    assert {k: v for k, v in whole.items() if k != 4} == {k: v for k, v in got.items() if k != 4}
+
+
+def test_fixture_reaches_the_routing_rules(spark):
+    src = Sources(spark, SF_SMALL)
+    ranked = cat.rank_categories(cat.bridge_join(src.product, src.category(), src.product_categories()))
+    top = cat.topk_per_group(ranked.drop("rn"), ["id", "pname"], [F.col("cname").asc_nulls_first()], cat.MAX_CATEGORIES)
+    assert top.count() < ranked.count()
+    assert ranked.filter(F.col("cname") == "Seasonal").count() > 0
+    two = ranked.filter(F.col("cname").isin("S", "M", "L", "XL")).groupBy("id").count().filter("count > 1")
+    assert two.count() > 0
 
 
 def test_topk_per_group(spark):

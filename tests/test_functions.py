@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions.html import with_html_text
 from starloom.functions import (
     GENDER_CODES,
     bool_label,
@@ -134,3 +135,23 @@ def test_time_zone_pinned(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23),)], "ts timestamp_ntz")
     assert df.select(F.hour("ts")).first()[0] == 23
+
+
+@pytest.mark.parametrize("markup, text", [
+    ('<a title="x > y">text</a>', "text"),
+    ("<a title = 'x > y' b=\"'>\">text</a>", "text"),
+    ('<a title="never closed>text</a>', "text"),
+    ("<p class=it's>don't</p>", "don't"),
+    ('<script type="a>b">x</script>y', "y"),
+    ("<scripted>x</scripted>", "x"),
+    ("a<![CDATA[ 1 < 2 && <b>x</b> &amp; ]]>b &amp; c", "a 1 < 2 && <b>x</b> &amp; b & c"),
+    ("a<![CDATA[never closed & cut", "a"),
+    ("<!-- <![CDATA[ x & y ]]> -->z", "z"),
+    ('<a title="' + "x > " * 20_000 + '">long</a>', "long"),
+    ("<a " + "b=c " * 50_000 + ">many</a>", "many"),
+    (None, None),
+    ("", ""),
+])
+def test_html_quotes_and_cdata(spark, markup, text):
+    df = spark.createDataFrame([(markup,)], "html string")
+    assert with_html_text(df, "html", "text").first()["text"] == text

@@ -1,5 +1,6 @@
 """Properties of the flagship load on the smallest scale factor."""
 
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom import schemas
 from starloom.operators import checks
+from starloom.operators.facts import canonical_names, reaggregate, sales_aggregated, staged_sales
 from starloom.plans import publish, star
 from starloom.plans.catalog import operational
 from starloom.sources.fixtures import Sources
@@ -115,23 +117,95 @@ def test_fact_plan_shape(spark, loads):
     assert sale_side.index("partial_sum") > sale_side.index("Exchange hashpartitioning")
 
 
-def test_shuffle_path_pre_aggregates_before_joins(spark, loads):
+def test_one_large_map_costs_one_shuffle(spark, loads):
+    """Only the largest map is beyond the budget: the others stay broadcast,
+    sales are shuffled for that join and for the aggregate."""
     src = loads["src"]
     wh = loads["first"]
-    agg = star.keyed_sales(operational(src), wh.product, wh.member, wh.room, max_broadcast_rows=0)
+    op = operational(src)
+    counts = sorted(t.count() for t in (op.product, op.room, op.member))
+    limit = counts[0] + counts[1]
+    agg = star.keyed_sales(op, wh.product, wh.member, wh.room, max_broadcast_rows=limit)
     plan = agg._jdf.queryExecution().sparkPlan().toString()
-    lines = plan.splitlines()
-    joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
-    assert joins, "key maps above the limit must be shuffle-joined"
-    # the sale scan's partial aggregate sits below (after) every shuffle join
-    sale_scan = max(i for i, line in enumerate(lines) if "lineitem" in line)
-    pre_agg = [i for i, line in enumerate(lines) if "partial_sum(price" in line and i < sale_scan]
-    assert pre_agg and max(pre_agg) > max(joins)
+    # the sale spine: everything above the scan of lineitem
+    spine = plan[:plan.index("lineitem")]
+    assert spine.count("SortMergeJoin") == 1
+    assert spine.count("partial_sum(price") == 1
+    # a third of all sales on one member, in that same plan
+    hot = replace(op, sale=op.sale.withColumn(
+        "member_id", F.when(F.xxhash64("product_id", "ts") % 3 == 0, F.lit(1)).otherwise(F.col("member_id")).cast(
+            op.sale.schema["member_id"].dataType)))
+    a = star.keyed_sales(hot, wh.product, wh.member, wh.room, max_broadcast_rows=limit)
+    b = star.keyed_sales(hot, wh.product, wh.member, wh.room)
+    assert _rows(a) == _rows(b)
 
 
-def test_names_that_clean_to_one_merge(spark):
-    from starloom.operators.facts import reaggregate, staged_sales
+def _counted(spark, op):
+    """The same sources, and a counter of the sale rows that are read."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return replace(op, sale=op.sale.mapInArrow(count, op.sale.schema)), read
+
+
+def test_two_stage_reads_sales_once(spark, loads):
+    op = operational(loads["src"])
+    n = op.sale.count()
+    counted, read = _counted(spark, op)
+    names = op.product.select("name")
+    staged = staged_sales(sales_aggregated(counted.sale, op.product, op.room, op.member), names=names)
+    staged.collect()
+    assert read.value == n
+    reaggregate(staged).collect()
+    assert read.value == 2 * n
+    wh = star.two_stage_load(spark, counted, loads["src"].level_map())
+    wh.salesfact.collect()
+    assert read.value == 3 * n
+    wh.release()
+
+
+def test_names_outside_the_given_ones_fail(spark):
+    df = spark.createDataFrame([("<b>A</b>",), (None,), ("B",)], "name string")
+    known = spark.createDataFrame([("<b>A</b>",), ("B",)], "name string")
+    assert {r.name for r in canonical_names(df, "name", names=known).collect()} == {"A", "B", None}
+    with pytest.raises(Exception, match="outside the given names"):
+        canonical_names(df, "name", names=known.limit(1)).collect()
 
+
+def test_keys_first_keeps_nothing_and_drops_orphans_like_two_stage(spark, loads):
+    src = loads["src"]
+    op = operational(src)
+    # a sale of a room that does not exist, at a moment of its own
+    orphan = op.sale.limit(1).withColumn("room_id", F.lit(-1).cast(op.sale.schema["room_id"].dataType)).withColumn(
+        "ts", F.lit("1999-01-01 12:00:00").cast(op.sale.schema["ts"].dataType))
+    bad = replace(op, sale=op.sale.unionByName(orphan))
+    first = star.keys_first_load(spark, bad, src.level_map())
+    two = star.two_stage_load(spark, bad, src.level_map())
+    assert first.kept == ()
+    for name in ("time", "salesfact"):
+        assert _rows(getattr(first, name)) == _rows(getattr(two, name)) == _rows(getattr(loads["first"], name))
+    two.release()
+
+
+@pytest.mark.parametrize("load", [star.keys_first_load, star.two_stage_load])
+def test_load_options(spark, loads, load):
+    src = loads["src"]
+    wh = load(spark, operational(src), src.level_map(), insert_only_product=True, pad_day_name=True)
+    days = {(r.day_of_week, r.is_weekday) for r in wh.time.collect()}
+    assert {len(d) for d, _ in days} == {9}
+    assert {d for d, flag in days if flag == "Yes"} <= {"Wednesday"}
+    rows = star.product_rows(operational(src), src.level_map())
+    first = {r.product_name: r.s for r in rows.groupBy("product_name").agg(F.min_by("status", "id").alias("s")).collect()}
+    got = {r.product_name: r.status for r in wh.product.filter("productid > 1").collect()}
+    assert got == first
+    wh.release()
+
+
+def test_names_that_clean_to_one_merge(spark):
     cols = ("year int, month int, season string, day int, day_of_week string, time_of_day string, "
             "product_name string, room_name string, gender string, is_active boolean, "
             "kroner_sales decimal(10,2), unit_sales long")
@@ -170,8 +244,6 @@ def test_job_from_parquet_tables(spark, loads, tmp_path):
 
 
 def test_sales_aggregated_paths_agree(spark, loads):
-    from starloom.operators.facts import sales_aggregated
-
     src = loads["src"]
     a = sales_aggregated(src.sale, src.product, src.room, src.member)
     b = sales_aggregated(src.sale, src.product, src.room, src.member, max_broadcast_rows=0)
