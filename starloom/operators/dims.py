@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.joins import fits_broadcast, salted_join
+from starloom.operators.joins import salted_join, sized
 from starloom.operators.keys import assign_keys, next_key
 
 POLICIES = ("error", "default", "null")
@@ -173,7 +173,7 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     kmap = key_map(dim, spec) if dedupe else dim.select(*natural, spec.key)
     kmap = kmap.toDF(*on, spec.key) if on != natural else kmap
     # the dimension is at least as large as its key map, and needs no grouping to be measured
-    small = fits_broadcast(dim.select(*natural, spec.key))
+    _, small = sized(dim.select(*natural, spec.key))
     side = F.broadcast(kmap) if small else kmap
     if null_safe:
         renamed = kmap.select(*[F.col(c).alias(f"_k_{c}") for c in on], spec.key)
