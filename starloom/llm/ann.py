@@ -1,18 +1,25 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing (operator 2).
 
-Nearness is the largest inner product. Vectors are scaled by the largest norm
+Nearness is the largest inner product. Vectors of one length are split into
+bands of norm, an octave each. In a band they are scaled by its largest norm
 and given one more component that brings them to unit length; queries are
 scaled to unit length and get a zero. The nearest vectors by Euclidean distance
-are then those with the largest inner product, and p-stable hashing applies: a
-hash is floor((a . x + b) / w) with Gaussian a and uniform b, and a bucket of a
-table is the tuple of ``HASHES`` such values.
+are then those of the band with the largest inner product, and p-stable hashing
+applies: a hash is floor((a . x + b) / w) with Gaussian a and uniform b, and a
+bucket of a table is the tuple of ``HASHES`` such values. One scale for all
+norms would squeeze the short vectors into a few buckets.
 
 A query visits its own bucket in each of ``TABLES`` tables and ``PROBES`` - 1
 perturbed ones. A perturbation moves some hashes by one, to the side at which
 the query lies near the edge of its slot; perturbation sets are visited in the
 order of their estimated success (the expected squared distances to the edges,
 so the order is one list for all queries, applied to each query's own sorted
-distances).
+distances). It does so in every band; a band of at most ``WHOLE`` different
+vectors is one bucket, which every query visits.
+
+Queries that found fewer than k + 1 different vectors while there are more of
+their length are compared with all of them: ``HASHES`` = 3 has only 27
+perturbation sets, so more probes would not do.
 
 Vectors and visits meet by bucket in blocks: a bucket with more than ``BLOCK``
 vectors or visits is dealt into a grid of blocks by hashes, so none grows with
@@ -33,6 +40,7 @@ never returns its own id; ties go to the smaller id.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -48,6 +56,7 @@ from starloom.llm.common import cut, only
 K = 20
 HASHES, TABLES, PROBES, WIDTH = 3, 8, 16, 1.0
 BLOCK = 8_192
+WHOLE = 256  # a norm band of at most so many different vectors is not hashed
 SEED = 11
 MAX_LENGTHS = 10_000  # different vector lengths; one number is kept for each
 _HELD = 1_000_000  # candidates held by a task before it keeps the best of each query
@@ -128,14 +137,46 @@ def visits(q: np.ndarray, index: Index) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-def _usable(rows: DataFrame) -> DataFrame:
-    """(vec_id, dim, vec): usable vectors as bytes."""
+def _shift(band: int) -> int:
+    """What a norm band adds to its bucket names, modulo 2 ** 64; 0 for band 0."""
+    return (band * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def _whole(dim: int, band: int) -> int:
+    """Name of the one bucket of a band that is not hashed."""
+    return ~_shift((band << 32) + dim)
+
+
+def _placed(x: np.ndarray, band: int, scale: float | None, index: Index) -> np.ndarray:
+    """Bucket names of vectors of one band; without scale it is one bucket."""
+    if scale is None:
+        return np.full((len(x), 1), _whole(x.shape[1], band))
+    return buckets(x, scale, index) + np.int64(_shift(band))
+
+
+def _visited(q: np.ndarray, bands: dict[int, float | None], index: Index) -> Iterator[np.ndarray]:
+    """Bucket names each query visits, band by band."""
+    near = visits(q, index).reshape(len(q), -1) if any(s is not None for s in bands.values()) else None
+    for band, scale in bands.items():
+        yield np.full((len(q), 1), _whole(q.shape[1], band)) if scale is None else near + np.int64(_shift(band))
+
+
+def _norm(v: np.ndarray) -> tuple[float, int]:
+    """Norm of a vector (infinite if a double can't hold it) and its band: the
+    nearest power of two."""
+    most = float(np.abs(v).max())
+    part = float(np.linalg.norm(v / most))
+    return most * part, round(math.log2(most) + math.log2(part))
+
+
+def _usable(rows: DataFrame) -> tuple[DataFrame, str]:
+    """(vec_id, dim, vec, norm, band), usable vectors as bytes; and their type."""
     kind = rows.schema["embedding"].dataType.elementType.simpleString()
     dtype = "<f4" if kind == "float" else "<f8"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, dims, vecs = [], [], []
+            ids, dims, vecs, norms = [], [], [], []
             lists = b.column("embedding")
             values = lists.values.to_numpy(zero_copy_only=False).astype(dtype)
             at = lists.offsets.to_numpy()
@@ -145,57 +186,60 @@ def _usable(rows: DataFrame) -> DataFrame:
                     ids.append(id_)
                     dims.append(len(v))
                     vecs.append(v.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(vecs, pa.binary())], ["vec_id", "dim", "vec"])
+                    norms.append(_norm(v.astype(np.float64)))
+            cols = [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(vecs, pa.binary()), pa.array([n for n, _ in norms], pa.float64()), pa.array([band for _, band in norms], pa.int32())]
+            yield pa.RecordBatch.from_arrays(cols, ["vec_id", "dim", "vec", "norm", "band"])
 
     own = only(rows, "vec_id", "embedding").withColumn("vec_id", F.col("vec_id").cast("long"))
     if kind not in ("float", "double"):
         own = own.withColumn("embedding", F.col("embedding").cast("array<double>"))
-    return own.mapInArrow(run, "vec_id long, dim int, vec binary"), dtype
+    return own.mapInArrow(run, "vec_id long, dim int, vec binary, norm double, band int"), dtype
 
 
 def _matrix(vecs: pa.Array, dtype: str, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(vecs.to_pylist()), dtype).reshape(-1, dim).astype(np.float64)
 
 
-def _largest(classes: DataFrame, dtype: str) -> dict[int, float]:
-    """Largest norm of each vector length: one number a length reaches the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most: dict[int, float] = {}
-        for b in batches:
-            for dim, vec in zip(b.column("dim").to_pylist(), b.column("vec").to_pylist(), strict=True):
-                most[dim] = max(most.get(dim, 0.0), float(np.linalg.norm(np.frombuffer(vec, dtype).astype(np.float64))))
-        yield pa.RecordBatch.from_arrays([pa.array(list(most), pa.int32()), pa.array(list(most.values()), pa.float64())], ["dim", "norm"])
-
-    got = classes.select("dim", "vec").mapInArrow(run, "dim int, norm double").groupBy("dim").agg(F.max("norm").alias("norm")).limit(MAX_LENGTHS + 1).collect()
+def _bands(classes: DataFrame) -> dict[int, dict[int, tuple[int, float]]]:
+    """Number of classes and largest norm in each norm band of each vector
+    length: a length has no more bands than doubles have exponents."""
+    sums = classes.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm"))
+    got = sums.groupBy("dim").agg(F.collect_list(F.struct("band", "n", "norm")).alias("bands")).limit(MAX_LENGTHS + 1).collect()
     if len(got) > MAX_LENGTHS:
         raise ValueError(f"more than {MAX_LENGTHS} vector lengths")
-    return {r["dim"]: r["norm"] for r in got}
+    return {r["dim"]: {b["band"]: (b["n"], b["norm"]) for b in r["bands"]} for r in got}
 
 
-def _entries(classes: DataFrame, index: Index, dtype: str, largest: dict[int, float], with_vectors: bool) -> DataFrame:
+def _entries(classes: DataFrame, index: Index, dtype: str, scales: dict[int, dict[int, float | None]], with_vectors: bool) -> DataFrame:
     """A row for each bucket a vector is in (kind 1) and each that a query
-    visits (kind 0)."""
+    visits (kind 0). ``scales`` has the norm bands of the lengths to take."""
+
+    def named(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
+        dims, bands = (part.column(c).to_numpy() for c in ("dim", "band"))
+        asks = np.array(part.column("asks").to_pylist(), bool)
+        for dim in np.unique(dims).tolist():
+            own = scales.get(dim, {})
+            for band in np.unique(bands[dims == dim]).tolist() if own else ():
+                rows = np.flatnonzero((dims == dim) & (bands == band))
+                vecs = part.column("vec").take(pa.array(rows))
+                yield 1, rows, vecs, _placed(_matrix(vecs, dtype, dim), band, own[band], index)
+            rows = np.flatnonzero((dims == dim) & asks)
+            if own and len(rows):
+                vecs = part.column("vec").take(pa.array(rows))
+                for names in _visited(_matrix(vecs, dtype, dim), own, index):
+                    yield 0, rows, vecs, names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                dims = part.column("dim").to_numpy()
-                asks = np.array(part.column("asks").to_pylist(), bool)
-                for dim in np.unique(dims).tolist():
-                    for kind, rows in ((1, np.flatnonzero(dims == dim)), (0, np.flatnonzero((dims == dim) & asks))):
-                        if not len(rows):
-                            continue
-                        vecs = part.column("vec").take(pa.array(rows))
-                        x = _matrix(vecs, dtype, dim)
-                        names = buckets(x, largest[dim], index) if kind else visits(x, index).reshape(len(x), -1)
-                        for step in range(0, names.shape[1], 16):
-                            block = names[:, step : step + 16]
-                            take = pa.array(np.repeat(np.arange(len(rows)), block.shape[1]))
-                            cols = [pa.array(block.ravel()), pa.array(np.full(block.size, kind, np.int32))]
-                            cols += [part.column(c).take(pa.array(rows)).take(take) for c in ("cls", "least", "dim")]
-                            yield pa.RecordBatch.from_arrays([*cols, *([vecs.take(take)] if with_vectors else [])], ["bucket", "kind", "cls", "least", "dim", *(["vec"] if with_vectors else [])])
+                for kind, rows, vecs, names in named(part):
+                    for step in range(0, names.shape[1], 16):
+                        block = names[:, step : step + 16]
+                        take = pa.array(np.repeat(np.arange(len(rows)), block.shape[1]))
+                        cols = [pa.array(block.ravel()), pa.array(np.full(block.size, kind, np.int32))]
+                        cols += [part.column(c).take(pa.array(rows)).take(take) for c in ("cls", "least", "dim")]
+                        yield pa.RecordBatch.from_arrays([*cols, *([vecs.take(take)] if with_vectors else [])], ["bucket", "kind", "cls", "least", "dim", *(["vec"] if with_vectors else [])])
 
     return classes.mapInArrow(run, "bucket long, kind int, cls long, least long, dim int" + (", vec binary" if with_vectors else ""))
 
@@ -301,26 +345,43 @@ def _merge(lists: DataFrame, k: int) -> DataFrame:
     return lists.repartition("q").sortWithinPartitions("q").mapInArrow(run, "q long, c long, score double")
 
 
-def search(rows: DataFrame, asks: Column, k: int = K, index: Index = Index(), block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found for every row of
-    (vec_id, embedding) where ``asks`` (a condition on vec_id) holds."""
-    usable, dtype = _usable(rows)
-    usable = cut(usable.distinct())
-    is_query = F.coalesce(asks, F.lit(False))
-    classes = cut(usable.groupBy("dim", "vec").agg(F.min("vec_id").alias("least"), F.max(is_query).alias("asks")))
-    classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()))
-    largest = _largest(classes, dtype)
-    entries = _entries(classes, index, dtype, largest, False)
+def _found(classes: DataFrame, index: Index, dtype: str, scales: dict[int, dict[int, float | None]], k: int, block: int) -> DataFrame:
+    """(q, c, score): the k + 1 nearest classes that each asking class meets."""
+    entries = _entries(classes, index, dtype, scales, False)
     parts = [F.ceil(F.sum((F.col("kind") == kind).cast("long")) / block).cast("int").alias(name) for kind, name in ((1, "v_parts"), (0, "q_parts"))]
     large = cut(entries.groupBy("bucket").agg(*parts).where("v_parts > 1 or q_parts > 1"))
-    dealt = _entries(classes, index, dtype, largest, True).join(large, "bucket", "left")
+    dealt = _entries(classes, index, dtype, scales, True).join(large, "bucket", "left")
     v_parts, q_parts = (F.greatest(F.lit(1), F.coalesce(c, F.lit(1))) for c in ("v_parts", "q_parts"))
     mine = lambda parts: F.array(F.pmod(F.xxhash64("cls"), parts).cast("int"))
     every = lambda parts: F.sequence(F.lit(0), parts - 1)
     grid = dealt.withColumn("v", F.explode(F.when(F.col("kind") == 1, mine(v_parts)).otherwise(every(v_parts))))
     grid = grid.withColumn("q", F.explode(F.when(F.col("kind") == 0, mine(q_parts)).otherwise(every(q_parts)))).drop("v_parts", "q_parts")
     blocks = grid.repartition("bucket", "v", "q").sortWithinPartitions("bucket", "dim", "v", "q", "kind")
-    near = cut(_merge(_score_blocks(blocks, dtype, k + 1), k + 1))
+    return _merge(_score_blocks(blocks, dtype, k + 1), k + 1)
+
+
+def search(rows: DataFrame, asks: Column, k: int = K, index: Index = Index(), block: int = BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k nearest found for every row of
+    (vec_id, embedding) where ``asks`` (a condition on vec_id) holds."""
+    usable, dtype = _usable(rows)
+    usable = cut(usable.distinct())
+    is_query = F.coalesce(asks, F.lit(False))
+    classes = cut(usable.groupBy("dim", "vec").agg(F.min("vec_id").alias("least"), F.max(is_query).alias("asks"), F.first("norm").alias("norm"), F.first("band").alias("band")))
+    classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()))
+    bands = _bands(classes)
+    scales = {dim: {band: norm if n > WHOLE and 0 < norm < math.inf else None for band, (n, norm) in own.items()} for dim, own in bands.items()}
+    near = cut(_found(classes, index, dtype, scales, k, block))
+    if bands:
+        there = F.broadcast(classes.sparkSession.createDataFrame([(dim, sum(n for n, _ in own.values())) for dim, own in bands.items()], "dim int, there long"))
+        counts = near.groupBy(F.col("q").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
+        few = F.coalesce("n", F.lit(0)) < F.least("there", F.lit(k + 1))
+        short = cut(classes.where("asks").select("cls", "dim").join(there, "dim").join(counts, "cls", "left").where(few).select("cls", "dim"))
+        every = {r["dim"]: dict.fromkeys(bands[r["dim"]]) for r in short.select("dim").distinct().collect()}
+        if every:
+            asking = short.select("cls", F.lit(True).alias("short"))
+            again = classes.join(asking, "cls", "left").withColumn("asks", F.coalesce("short", F.lit(False))).drop("short")
+            whole = _found(cut(again), index, dtype, every, k, block)
+            near = cut(near.join(short.select(F.col("cls").alias("q")), "q", "left_anti").unionByName(whole))
     named = usable.join(classes.select("dim", "vec", "cls"), ["dim", "vec"]).select("vec_id", "cls")
     first = W.partitionBy("cls").orderBy("vec_id")
     members = named.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).select(F.col("cls").alias("c"), "vec_id")
