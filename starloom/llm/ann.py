@@ -23,8 +23,9 @@ perturbation sets, so more probes would not do.
 
 Vectors and visits meet by bucket in blocks: a bucket with more than ``BLOCK``
 vectors or visits is dealt into a grid of blocks by hashes, so none grows with
-the data. In a block scores are one matrix product; the best ``k`` + 1 of each
-query go on, and are scored again as plain double-precision sums. Candidates
+the data. In a block scores are one matrix product; all that reach the ``k`` + 1st
+best of a query, less the rounding error, are scored again as plain
+double-precision sums, and the best ``k`` + 1 go on. Candidates
 of all tables are merged per query.
 
 Equal vectors are one candidate with its k + 1 smallest ids, and queries with
@@ -59,6 +60,7 @@ BLOCK = 8_192
 WHOLE = 256  # a norm band of at most so many different vectors is not hashed
 SEED = 11
 MAX_LENGTHS = 10_000  # different vector lengths; one number is kept for each
+_CELLS = 4_000_000  # numbers of candidate vectors scored again at a time
 _HELD = 1_000_000  # candidates held by a task before it keeps the best of each query
 
 
@@ -270,12 +272,16 @@ def _score_blocks(entries: DataFrame, dtype: str, k: int) -> DataFrame:
         x = _matrix(t.column("vec").combine_chunks(), dtype, t.column("dim")[0].as_py())
         cls, least = t.column("cls").to_numpy(), t.column("least").to_numpy()
         found = []
+        rounding = 4 * x.shape[1] * np.finfo(np.float64).eps * np.linalg.norm(x[n:], axis=1).max()
         for at in range(0, n, 1024):
             asked, scores = x[at : min(n, at + 1024)], x[at : min(n, at + 1024)] @ x[n:].T
-            m = min(k + 4, scores.shape[1])
-            top = np.argpartition(-scores, m - 1, axis=1)[:, :m] if m < scores.shape[1] else np.broadcast_to(np.arange(m), scores.shape)
-            i, j = np.repeat(np.arange(len(asked)), m), top.ravel()
-            found.append(_best([(cls[at + i], cls[n + j], least[n + j], (asked[i] * x[n + j]).sum(axis=1))], k))
+            last = scores.shape[1] - min(k, scores.shape[1])
+            low = np.partition(scores, last, axis=1)[:, last] - rounding * np.linalg.norm(asked, axis=1)
+            i, j = np.nonzero(~(scores < low[:, None]))  # ties at the cut too: ids decide among them
+            step = max(1, _CELLS // x.shape[1])
+            for part in range(0, len(i), step):
+                u, w = i[part : part + step], j[part : part + step]
+                found.append(_best([(cls[at + u], cls[n + w], least[n + w], (asked[u] * x[n + w]).sum(axis=1))], k))
         return tuple(np.concatenate(f) for f in zip(*found, strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

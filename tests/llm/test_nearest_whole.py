@@ -1,5 +1,6 @@
 """Nearest neighbours where fixed probes alone leave candidates out."""
 
+import itertools
 import math
 
 import numpy as np
@@ -62,3 +63,11 @@ def test_norms_beyond_doubles(spark):
     x = np.array([[1.5e308, 1.5e308], [1.5e308, -1.5e308], [5e-324, 0.0], [1.0, 2.0]])
     assert {q: sorted(v) for q, v in found(spark, x, F.col("vec_id") == 2).items()} == {2: [0, 1, 3]}
     assert ann._norm(x[0])[0] == math.inf and ann._norm(x[2])[1] == -1074
+
+
+def test_ties_at_the_cut_go_to_smaller_ids(spark):
+    signs = np.array(list(itertools.product([-1.0, 1.0], repeat=8)))
+    x = signs[np.random.default_rng(3).permutation(256)]
+    want = brute(x, range(0, 256, 4), 20)
+    for block in (8_192, 64):
+        assert found(spark, x, F.col("vec_id") % 4 == 0, block=block) == want
