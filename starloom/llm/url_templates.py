@@ -10,12 +10,17 @@ Per host the paths form a tree of segments. It is generalised level by level:
 
 1. segments with the look of an identifier (numbers, hex, mixtures of digits
    and letters, very long words) become wildcards of their kind;
-2. a place where the same parent has many different words with few URLs each is
-   variable and becomes ``*``;
-3. among the words left, branches whose labelled share of blocked URLs does not
-   differ from that of their siblings by a two-proportion z-test are merged
-   into ``{alike}``; branches without any label are merged into ``{unlabelled}``
-   and those that do differ stay on their own.
+2. among the words, branches whose labelled share of blocked URLs does differ
+   from that of their siblings by a two-proportion z-test, or cannot be compared
+   as no sibling has labels, stay on their own;
+3. a place is variable if its words are many and none prevails: the effective
+   number of branches, (sum of p) ** 2 / sum of p ** 2 with p the different
+   generalised paths of a branch, is at least ``min_branches``. It does not
+   change if rows are repeated or all branches grow alike. There the branches
+   without any label become ``*``, and so do the labelled ones left if at least
+   ``min_branches`` words have labels: fewer say too little about the others;
+4. the labelled branches left are merged into ``{alike}``, those without any
+   label into ``{unlabelled}``.
 
 Segments below ``depth`` are one ``**``. A template is rejected if its labelled
 purity - the share of allowed URLs among the labelled ones, smoothed by
@@ -49,8 +54,7 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 DEPTH = 4
-MIN_BRANCHES = 8  # a place is variable from so many different words on,
-MAX_URLS_A_BRANCH = 4  # if a word has no more URLs than this on average
+MIN_BRANCHES = 8  # a place is variable from so many effective branches on
 MAX_WORD = 24
 Z = 1.96
 PRIOR, STRENGTH, MIN_PURITY = 0.9, 4.0, 0.5
@@ -91,35 +95,38 @@ def shape(segment: Column, max_word: int = MAX_WORD) -> Column:
 
 
 def _leaves(urls: DataFrame) -> DataFrame:
-    sums = [F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
-    ones = urls.select("host", "shaped", F.lit(1).cast("long").alias("n"), F.col("bad").isNotNull().cast("long").alias("labelled"), F.coalesce("bad", F.lit(0)).cast("long").alias("blocked"))
+    sums = [F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
+    ones = urls.select("host", "shaped", F.col("bad").isNotNull().cast("long").alias("labelled"), F.coalesce("bad", F.lit(0)).cast("long").alias("blocked"))
     return ones.groupBy("host", "shaped").agg(*sums)
 
 
-def _level(tree: DataFrame, depth: int, min_branches: int, max_urls: float, z: float) -> DataFrame:
+def _level(tree: DataFrame, depth: int, min_branches: int, z: float) -> DataFrame:
     """Appends the segment at ``depth``, generalised, to every template."""
     tree = tree.withColumn("segment", F.get(F.split("shaped", "/", -1), F.lit(depth)))
     branches = cut(
         tree.where("segment is not null").groupBy("host", "template", "segment")
-        .agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+        .agg(F.count(F.lit(1)).cast("double").alias("paths"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     )
     word = ~F.col("segment").rlike(r"^(\{|\*\*$|$)")
     family = cut(
         branches.where(word).groupBy("host", "template")
-        .agg(F.count(F.lit(1)).alias("f_branches"), F.sum("n").alias("f_n"), F.sum("labelled").alias("f_labelled"), F.sum("blocked").alias("f_blocked"))
+        .agg(
+            F.sum("paths").alias("f_paths"), F.sum(F.col("paths") * F.col("paths")).alias("f_squares"), F.count_if(F.col("labelled") > 0).alias("f_known"),
+            F.sum("labelled").alias("f_labelled"), F.sum("blocked").alias("f_blocked"),
+        )
     )
     both = branches.join(family, ["host", "template"], "left")
     own, rest = F.col("blocked") / F.col("labelled"), F.try_divide(F.col("f_blocked") - F.col("blocked"), F.col("f_labelled") - F.col("labelled"))
     pooled = F.try_divide(F.col("f_blocked"), F.col("f_labelled"))
     spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("labelled")) + F.try_divide(F.lit(1.0), F.col("f_labelled") - F.col("labelled"))))
     alike = (F.col("labelled") > 0) & F.coalesce(F.abs(own - rest) <= z * spread, F.lit(False))
-    variable = (F.col("f_branches") >= min_branches) & (F.col("f_n") <= max_urls * F.col("f_branches"))
+    variable = F.col("f_paths") * F.col("f_paths") >= min_branches * F.col("f_squares")
     step = (
         F.when(~word, F.col("segment"))
-        .when(variable, "*")
+        .when((F.col("labelled") > 0) & ~alike, F.col("segment"))
+        .when(variable & ((F.col("labelled") == 0) | (F.col("f_known") >= min_branches)), "*")
         .when(F.col("labelled") == 0, "{unlabelled}")
-        .when(alike, "{alike}")
-        .otherwise(F.col("segment"))
+        .otherwise("{alike}")
     )
     steps = cut(both.select("host", "template", "segment", step.alias("step")))
     joined = tree.join(steps, ["host", "template", "segment"], "left")
@@ -128,7 +135,7 @@ def _level(tree: DataFrame, depth: int, min_branches: int, max_urls: float, z: f
 
 def judge(
     pages: DataFrame, keep: Sequence[str] = ("page_id",), rules: Sequence[tuple[str, str, str]] = RULES, label: Column | None = None, depth: int = DEPTH,
-    min_branches: int = MIN_BRANCHES, max_urls: float = MAX_URLS_A_BRANCH, z: float = Z, prior: float = PRIOR, strength: float = STRENGTH, min_purity: float = MIN_PURITY,
+    min_branches: int = MIN_BRANCHES, z: float = Z, prior: float = PRIOR, strength: float = STRENGTH, min_purity: float = MIN_PURITY,
 ) -> DataFrame:
     """The columns ``keep`` of pages and host, path, rule, template, labelled,
     purity and verdict. ``label`` (true: bad, false: good, null: none) labels
@@ -147,7 +154,7 @@ def judge(
     rows = cut(rows.withColumns({"shaped": shaped, "bad": bad.cast("int")}).drop("given"))
     tree = _leaves(rows).withColumn("template", F.lit(""))
     for at in range(depth + 1):
-        tree = _level(tree, at, min_branches, max_urls, z)
+        tree = _level(tree, at, min_branches, z)
     sums = cut(tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")))
     purity = (F.col("labelled") - F.col("blocked") + F.lit(prior * strength)) / (F.col("labelled") + F.lit(strength))
     scored = sums.select("host", "template", "labelled", purity.alias("purity"))
