@@ -36,8 +36,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an identified language. Dictionaries are learned from
-    the documents that are not held out."""
+    the documents that are not held out; if none of them is labelled while any
+    document has a letter, that is an error: every document would be lost."""
     model = langid.learn(docs.where(~langid.held_out("doc_id")))
+    if not model.languages and not docs.where(F.col("text").rlike(r"\p{L}")).isEmpty():
+        raise ValueError("no language to learn: no document that is not held out has text, id and lang")
     own, names = _named(docs)
     return langid.identify(own, model, keep=names).where("accepted").select(*names).toDF(*docs.columns)
 
