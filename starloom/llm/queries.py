@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, bpe, langid, packing, quality, sharding, simhash, training_order, url_templates, warc
+from starloom.llm import ann, bpe, langid, packing, phrases, quality, sharding, simhash, training_order, url_templates, warc
 from starloom.llm.common import shared_path, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -71,9 +71,13 @@ def op10_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_training_order, op2_nearest, op3_packing, op4_sharding, op5_near_duplicates, op6_url_filter, op7_bpe, op8_language, op9_quality, op10_archives)
+    for f in (op1_training_order, op2_nearest, op3_packing, op4_sharding, op5_near_duplicates, op6_url_filter, op7_bpe, op8_language, op9_quality, op10_archives, op13_phrases)
 }
 
 _GAP = r"[\x20\x09-\x0D]"
@@ -116,4 +120,33 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f
 """
 
-ORACLES: dict[str, str] = {"op9_quality": OP9_SQL}
+OP13_SQL = r"""
+with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+p as (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from d),
+q as (select row_number() over () as r, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as words from p),
+u as (select r, lang, unnest(words) as w, unnest(range(1, len(words) + 1)) as i from q),
+v as (select lang, w, lead(w, 1) over o as w2, lead(w, 2) over o as w3, lead(w, 3) over o as w4, lead(w, 4) over o as w5 from u window o as (partition by r order by i)),
+g as (
+  select lang, 1 as size, w as phrase from v union all select lang, 2, w || ' ' || w2 from v where w2 is not null
+  union all select lang, 3, w || ' ' || w2 || ' ' || w3 from v where w3 is not null
+  union all select lang, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 from v where w4 is not null
+  union all select lang, 5, w || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 from v where w5 is not null),
+f as materialized (select lang, size, phrase, count(*) as f from g group by all having size = 1 or count(*) >= 100),
+t as (select lang, sum(f)::bigint as n from f where size = 1 group by lang),
+c as (select lang, size, phrase, string_split(phrase, ' ') as words, f as a from f where size > 1 and f >= 100),
+k as (select c.*, k from c cross join (select unnest(range(1, 5)) as k) where k < size),
+s as (
+  select k.lang, k.size, k.phrase, a, n, k, l.f as l, r.f as r, (1000::hugeint * a * n) // (l.f::hugeint * r.f) as score
+  from k join t on t.lang = k.lang
+  join f l on l.lang = k.lang and l.phrase = array_to_string(list_slice(words, 1, k), ' ')
+  join f r on r.lang = k.lang and r.phrase = array_to_string(list_slice(words, k + 1, k.size), ' ')),
+m as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+longer as (
+  select distinct lang, array_to_string(list_slice(words, i, i + n - 1), ' ') as phrase, a as f
+  from c cross join (select unnest(range(2, 5)) as n) cross join (select unnest(range(1, 5)) as i) where n < size and i + n - 1 <= size),
+o as (select * from m where not exists (select 1 from longer where longer.lang = m.lang and longer.phrase = m.phrase and 100 * longer.f >= 100 * m.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score from ranked where rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op9_quality": OP9_SQL, "op13_phrases": OP13_SQL}
