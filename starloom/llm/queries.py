@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, bpe, chat, langid, packing, phrases, quality, sharding, simhash, training_order, url_templates, warc
+from starloom.llm import ann, bpe, chat, langid, lexical, packing, phrases, quality, sharding, simhash, training_order, url_templates, warc
 from starloom.llm.common import shared_path, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,13 +78,17 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(conversations.unionByName(hostile))
 
 
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_training_order, op2_nearest, op3_packing, op4_sharding, op5_near_duplicates, op6_url_filter, op7_bpe, op8_language, op9_quality, op10_archives, op11_chat, op13_phrases)
+    for f in (op1_training_order, op2_nearest, op3_packing, op4_sharding, op5_near_duplicates, op6_url_filter, op7_bpe, op8_language, op9_quality, op10_archives, op11_chat, op12_ranked, op13_phrases)
 }
 
 _GAP = r"[\x20\x09-\x0D]"
@@ -146,6 +150,25 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
 from f group by conv_id
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12_SQL = rf"""
+with x as materialized (
+  select r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) as t
+  from (select row_number() over () as r, doc_id, text from documents)),
+i as (
+  select distinct item_id, t
+  from (select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')) as t from benchmark)),
+n as (select r, any_value(doc_id) as doc_id, count(*) as n from x group by r),
+g as (select count(*) as docs, sum(n)::bigint as terms from n),
+tf as materialized (select r, t, count(*) as tf from x where t in (select t from i) group by r, t),
+w as (select t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w from tf, g group by t, docs),
+c as (select n.r, doc_id, tf.t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) as c from tf join n on n.r = tf.r join w on w.t = tf.t, g),
+s as (select item_id, r, doc_id, sum(c)::bigint as score from i join c on c.t = i.t group by item_id, r, doc_id),
+o as (select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as rank from s where score > 0)
+select item_id, rank::int as rank, doc_id, score from o where rank <= 10
+"""
+
 OP13_SQL = r"""
 with d as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
 p as (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from d),
@@ -175,4 +198,4 @@ ranked as (select *, row_number() over (partition by lang order by score desc, a
 select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score from ranked where rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op9_quality": OP9_SQL, "op11_chat": OP11_SQL, "op13_phrases": OP13_SQL}
+ORACLES: dict[str, str] = {"op9_quality": OP9_SQL, "op11_chat": OP11_SQL, "op12_ranked": OP12_SQL, "op13_phrases": OP13_SQL}
