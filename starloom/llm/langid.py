@@ -11,16 +11,19 @@ any dictionary, and the sizes would draw level.
 A text whose margin is below ``min_margin`` is rejected (``accepted`` false);
 its nearest language is still named.
 
-Dictionaries are learned from a bounded sample of labelled rows: about
-``SAMPLE_DOCS`` texts a language, picked by a hash of id and text over all
-rows, and of each a run of ``SAMPLE_CHARS`` characters at a place picked by the
-same hash. The runs are short because a passage that many documents share may
-stand in documents of another language: a whole copy of it in a dictionary
-would win over its own language. At most ``MAX_LANGUAGES`` languages: beyond that it is an error.
-Counting labels and predicting cover all rows.
+Dictionaries are learned from a bounded sample of labelled rows: the
+``SAMPLE_DOCS`` different texts of a language with the smallest hashes (all, if
+fewer), and of each a run of ``SAMPLE_CHARS`` characters at a place picked by
+the same hash. Equal texts are one, so a text that a third of the rows repeat
+fills no sample, and every language that has a text is learned. The runs are
+short because a passage that many documents share may stand in documents of
+another language: a whole copy of it in a dictionary would win over its own
+language. Only runs and hashes are shuffled, and the smallest are taken before
+that in every task. At most ``MAX_LANGUAGES`` languages: beyond that it is an
+error, as dictionaries are sent to every task. Predicting covers all rows.
 
 Defined results: a null text or one without a letter is ``und`` with score 0
-and not accepted, and so is every text if no labelled row exists; with a single
+and not accepted, and so is every text if no labelled row with a letter exists; with a single
 learned language the score is 1; equal sizes go to the first language by name.
 """
 
@@ -34,10 +37,11 @@ from functools import cached_property, lru_cache
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.llm.bpe import slices
-from starloom.llm.common import only
+from starloom.llm.common import cut, only
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 3000
@@ -46,7 +50,6 @@ MAX_LANGUAGES = 256
 CHUNK_BYTES = 2048
 LEVEL = 6
 MIN_MARGIN = 0.002
-_HASH_SPACE = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -71,23 +74,19 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
-    """Dictionaries from rows (doc_id, text, lang); rows without text, label or
-    id teach nothing."""
-    rows = only(labelled, "doc_id", "text", "lang").where("text is not null and lang is not null and doc_id is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
-        return LanguageModel((), ())
-    place = F.xxhash64("doc_id", "text")
-    below = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(_HASH_SPACE, _HASH_SPACE * 5 // 4 * sample_docs // n))) for lang, n in counts.items()])
-    picked = rows.withColumn("h", F.pmod(place, F.lit(_HASH_SPACE))).where(F.col("h") < below)
+    """Dictionaries from rows (doc_id, text, lang); rows without a letter,
+    label or id teach nothing."""
+    rows = only(labelled, "doc_id", "text", "lang").where("lang is not null and doc_id is not null").where(F.col("text").rlike(r"\p{L}"))
     start = F.pmod(F.hash("h"), F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1
-    runs = picked.select("lang", "h", F.substring("text", start, F.lit(sample_chars)).alias("run")).collect()
-    parts: dict[str, list[str]] = {lang: [] for lang in sorted(counts)}
-    for r in sorted(runs, key=lambda r: (r["lang"], r["h"], r["run"])):
-        if len(parts[r["lang"]]) < sample_docs:
-            parts[r["lang"]].append(r["run"].lower())
+    runs = rows.withColumn("h", F.xxhash64("text")).select("lang", "h", F.substring("text", start, F.lit(sample_chars)).alias("run")).distinct()
+    least = W.partitionBy("lang").orderBy("h", "run")
+    picked = cut(runs.withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= sample_docs))
+    languages = [r["lang"] for r in picked.where("nth = 1").select("lang").limit(MAX_LANGUAGES + 1).collect()]
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    parts: dict[str, list[str]] = {lang: [] for lang in sorted(languages)}
+    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["nth"])):  # at most sample_docs runs a language
+        parts[r["lang"]].append(r["run"].lower())
     return LanguageModel(tuple(parts), tuple("\n".join(p).encode() for p in parts.values()))
 
 

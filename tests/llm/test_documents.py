@@ -101,6 +101,24 @@ def test_language_edges(spark):
     assert langid.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_repeated_rows(spark):
+    """A row that a language repeats 100,000 times is one text of its sample."""
+    french = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("le chat et le chien dans la maison " * 8).alias("text"), F.lit("fr").alias("lang"))
+    english = spark.range(4000).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("the cat and the dog of house "), F.col("id").cast("string"), F.lit(" was in the garden with it")).alias("text"), F.lit("en").alias("lang"))
+    rare = spark.createDataFrame([(1, "der Hund und die Katze", "de"), (2, "", "xx"), (3, "12 34", "yy")], "doc_id long, text string, lang string")
+    model = langid.learn(french.unionByName(english).unionByName(rare))
+    assert model.languages == ("de", "en", "fr")
+    assert len(model.dictionaries[2]) == langid.SAMPLE_CHARS and len(model.dictionaries[1].split(b"\n")) == langid.SAMPLE_DOCS
+    assert langid.classify("le chien et le chat dans la maison", model)[0] == "fr"
+    assert langid.classify("the dog of the house was in it", model)[0] == "en"
+
+
+def test_language_count_is_bounded(spark):
+    many = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("a text").alias("text"), F.concat(F.lit("l"), "id").alias("lang"))
+    with pytest.raises(ValueError, match="languages"):
+        langid.learn(many)
+
+
 def brute_fingerprint(text):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = WORD.findall(text)
