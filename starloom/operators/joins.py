@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators import bloom
+from starloom.operators.keys import materialize
+
 # The sides that one plan broadcasts are proven to hold together at most this
 # many rows and bytes of column data (both can be set in the session); larger
 # sides are shuffle-joined, where AQE splits skewed partitions.
@@ -46,16 +49,13 @@ def sizes(sides: Sequence[DataFrame]) -> list[tuple[int, int]]:
     return [found[i] for i in range(len(sides))]
 
 
-def within_budget(sides: Sequence[DataFrame], max_rows: int | None = None,
-                  max_bytes: int | None = None) -> list[bool]:
-    """Which sides may be broadcast in one plan: the smallest first, as long
-    as all of them together stay within the budget."""
-    rows, size = budget(sides[0].sparkSession)
+def _chosen(measured: Sequence[tuple[int, int]], spark: SparkSession, max_rows: int | None = None,
+            max_bytes: int | None = None) -> list[bool]:
+    rows, size = budget(spark)
     rows = rows if max_rows is None else max_rows
     size = size if max_bytes is None else max_bytes
-    measured = sizes(sides)
-    chosen = [False] * len(sides)
-    for i in sorted(range(len(sides)), key=lambda i: (measured[i][1], measured[i][0])):
+    chosen = [False] * len(measured)
+    for i in sorted(range(len(measured)), key=lambda i: (measured[i][1], measured[i][0])):
         n, b = measured[i]
         if n > rows or b > size:
             break
@@ -63,6 +63,13 @@ def within_budget(sides: Sequence[DataFrame], max_rows: int | None = None,
     return chosen
 
 
+def within_budget(sides: Sequence[DataFrame], max_rows: int | None = None,
+                  max_bytes: int | None = None) -> list[bool]:
+    """Which sides may be broadcast in one plan: the smallest first, as long
+    as all of them together stay within the budget."""
+    return _chosen(sizes(sides), sides[0].sparkSession, max_rows, max_bytes)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``df`` alone stays within the broadcast budget."""
     return within_budget([df], max_rows, max_bytes)[0]
@@ -86,16 +93,64 @@ def join_sides(big: DataFrame, sides: dict[str, DataFrame], how: str = "inner",
     """``big`` joined to each side by the key column that names it.
 
     Sides that fit the plan's budget together are joined map-side first. Each
-    of the others costs one shuffle of ``big``; the sort-merge hint keeps
-    Catalyst from broadcasting it after all on a wrong estimate, and AQE splits
-    the partition of a hot key. ``bounds`` gives cheaper frames that are at
-    least as large as the sides, to be measured in their place."""
-    small = within_budget(list(bounds or sides.values()), max_rows)
-    for (key, side), fits in sorted(zip(sides.items(), small), key=lambda x: not x[1]):
-        big = big.join(F.broadcast(side) if fits else side.hint("merge"), key, how)
+    of the others costs one shuffle of ``big``, of the rows that may find a
+    partner only (a Bloom filter of the side's keys, probed before the
+    exchange); the sort-merge hint keeps Catalyst from broadcasting it after
+    all on a wrong estimate, and AQE splits the partition of a hot key.
+    ``bounds`` gives cheaper frames that are at least as large as the sides, to
+    be measured in their place; their first column holds all keys of the side."""
+    bounds = list(bounds or [side.select(key, *[c for c in side.columns if c != key]) for key, side in sides.items()])
+    measured = sizes(bounds)
+    small = _chosen(measured, big.sparkSession, max_rows)
+    order = sorted(range(len(sides)), key=lambda i: not small[i])
+    for i in order:
+        key, side = list(sides.items())[i]
+        if small[i]:
+            big = big.join(F.broadcast(side), key, how)
+            continue
+        if how in ("inner", "left_semi"):
+            keys = bounds[i].select(F.col(bounds[i].columns[0]).alias(key))
+            big = bloom.reduce_by(big, bloom.build(keys, [key], measured[i][0]), [key])
+        big = big.join(side.hint("merge"), key, how)
     return big
 
 
+def semi_join(big: DataFrame, side: DataFrame, on: Sequence[str], max_rows: int | None = None) -> DataFrame:
+    """Rows of ``big`` that have a partner in ``side``. A side within the
+    budget is broadcast; for any other, a Bloom filter of its keys drops most
+    rows without one before the exchange."""
+    keys, on = side.select(*on), list(on)
+    (n, size), = sizes([keys])
+    if _chosen([(n, size)], big.sparkSession, max_rows)[0]:
+        return big.join(F.broadcast(keys), on, "left_semi")
+    return bloom.reduce_by(big, bloom.build(keys, on, n), on).join(keys.hint("merge"), on, "left_semi")
+
+
+def anti_join(big: DataFrame, side: DataFrame, on: Sequence[str], max_rows: int | None = None,
+              narrow: DataFrame | None = None) -> DataFrame:
+    """Rows of ``big`` without a partner in ``side`` (NULL keys have none).
+
+    A side within the budget is broadcast. For any other, rows that its Bloom
+    filter does not know pass map-side. The others are decided on ``narrow``
+    if given: a frame with the key columns of all rows of ``big`` and little
+    else. Of its rows that the filter knows, those without a partner (the false
+    positives) are broadcast if they are within the budget, so no row of
+    ``big`` is shuffled; if not, or without ``narrow``, the rows of ``big``
+    that the filter knows are shuffle-joined."""
+    keys, on = side.select(*on), list(on)
+    (n, size), = sizes([keys])
+    if _chosen([(n, size)], big.sparkSession, max_rows)[0]:
+        return big.join(F.broadcast(keys), on, "left_anti")
+    known = bloom.build(keys, on, n)
+    marked = bloom.with_match(big, known, on)
+    surely, maybe = marked.where("not _may_match").drop("_may_match"), marked.where("_may_match").drop("_may_match")
+    if narrow is not None:
+        false = materialize(bloom.reduce_by(narrow.select(*on), known, on).join(keys.hint("merge"), on, "left_anti").distinct())
+        if fits_broadcast(false):
+            return surely.unionByName(maybe.join(F.broadcast(false), on, "left_semi"))
+    return surely.unionByName(maybe.join(keys.hint("merge"), on, "left_anti"))
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
                 salt: int = 16, salt_from: Sequence[str] | None = None) -> DataFrame:
     """Equi-join for a hot key on the big side when the small side cannot be
