@@ -17,8 +17,8 @@ language.
    map has its first and its last n - 1 words: a frequent n-gram's are frequent.
 2. A second pass counts the n-grams whose bits are set, exactly: in a block of
    text by dense numbers of words and of pairs (shorter n-gram, next word), then
-   by language and phrase. Bits that other n-grams set are harmless: too rare
-   ones fall away by their count.
+   by language and phrase in the hash partition they belong to. Bits that other
+   n-grams set are harmless: too rare ones fall away by their count.
 3. Candidates are joined with the counts of their two parts at every cut.
    Scores are exact decimals. A candidate that lies inside a longer one as
    frequent (``share`` percent) is dropped; if any longer one is, one with one
@@ -287,14 +287,19 @@ def _survivors(summaries: DataFrame, part_bits: int, min_count: int, counters: i
     return sent.mapInArrow(run, "part int, bits binary")
 
 
-def survivor_maps(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, counters: int = COUNTERS) -> list[Broadcast]:
-    """One map a size, each of 2 ** MAP_BITS bits, in which every n-gram with
-    ``min_count`` occurrences is marked."""
-    maps: list[Broadcast] = []
+def partition_bits(docs: DataFrame, min_count: int, counters: int) -> int:
+    """Hash partitions, as a power of two, in which about ``counters`` counters
+    exceed the mass divided by the threshold."""
     # no more words than every other byte of the texts
     words = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2
     wanted = max(MIN_PARTITIONS, words // (min_count * counters))
-    part_bits = min(MAP_BITS - 3, (wanted - 1).bit_length())
+    return min(MAP_BITS - 3, (wanted - 1).bit_length())
+
+
+def survivor_maps(spark: SparkSession, docs: DataFrame, part_bits: int, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, counters: int = COUNTERS) -> list[Broadcast]:
+    """One map a size, each of 2 ** MAP_BITS bits, in which every n-gram with
+    ``min_count`` occurrences is marked."""
+    maps: list[Broadcast] = []
     for size in range(1, max_words + 1):
         summaries = _local(docs, size, part_bits, maps[-1] if maps else None)
         whole = bytearray(1 << (MAP_BITS - 3))
@@ -305,13 +310,17 @@ def survivor_maps(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COU
     return maps
 
 
-def _exact(docs: DataFrame, maps: list[Broadcast]) -> DataFrame:
-    """(lang, size, phrase, f) of each block of text for marked n-grams;
-    size 0 counts all words of a language."""
+_COUNTED = ("lang", "size", "phrase", "f")
+
+
+def _exact(docs: DataFrame, maps: list[Broadcast], part_bits: int) -> DataFrame:
+    """Counts of the marked n-grams in each block of text, a row for every hash
+    partition with lists of language, size, phrase and count; size 0 counts all
+    words of a language."""
 
-    def counted(words: Words) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
+    def counted(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, int, pa.Array, np.ndarray]]:
         langs, n = np.unique(words.lang, return_counts=True)
-        yield 0, langs, pa.array([""] * len(langs), pa.string()), n
+        yield np.zeros(len(langs), np.int64), langs, 0, pa.array([""] * len(langs), pa.string()), n
         different = len(words.words)
         _, one = np.unique(words.lang * different + words.word, return_inverse=True)
         number, top = one, len(words.word) + 1  # exact number of the n-gram from each word on
@@ -328,17 +337,55 @@ def _exact(docs: DataFrame, maps: list[Broadcast]) -> DataFrame:
             number[at] = rank
             at = at[first]
             taken = [words.words.take(pa.array(words.word[at + i])) for i in range(size)]
-            yield size, words.lang[at], pc.binary_join_element_wise(*taken, " ") if size > 1 else taken[0], n
+            yield (hashes[at] >> np.uint64(64 - part_bits)).astype(np.int64), words.lang[at], size, pc.binary_join_element_wise(*taken, " ") if size > 1 else taken[0], n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in blocks(batches):
-            if len(words.word):
-                for size, langs, phrases, n in counted(words):
-                    for i in range(0, len(n), 65_536):
-                        cols = [words.langs.take(pa.array(langs[i : i + 65_536])), pa.array(np.full(len(n[i : i + 65_536]), size, np.int32)), phrases.slice(i, 65_536), pa.array(n[i : i + 65_536].astype(np.int64))]
-                        yield pa.RecordBatch.from_arrays(cols, ["lang", "size", "phrase", "f"])
+            if not len(words.word):
+                continue
+            part, langs, sizes, phrases, n = zip(*((p, lang, np.full(len(p), size, np.int32), ph, n) for p, lang, size, ph, n in counted(words)), strict=True)
+            part = np.concatenate(part)
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            offsets = pa.array(np.append(first, len(part)).astype(np.int32))
+            values = [words.langs.take(pa.array(np.concatenate(langs)[order])), pa.array(np.concatenate(sizes)[order]), pa.concat_arrays(phrases).take(pa.array(order)), pa.array(np.concatenate(n)[order].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(part[first].astype(np.int32)), *(pa.ListArray.from_arrays(offsets, v) for v in values)], ["part", *_COUNTED])
 
-    return docs.mapInArrow(run, "lang string, size int, phrase string, f long")
+    return docs.mapInArrow(run, "part int, lang array<string>, size array<int>, phrase array<string>, f array<long>")
+
+
+def _totals(counted: DataFrame, min_count: int) -> DataFrame:
+    """(lang, size, phrase, f): the sums of each partition's lists, for phrases
+    that come up ``min_count`` times."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, rows = None, [], 0
+
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by(["lang", "size", "phrase"]).aggregate([("f", "sum")]).rename_columns(["lang", "size", "phrase", "f"])
+
+        def done() -> Iterator[pa.RecordBatch]:
+            t = summed()
+            t = t.filter(pc.or_(pc.equal(t["size"], 0), pc.greater_equal(t["f"], min_count)))
+            yield from t.select(list(_COUNTED)).to_batches(max_chunksize=65_536)
+
+        for b in batches:
+            for at in range(b.num_rows):
+                p = b.column("part")[at].as_py()
+                if p != part and held:
+                    yield from done()
+                    held, rows = [], 0
+                part = p
+                held.append(pa.table([b.column(c).slice(at, 1).flatten() for c in _COUNTED], list(_COUNTED)))
+                rows += len(held[-1])
+                if rows > HELD:
+                    held = [summed()]
+                    rows = len(held[0])
+        if held:
+            yield from done()
+
+    return counted.repartition("part").sortWithinPartitions("part").mapInArrow(run, "lang string, size int, phrase string, f long")
 
 
 def frequent(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, counters: int = COUNTERS) -> DataFrame:
@@ -349,9 +396,9 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_W
         raise ValueError("at least one occurrence and two words")
     own = only(docs, "text", "lang").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     own = own.where("text is not null")
-    maps = survivor_maps(docs.sparkSession, own, min_count, max_words, counters)
-    counts = _exact(own, maps).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-    out = stored(counts.where((F.col("size") == 0) | (F.col("f") >= min_count)), "phrases")
+    part_bits = partition_bits(own, min_count, counters)
+    maps = survivor_maps(docs.sparkSession, own, part_bits, min_count, max_words, counters)
+    out = stored(_totals(_exact(own, maps, part_bits), min_count), "phrases")
     for m in maps:
         m.unpersist()
     return out
