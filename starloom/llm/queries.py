@@ -131,6 +131,21 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f
 """
 
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(digest, {at}, 5))::int // {unit}) % 32 + 1, 1)"
+_BASE32 = " || ".join(_DIGIT.format(at=at, unit=unit) for at in range(1, 41, 5) for unit in (32768, 1024, 32, 1))
+
+OP10_SQL = f"""
+with p as (select page_id, replace(replace(url, chr(13), '%0D'), chr(10), '%0A') as url, coalesce(html, '') as html from pages),
+d as (select page_id, url, strlen(html) as payload_bytes, sha1(html) as digest from p),
+o as (
+  select *, row_number() over (partition by digest order by page_id desc nulls last) as nth, max(page_id) over (partition by digest) as original,
+    {_BASE32} as payload_digest
+  from d)
+select page_id, url, payload_bytes, payload_digest, case when nth = 1 then 'response' else 'revisit' end as record_type,
+  case when nth > 1 then original end as refers_to
+from o
+"""
+
 OP11_SQL = r"""
 with c as (
   select conv_id, turn, role as named, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -198,4 +213,4 @@ ranked as (select *, row_number() over (partition by lang order by score desc, a
 select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score from ranked where rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op9_quality": OP9_SQL, "op11_chat": OP11_SQL, "op12_ranked": OP12_SQL, "op13_phrases": OP13_SQL}
+ORACLES: dict[str, str] = {"op9_quality": OP9_SQL, "op10_archives": OP10_SQL, "op11_chat": OP11_SQL, "op12_ranked": OP12_SQL, "op13_phrases": OP13_SQL}

@@ -1,16 +1,18 @@
 """Nearest neighbours, sharding, URL filter and archives."""
 
 import base64
+import gzip
 import hashlib
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import ann, sharding, url_templates, warc
 from starloom.llm.common import shared_path
-from starloom.llm.queries import QUERIES
+from starloom.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -192,7 +194,7 @@ def test_archive_round_trip(spark, from_files):
 def test_archive_records(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     path = shared_path(spark, "test-warc")
-    warc.write_archives(pages, path, min_bytes=1, max_records=2)
+    warc.write_archives(pages, path, min_bytes=1, file_bytes=600)
     rows = warc.read_archives(spark, path, payloads=True).collect()
     assert sorted(r.html for r in rows if r.record_type == "response") == sorted(["", "", "dup", "only", "same", PAGES[3][2], PAGES[6][2]])
     assert {r.url for r in rows} >= {"http://a/%0D%0A3", None}
@@ -200,3 +202,63 @@ def test_archive_records(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
     large = warc.round_trip(spark.createDataFrame([(1, "u", "ab" * 2_000_000)], "page_id long, url string, html string")).first()
     assert large.payload_bytes == 4_000_000
+
+
+def test_archives_bounded_by_bytes(spark, tmp_path):
+    """Files hold at most the stated bytes, or one record that is larger."""
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), "id").alias("url"), F.concat(F.repeat(F.lit("xy"), F.when(F.col("id") == 7, 50_000).otherwise(500)), F.col("id").cast("string")).alias("html")).repartition(2)
+    path = str(tmp_path / "warc")
+    warc.write_archives(pages, path, file_bytes=20_000)
+    files = [gzip.decompress(p.read_bytes()) for p in tmp_path.rglob("part-*.gz")]
+    records = [list(warc.parse(iter([f]))) for f in files]
+    assert sum(map(len, records)) == 300 and len(files) >= 20
+    assert all(len(f) <= 21_000 or len(r) == 1 for f, r in zip(files, records))
+    assert warc.read_archives(spark, path).count() == 300
+
+
+def test_archives_stream(spark):
+    """Records come out the same however the pieces are cut, also over several gzip members."""
+    record = lambda i, n: f"WARC/1.1\r\nWARC-Type: response\r\nX-Page-ID: {i}\r\nContent-Length: {n}\r\n\r\n".encode() + b"\r\n" * (n // 2) + b"\r\n\r\n"
+    data = b"".join(record(i, 2 * i) for i in range(40))
+    for step in (1, 3, 1000):
+        got = list(warc.parse(data[i : i + step] for i in range(0, len(data), step)))
+        assert [(int(h["X-Page-ID"]), len(b)) for h, b in got] == [(i, 2 * i) for i in range(40)]
+    zipped = gzip.compress(data) + gzip.compress(b"z" * 5_000_000)
+    assert b"".join(warc._inflated(zipped)) == data + b"z" * 5_000_000
+    with pytest.raises(ValueError, match="gzip"):
+        list(warc._inflated(zipped[:-20]))
+    for bad in (data[:-1], data[:20], b"HTTP\r\n\r\n"):
+        with pytest.raises(ValueError):
+            list(warc.parse(iter([bad])))
+
+
+@pytest.mark.parametrize("max_rows", [None, 0])
+def test_archives_shuffle_headers_only(spark, max_rows):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    pages = pages.unionByName(pages.where("page_id % 3 = 0"))
+    rows, heads, revisits = warc.resolve(pages)
+    assert "html" not in heads.columns and "html" not in revisits.columns and revisits.count() > 0
+    out = warc.responses(rows, heads, revisits, max_rows=max_rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert out.count() == pages.count() - revisits.count()
+
+
+def test_archives_by_filter_equal_archives_by_broadcast(spark, tmp_path):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    pages = pages.unionByName(pages.where("page_id % 3 = 0"))
+    got = []
+    for i, max_rows in enumerate((None, 0)):
+        warc.write_archives(pages, str(tmp_path / str(i)), max_rows=max_rows)
+        got.append(sorted(map(tuple, warc.read_archives(spark, str(tmp_path / str(i))).collect()), key=repr))
+    assert got[0] == got[1] and len(got[0]) == pages.count()
+
+
+def test_archives_oracle(spark):
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    want = con.execute(ORACLES["op10_archives"]).fetchall()
+    got = QUERIES["op10_archives"](spark, SF)
+    assert sorted(map(tuple, got.select(*[d[0] for d in con.description]).collect()), key=repr) == sorted(want, key=repr)
+    assert set(names) <= {d[0] for d in con.description}
