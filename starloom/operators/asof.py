@@ -21,6 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,7 +82,7 @@ def _fill(rows: DataFrame, keys: list[str], left: Sequence[str], right_type: T.S
                 mine, theirs = b.column("_left").take(pick), taken.take(pick)
                 known = theirs.is_valid()
                 cols = [mine.field(i) for i in range(mine.type.num_fields)]
-                cols += [pa.compute.if_else(known, theirs.field(i), pa.scalar(None, theirs.type.field(i).type)) for i in range(theirs.type.num_fields)]
+                cols += [pc.if_else(known, theirs.field(i), pa.scalar(None, theirs.type.field(i).type)) for i in range(theirs.type.num_fields)]
                 yield pa.RecordBatch.from_arrays(cols, names)
             end = b.num_rows - 1
             last, carried = _key(b, keys, end), taken.slice(end, 1) if found[end] >= 0 else pa.array([], rights.type)
