@@ -42,6 +42,9 @@ from starloom.operators.facts import (
     star_join,
     time_dimension,
 )
+from starloom.operators.asof import asof_join
+from starloom.operators.intervals import interval_join
+from starloom.operators.joins import anti_join, semi_join
 from starloom.operators.keys import assign_keys
 from starloom.plans import publish, star
 from starloom.sources.fixtures import Sources
@@ -420,6 +423,67 @@ def q_bridge_replace(spark, sf_dir):
     return publish.replace_table(spark, src.product_categories(), "product_categories")
 
 
+# -- joins beyond the star ---------------------------------------------------------
+@query("semi_join_bloom")
+def q_semi_join_bloom(spark, sf_dir):
+    """Sales per product of the products that have a category. The product
+    side is taken as beyond the broadcast budget: a Bloom filter of its keys
+    drops the other sales before the exchange."""
+    src = Sources(spark, sf_dir)
+    known = src.bridge_named(gap=True).select("product_id").distinct()
+    kept = semi_join(src.sale.select("product_id", "price"), known, ["product_id"], max_rows=0)
+    return kept.groupBy("product_id").agg(F.count(F.lit(1)).alias("sales"), F.sum("price").alias("price"))
+
+
+@query("anti_join_bloom")
+def q_anti_join_bloom(spark, sf_dir):
+    """Single sales of products without a category; sales that the filter
+    does not know pass map-side."""
+    src = Sources(spark, sf_dir)
+    known = src.bridge_named(gap=True).select("product_id").distinct()
+    return anti_join(src.sale.select("product_id", "member_id", "price"), known, ["product_id"], max_rows=0)
+
+
+@query("interval_join")
+def q_interval_join(spark, sf_dir):
+    """Events within two hours from each signup (the end is outside)."""
+    e = Sources(spark, sf_dir).table("events")
+    opened = e.where("event_type = 'signup'").select(F.col("event_id").alias("signup_id"), F.col("ts").alias("opens"), (F.col("ts") + F.expr("interval 2 hours")).alias("closes"))
+    pairs = interval_join(opened, e.select("event_id", "ts", "value"), ("opens", "closes"), ("ts", "ts"), half_open=True)
+    return pairs.groupBy("signup_id").agg(F.count(F.lit(1)).alias("events"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("hundredths"))
+
+
+@query("interval_join_keyed")
+def q_interval_join_keyed(spark, sf_dir):
+    """Shipments to a customer while one of the customer's orders is open: from
+    its date on for up to 180 days, some for a single day."""
+    src = Sources(spark, sf_dir)
+    o = src.table("orders").select("o_orderkey", F.col("o_custkey").alias("customer"), F.to_date("o_orderdate").alias("opened"))
+    opened = o.withColumn("closed", F.date_add("opened", (F.pmod("o_orderkey", F.lit(181))).cast("int")))
+    li = src.table("lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("shipped"))
+    shipped = li.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "customer"), "l_orderkey")
+    return interval_join(opened, shipped, ("opened", "closed"), ("shipped", "shipped"), ["customer"]).select("o_orderkey", "l_orderkey", "l_linenumber")
+
+
+@query("asof_join")
+def q_asof_join(spark, sf_dir):
+    """The customer's latest order at or before each shipment."""
+    src = Sources(spark, sf_dir)
+    o = src.table("orders").select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("latest_order"), "o_orderdate")
+    li = src.table("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    shipped = li.join(src.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer")), "l_orderkey")
+    return asof_join(shipped, o, ["customer"], "l_shipdate", "o_orderdate", seq=["latest_order"]).select("l_orderkey", "l_linenumber", "latest_order", "o_orderdate")
+
+
+@query("asof_join_strict")
+def q_asof_join_strict(spark, sf_dir):
+    """The user's latest purchase strictly before each event; most first
+    events have none."""
+    e = Sources(spark, sf_dir).table("events")
+    bought = e.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchased"))
+    return asof_join(e.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "purchased", seq=["purchase_id"], allow_exact=False).select("event_id", "purchase_id", "purchased")
+
+
 # -- integrity checks --------------------------------------------------------------
 @query("check_pk")
 def q_check_pk(spark, sf_dir):

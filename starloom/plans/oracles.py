@@ -289,6 +289,32 @@ select t.year, t.month, t.day, t.time_of_day, p.product_name, m.gender, m.is_act
 from fact f join time_dim t on t.timeid = f.timeid join product_dim p on p.productid = f.productid
      join member_dim m on m.memberid = f.memberid join room_dim r on r.roomid = f.roomid""",
     "bridge_replace": with_views("v_product_categories") + "select product_id, category_id from v_product_categories",
+    # joins beyond the star
+    "semi_join_bloom": with_views("v_sale", "v_bridge", "v_bridge_gap") + """
+select product_id, count(*) sales, cast(sum(price) as bigint) price from v_sale
+where product_id in (select product_id from v_bridge_gap) group by product_id""",
+    "anti_join_bloom": with_views("v_sale", "v_bridge", "v_bridge_gap") + """
+select product_id, member_id, price from v_sale
+where product_id not in (select product_id from v_bridge_gap)""",
+    "interval_join": """
+select s.event_id signup_id, count(*) events, cast(sum(cast(round(e.value * 100) as bigint)) as bigint) hundredths
+from events s join events e on e.ts >= s.ts and e.ts < s.ts + interval 2 hours
+where s.event_type = 'signup' group by s.event_id""",
+    "interval_join_keyed": """
+select o.o_orderkey, l.l_orderkey, l.l_linenumber
+from lineitem l join orders p on p.o_orderkey = l.l_orderkey join orders o on o.o_custkey = p.o_custkey
+where cast(l.l_shipdate as date) between cast(o.o_orderdate as date)
+      and cast(o.o_orderdate as date) + cast(o.o_orderkey % 181 as int)""",
+    "asof_join": """
+select l.l_orderkey, l.l_linenumber, o.o_orderkey latest_order, o.o_orderdate
+from (select row_number() over () r, * from lineitem) l join orders p on p.o_orderkey = l.l_orderkey
+     left join orders o on o.o_custkey = p.o_custkey and o.o_orderdate <= l.l_shipdate
+qualify row_number() over (partition by l.r
+                           order by o.o_orderdate desc nulls last, o.o_orderkey desc nulls last) = 1""",
+    "asof_join_strict": """
+select e.event_id, p.event_id purchase_id, p.ts purchased
+from events e left join events p on p.user_id = e.user_id and p.event_type = 'purchase' and p.ts < e.ts
+qualify row_number() over (partition by e.event_id order by p.ts desc nulls last, p.event_id desc nulls last) = 1""",
     # integrity checks
     "check_pk": ("select l_orderkey, l_linenumber, count(*) n from lineitem group by l_orderkey, l_linenumber "
                  "having count(*) > 1"),
