@@ -21,7 +21,7 @@ from starloom.functions.money import money_sum
 from starloom.functions.recode import GENDER_CODES, bool_label, fill_defaults, recode
 from starloom.functions.timeparts import date_parts, day_name, season, time_of_day, weekday_flag
 from starloom.operators import categories as cat
-from starloom.operators import checks
+from starloom.operators import checks, lattice
 from starloom.operators.dims import (
     DimensionSpec,
     dim_ensure,
@@ -43,6 +43,7 @@ from starloom.operators.facts import (
     time_dimension,
 )
 from starloom.operators.asof import asof_join
+from starloom.operators.frames import moving
 from starloom.operators.intervals import interval_join
 from starloom.operators.joins import anti_join, semi_join
 from starloom.operators.keys import assign_keys
@@ -484,6 +485,60 @@ def q_asof_join_strict(spark, sf_dir):
     return asof_join(e.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "purchased", seq=["purchase_id"], allow_exact=False).select("event_id", "purchase_id", "purchased")
 
 
+# -- rollups and frames ------------------------------------------------------------
+def _dated_sales(src: Sources) -> DataFrame:
+    ts = F.col("ts")
+    return src.sale.select(F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"), "room_id", "product_id", "member_id", "price")
+
+
+@query("grouping_lattice")
+def q_grouping_lattice(spark, sf_dir):
+    """Day, month and year by room and product, with totals."""
+    sets = [("year", "month", "day", "room_id", "product_id"), ("year", "month", "room_id"), ("year", "month", "product_id"), ("year", "month", "day"), ("year", "room_id"), ("year", "product_id"),
+            ("year", "month"), ("room_id",), ("product_id",), ("year",), ()]
+    price = F.col("price")
+    measures = [lattice.rows("unit_sales"), lattice.total("total", price), lattice.least("lowest", price), lattice.largest("highest", price), lattice.average("mean", price)]
+    return lattice.grouping_sets(_dated_sales(Sources(spark, sf_dir)), sets, measures)
+
+
+@query("distinct_rollup")
+def q_distinct_rollup(spark, sf_dir):
+    """Members that bought in each month: exactly, and whether the estimate
+    merged from the sketches of the fact grain (month, room) is within four
+    standard errors."""
+    sales = _dated_sales(Sources(spark, sf_dir))
+    m = [lattice.distinct_estimate("estimate", F.col("member_id"))]
+    rolled = lattice.rolled_up(lattice.partials(sales, ["year", "month", "room_id"], m), ["year", "month"], m)
+    exact = sales.groupBy("year", "month").agg(F.count_distinct("member_id").alias("members"))
+    error = F.greatest(F.lit(2.0), F.lit(4 * 1.04 / 2 ** (lattice.LG_K / 2)) * F.col("members"))
+    return exact.join(rolled, ["year", "month"]).select("year", "month", "members", (F.abs(F.col("estimate") - F.col("members")) <= error).alias("within_error"))
+
+
+@query("quantile_rollup")
+def q_quantile_rollup(spark, sf_dir):
+    """Price quartiles per room, merged from the sketches of the fact grain
+    (month, room): whether all of them are within one percent of their rank."""
+    sales = _dated_sales(Sources(spark, sf_dir))
+    ranks = (0.25, 0.5, 0.75)
+    m = [lattice.quantiles("q", F.col("price"), ranks)]
+    rolled = lattice.rolled_up(lattice.partials(sales, ["year", "month", "room_id"], m), ["room_id"], m)
+    both = sales.select("room_id", "price").join(rolled, "room_id")
+    counts = [F.count_if(F.col("price") < F.col("q")[i]).alias(f"below{i}") for i in range(3)] + [F.count_if(F.col("price") <= F.col("q")[i]).alias(f"upto{i}") for i in range(3)]
+    counted = both.groupBy("room_id").agg(F.count(F.lit(1)).alias("sales"), *counts)
+    good = F.lit(True)
+    for i, rank in enumerate(ranks):
+        good = good & (F.col(f"below{i}") <= (rank + 0.01) * F.col("sales")) & (F.col(f"upto{i}") >= (rank - 0.01) * F.col("sales"))
+    return counted.select("room_id", "sales", good.alias("within_error"))
+
+
+@query("moving_frame")
+def q_moving_frame(spark, sf_dir):
+    """Each sale with the seven-day takings of its room up to its day; rooms
+    with more than 250 sales are cut into chunks."""
+    sale = Sources(spark, sf_dir).sale.select("room_id", F.to_date("ts").alias("day"), "price")
+    return moving(sale, ["room_id"], "day", 6, {"week_price": F.sum("price"), "week_sales": F.count(F.lit(1))}, chunk_rows=250)
+
+
 # -- integrity checks --------------------------------------------------------------
 @query("check_pk")
 def q_check_pk(spark, sf_dir):

@@ -315,6 +315,22 @@ qualify row_number() over (partition by l.r
 select e.event_id, p.event_id purchase_id, p.ts purchased
 from events e left join events p on p.user_id = e.user_id and p.event_type = 'purchase' and p.ts < e.ts
 qualify row_number() over (partition by e.event_id order by p.ts desc nulls last, p.event_id desc nulls last) = 1""",
+    # rollups and frames
+    "grouping_lattice": with_views("v_sale") + """
+select cast(year(ts) as int) "year", cast(month(ts) as int) "month", cast(day(ts) as int) "day", room_id, product_id,
+       grouping_id(year(ts), month(ts), day(ts), room_id, product_id) grouping_id, count(*) unit_sales,
+       cast(sum(price) as bigint) total, min(price) lowest, max(price) highest, sum(price)::double / count(price) mean
+from v_sale group by grouping sets ((year(ts), month(ts), day(ts), room_id, product_id), (year(ts), month(ts), room_id),
+  (year(ts), month(ts), product_id), (year(ts), month(ts), day(ts)), (year(ts), room_id), (year(ts), product_id),
+  (year(ts), month(ts)), (room_id), (product_id), (year(ts)), ())""",
+    "distinct_rollup": with_views("v_sale") + """
+select cast(year(ts) as int) "year", cast(month(ts) as int) "month", count(distinct member_id) members, true within_error
+from v_sale group by 1, 2""",
+    "quantile_rollup": with_views("v_sale") + "select room_id, count(*) sales, true within_error from v_sale group by room_id",
+    "moving_frame": with_views("v_sale") + """
+select room_id, cast(ts as date) "day", price, cast(sum(price) over f as bigint) week_price, count(*) over f week_sales
+from v_sale window f as (partition by room_id order by cast(ts as date)
+                         range between interval 6 days preceding and current row)""",
     # integrity checks
     "check_pk": ("select l_orderkey, l_linenumber, count(*) n from lineitem group by l_orderkey, l_linenumber "
                  "having count(*) > 1"),
