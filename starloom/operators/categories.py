@@ -35,11 +35,13 @@ def level_map(spark: SparkSession, levels: dict | None = None) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def bridge_join(product: DataFrame, category: DataFrame, product_categories: DataFrame) -> DataFrame:
-    """Inner 3-way join; products without any category drop out.
+def bridge_join(product: DataFrame, category: DataFrame, product_categories: DataFrame,
+                size: tuple[int, int] | None = None) -> DataFrame:
+    """Inner 3-way join; products without any category drop out. ``size``:
+    (rows, bytes) of the categories, if known.
 
     Output: id, pname, cname, active, alcohol_content_ml."""
-    cat = small_side(category.select(F.col("id").alias("category_id"), F.col("name").alias("cname")))
+    cat = small_side(category.select(F.col("id").alias("category_id"), F.col("name").alias("cname")), size=size)
     pc = product_categories.select("product_id", "category_id").join(cat, "category_id")
     p = product.select("id", F.col("name").alias("pname"), "active", "alcohol_content_ml")
     return p.join(pc, p.id == pc.product_id, "inner").select(
@@ -88,15 +90,17 @@ def route_pivoted(pivoted: DataFrame, levels: dict | None = None, k: int = MAX_C
     return out
 
 
-def route_categories(ranked: DataFrame, levels: DataFrame, k: int | None = None) -> DataFrame:
+def route_categories(ranked: DataFrame, levels: DataFrame, k: int | None = None,
+                     size: tuple[int, int] | None = None) -> DataFrame:
     """Routing without the pivot: join each ranked category to its level
     (``levels``: name, level) and keep, per product and level, the name with
     the highest rank. All categories count, unless ``k`` limits them to the
     first k as the pivot does (:func:`dropped_count` reports what that loses).
+    ``size``: (rows, bytes) of the levels, if known.
 
     Output: id, pname, active, alcohol_content_ml, product_type, category,
     subcategory."""
-    lv = small_side(levels.select(F.col("name").alias("cname"), "level"))
+    lv = small_side(levels.select(F.col("name").alias("cname"), "level"), size=size)
     counted = ranked if k is None else ranked.filter(F.col("rn") <= k)
     tagged = counted.join(lv, "cname", "left")
 

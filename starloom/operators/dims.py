@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.operators.joins import salted_join, sized
+from starloom.operators.joins import fits_budget, salted_join, sized
 from starloom.operators.keys import assign_keys, next_key
 
 POLICIES = ("error", "default", "null")
@@ -89,30 +89,34 @@ def _start(dim: DataFrame, spec: DimensionSpec, start: int | None) -> int:
     return next_key(dim, spec.key) if start is None else start
 
 
-def _append_new(dim: DataFrame, new: DataFrame, spec: DimensionSpec, start: int | None = None) -> DataFrame:
+def _append_new(dim: DataFrame, new: DataFrame, spec: DimensionSpec, start: int | None = None,
+                at_most: int | None = None) -> DataFrame:
     keyed = assign_keys(new.select(*spec.attributes), list(spec.lookup), key=spec.key,
-                        start=_start(dim, spec, start))
+                        start=_start(dim, spec, start), at_most=at_most)
     return dim.select(*spec.columns).unionByName(keyed.select(*spec.columns))
 
 
 def dim_ensure(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str | None = None,
-               start: int | None = None) -> DataFrame:
+               start: int | None = None, at_most: int | None = None) -> DataFrame:
     """Insert the rows whose natural key is not yet a member.
 
-    Within the batch the first row of a natural key (smallest ``seq``; when
-    no ``seq`` is given, the rows must already be unique per key) supplies
-    the attributes. Existing members are left untouched. New members get
-    keys after the current largest key, in natural-key order."""
+    Within the batch the first row of a natural key (smallest ``seq``)
+    supplies the attributes; only a dimension without attributes besides its
+    natural key needs no ``seq``. Existing members are left untouched. New
+    members get keys after the current largest key, in natural-key order.
+    ``at_most``: rows of the batch, if a bound is known (see
+    :func:`~starloom.operators.keys.assign_keys`)."""
     lookup = list(spec.lookup)
     others = [a for a in spec.attributes if a not in lookup]
-    batch = (first_per_key(rows, lookup, others, seq) if seq else
-             rows.select(*spec.attributes).dropDuplicates(lookup))
+    if others and seq is None:
+        raise ValueError(f"dimension {spec.name}: seq must say which row of a natural key supplies {others}")
+    batch = first_per_key(rows, lookup, others, seq) if others else rows.select(*spec.attributes).distinct()
     new = batch.join(dim.select(*lookup), lookup, "left_anti")
-    return _append_new(dim, new, spec, start)
+    return _append_new(dim, new, spec, start, at_most)
 
 
 def scd1_upsert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str,
-                start: int | None = None) -> DataFrame:
+                start: int | None = None, at_most: int | None = None) -> DataFrame:
     """Type-1 slowly changing dimension.
 
     Per natural key of the batch: plain attributes come from the first row
@@ -131,15 +135,15 @@ def scd1_upsert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, seq: str,
           if a in spec.type1 else F.col(a) for a in spec.attributes])
     new = batch.join(current.select(*lookup), lookup, "left_anti")
     keyed = assign_keys(new.select(*spec.attributes), lookup, key=spec.key,
-                        start=_start(dim, spec, start))
+                        start=_start(dim, spec, start), at_most=at_most)
     return updated.unionByName(keyed.select(*spec.columns))
 
 
 def dim_insert(dim: DataFrame, rows: DataFrame, spec: DimensionSpec, order: Sequence[str],
-               start: int | None = None) -> DataFrame:
+               start: int | None = None, at_most: int | None = None) -> DataFrame:
     """Unconditional append: every row becomes a member, duplicates
     included, keyed after the current largest key in ``order``."""
-    keyed = assign_keys(rows, list(order), key=spec.key, start=_start(dim, spec, start))
+    keyed = assign_keys(rows, list(order), key=spec.key, start=_start(dim, spec, start), at_most=at_most)
     return dim.select(*spec.columns).unionByName(keyed.select(*spec.columns))
 
 
@@ -151,7 +155,8 @@ def key_map(dim: DataFrame, spec: DimensionSpec) -> DataFrame:
 
 def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: str = "error",
            default_id: int | None = None, on: Sequence[str] | None = None,
-           dedupe: bool = True, salt: int = 0, null_safe: bool = False) -> DataFrame:
+           dedupe: bool = True, salt: int = 0, null_safe: bool = False,
+           size: tuple[int, int] | None = None) -> DataFrame:
     """Add ``spec.key`` to ``facts`` by natural key (columns ``on`` of the
     facts, named like ``spec.lookup``).
 
@@ -162,7 +167,9 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     skewed partitions, or, with ``salt`` > 0, the fact side is spread over
     ``salt`` deterministic sub-keys per natural key (for hot keys when AQE
     skew handling is off). ``null_safe=True`` matches NULL natural-key parts
-    to NULL member attributes (``<=>``) instead of treating them as missing."""
+    to NULL member attributes (``<=>``) instead of treating them as missing.
+    ``size``: (rows, bytes) that the dimension's keys are known not to exceed,
+    instead of measuring them."""
     if on_missing not in POLICIES:
         raise ValueError(f"on_missing must be one of {POLICIES}")
     default = spec.default_id if default_id is None else default_id
@@ -173,7 +180,7 @@ def lookup(facts: DataFrame, dim: DataFrame, spec: DimensionSpec, on_missing: st
     kmap = key_map(dim, spec) if dedupe else dim.select(*natural, spec.key)
     kmap = kmap.toDF(*on, spec.key) if on != natural else kmap
     # the dimension is at least as large as its key map, and needs no grouping to be measured
-    _, small = sized(dim.select(*natural, spec.key))
+    small = sized(dim.select(*natural, spec.key))[1] if size is None else fits_budget(facts.sparkSession, size)
     side = F.broadcast(kmap) if small else kmap
     if null_safe:
         renamed = kmap.select(*[F.col(c).alias(f"_k_{c}") for c in on], spec.key)

@@ -20,7 +20,7 @@ from starloom.functions.timeparts import (
     time_of_day_label,
 )
 from starloom.operators.dims import DimensionSpec, lookup
-from starloom.operators.joins import budget, fits_broadcast, join_sides
+from starloom.operators.joins import budget, fits_broadcast, fits_budget, join_sides
 from starloom.operators.keys import assign_keys
 
 # Grain of the sales aggregate and of the staging table.
@@ -79,19 +79,21 @@ def sales_aggregated(sale: DataFrame, product: DataFrame, room: DataFrame, membe
 
 
 def canonical_names(df: DataFrame, column: str, out: str | None = None,
-                    names: DataFrame | None = None) -> DataFrame:
+                    names: DataFrame | None = None, size: tuple[int, int] | None = None) -> DataFrame:
     """Replace an HTML-bearing name column by its plain text.
 
     The text job runs once per *distinct* raw name (a dimension-sized set),
     never per sale; the raw -> clean map is joined back (broadcast when its
     size is checked small). ``names`` (one column) holds the raw names when a
     smaller frame than ``df`` knows them all, so ``df`` is read once; a name
-    that it lacks is an error."""
+    that it lacks is an error. ``size``: (rows, bytes) that the names are known
+    not to exceed, instead of measuring them."""
     out = out or column
     raw = (df.select(column) if names is None else names).toDF("_raw").distinct()
     cleaned = with_html_text(raw, "_raw", "_clean").withColumn("_known", F.lit(True))
     # the check reads raw names (same rows, half the bytes), so it runs no Python
-    if fits_broadcast(raw, max_bytes=budget(df.sparkSession)[1] // 2):
+    half = budget(df.sparkSession)[1] // 2
+    if fits_broadcast(raw, max_bytes=half) if size is None else fits_budget(df.sparkSession, size, max_bytes=half):
         cleaned = F.broadcast(cleaned)
     joined = df.join(cleaned, df[column].eqNullSafe(cleaned["_raw"]), "left")
     clean = F.col("_clean")
@@ -133,10 +135,10 @@ def time_members(rows: DataFrame, pad_day_name: bool = False) -> DataFrame:
             .select(*TIME_LOOKUP, "season", "day_of_week", *time_member_columns()))
 
 
-def time_dimension(rows: DataFrame, pad_day_name: bool = False) -> DataFrame:
+def time_dimension(rows: DataFrame, pad_day_name: bool = False, at_most: int | None = None) -> DataFrame:
     """Time dimension keyed 1.. in (year, month, day, time_of_day) order."""
     members = time_members(rows, pad_day_name)
-    return assign_keys(members, TIME_LOOKUP, key="timeid").select(*TIME_SPEC.columns)
+    return assign_keys(members, TIME_LOOKUP, key="timeid", at_most=at_most).select(*TIME_SPEC.columns)
 
 
 def load_facts(staged: DataFrame, time_dim: DataFrame, product_dim: DataFrame, member_dim: DataFrame,

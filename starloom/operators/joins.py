@@ -40,13 +40,14 @@ def budget(spark: SparkSession) -> tuple[int, int]:
 
 
 def sizes(sides: Sequence[DataFrame]) -> list[tuple[int, int]]:
-    """(rows, bytes of column data) of every side, in one job. Each partition
-    sends one partial (count, bytes) row, so no task gathers rows (a ``limit``
-    would funnel up to ``partitions * max_rows`` rows into a single task)."""
-    counted = [df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df).cast("long")).alias("b"))
-               .select(F.lit(i).alias("i"), "n", "b") for i, df in enumerate(sides)]
-    found = {r["i"]: (r["n"], r["b"] or 0) for r in reduce(DataFrame.unionAll, counted).collect()}
-    return [found[i] for i in range(len(sides))]
+    """(rows, bytes of column data) of every side, in one aggregate. Each
+    partition sends one partial (count, bytes) row, so no task gathers rows (a
+    ``limit`` would funnel up to ``partitions * max_rows`` rows into a single
+    task), and there is one exchange for all sides."""
+    tagged = [df.select(F.lit(i).alias("i"), _row_bytes(df).cast("long").alias("b")) for i, df in enumerate(sides)]
+    sums = reduce(DataFrame.unionAll, tagged).groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
+    found = {r["i"]: (r["n"], r["b"] or 0) for r in sums.collect()}
+    return [found.get(i, (0, 0)) for i in range(len(sides))]
 
 
 def _chosen(measured: Sequence[tuple[int, int]], spark: SparkSession, max_rows: int | None = None,
@@ -75,6 +76,13 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     return within_budget([df], max_rows, max_bytes)[0]
 
 
+def fits_budget(spark: SparkSession, size: tuple[int, int], max_rows: int | None = None,
+                max_bytes: int | None = None) -> bool:
+    """True when a side of at most ``size`` (rows, bytes) stays within the
+    broadcast budget by itself."""
+    return _chosen([size], spark, max_rows, max_bytes)[0]
+
+
 def sized(df: DataFrame, max_rows: int | None = None,
           max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """(``df`` with a broadcast hint, True) if its size is proven small,
@@ -83,13 +91,18 @@ def sized(df: DataFrame, max_rows: int | None = None,
     return (F.broadcast(df) if small else df), small
 
 
-def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if its size is proven small, else as is."""
+def small_side(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None,
+               size: tuple[int, int] | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its size is proven small, else as is.
+    ``size``: (rows, bytes) it is known not to exceed, instead of measuring."""
+    if size is not None:
+        return F.broadcast(df) if fits_budget(df.sparkSession, size, max_rows, max_bytes) else df
     return sized(df, max_rows, max_bytes)[0]
 
 
 def join_sides(big: DataFrame, sides: dict[str, DataFrame], how: str = "inner",
-               bounds: Sequence[DataFrame] | None = None, max_rows: int | None = None) -> DataFrame:
+               bounds: Sequence[DataFrame] | None = None, max_rows: int | None = None,
+               measured: Sequence[tuple[int, int]] | None = None) -> DataFrame:
     """``big`` joined to each side by the key column that names it.
 
     Sides that fit the plan's budget together are joined map-side first. Each
@@ -98,9 +111,10 @@ def join_sides(big: DataFrame, sides: dict[str, DataFrame], how: str = "inner",
     exchange); the sort-merge hint keeps Catalyst from broadcasting it after
     all on a wrong estimate, and AQE splits the partition of a hot key.
     ``bounds`` gives cheaper frames that are at least as large as the sides, to
-    be measured in their place; their first column holds all keys of the side."""
+    be measured in their place; their first column holds all keys of the side.
+    ``measured`` gives (rows, bytes) that are known already, at least as large."""
     bounds = list(bounds or [side.select(key, *[c for c in side.columns if c != key]) for key, side in sides.items()])
-    measured = sizes(bounds)
+    measured = sizes(bounds) if measured is None else measured
     small = _chosen(measured, big.sparkSession, max_rows)
     order = sorted(range(len(sides)), key=lambda i: not small[i])
     for i in order:

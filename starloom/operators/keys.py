@@ -39,21 +39,27 @@ def _order(cols: Sequence) -> list[Column]:
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence, key: str = "id", start: int | Column = 1,
-                num_partitions: int | None = None, local_max_rows: int = LOCAL_MAX_ROWS) -> DataFrame:
+                num_partitions: int | None = None, local_max_rows: int = LOCAL_MAX_ROWS,
+                at_most: int | None = None) -> DataFrame:
     """Add ``key``: dense ids ``start, start+1, ...`` in ``order_cols`` order.
 
     Rows with equal ``order_cols`` are ordered by their remaining columns, so
     the numbering is the same for any size and any number of partitions (rows
     equal in every column are interchangeable). ``start`` may be a literal or
-    a Column such as the result of :func:`next_key`.
+    a Column such as the result of :func:`next_key`. ``at_most`` is a number
+    of rows that the input is known not to exceed: if it is small enough for
+    the plain window, nothing has to be counted and the result is lazy.
     """
     start_col = start if isinstance(start, Column) else F.lit(start)
     spark = df.sparkSession
+    order = _order([*order_cols, *[c for c in df.columns if c not in order_cols]])
+    if at_most is not None and at_most <= local_max_rows:
+        keyed = start_col.cast("long") + F.row_number().over(W.orderBy(*order)) - 1
+        return df.select(keyed.alias(key), *[F.col(c) for c in df.columns])
     # The input is computed once: the size count, range sampling, the
     # checkpoint job and its write all read this persisted copy.
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
     checkpoint_dir(spark)
-    order = _order([*order_cols, *[c for c in source.columns if c not in order_cols]])
     if local_max_rows > 0 and source.count() <= local_max_rows:
         keyed = start_col.cast("long") + F.row_number().over(W.orderBy(*order)) - 1
         out = source.select(keyed.alias(key), *[F.col(c) for c in source.columns]).checkpoint(eager=True)

@@ -78,8 +78,10 @@ def _ranked(src: Sources, gap: bool = False) -> DataFrame:
 
 
 def _product_dim(spark: SparkSession, src: Sources, gap: bool = False) -> DataFrame:
-    op = operational(src, gap)
-    return star.product_dimension(spark, star.product_rows(op, src.level_map(gap)))
+    op, levels = operational(src, gap), src.level_map(gap)
+    known = star.source_sizes(op, levels)
+    rows = star.product_rows(op, levels, star.product_names(op, known), known)
+    return star.product_dimension(spark, rows, at_most=known.product[0])
 
 
 # -- sources -------------------------------------------------------------------
