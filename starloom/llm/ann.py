@@ -9,17 +9,22 @@ applies: a hash is floor((a . x + b) / w) with Gaussian a and uniform b, and a
 bucket of a table is the tuple of ``HASHES`` such values. One scale for all
 norms would squeeze the short vectors into a few buckets.
 
-A query visits its own bucket in each of ``TABLES`` tables and ``PROBES`` - 1
-perturbed ones. A perturbation moves some hashes by one, to the side at which
-the query lies near the edge of its slot; perturbation sets are visited in the
-order of their estimated success (the expected squared distances to the edges,
-so the order is one list for all queries, applied to each query's own sorted
-distances). It does so in every band; a band of at most ``WHOLE`` different
-vectors is one bucket, which every query visits.
+A query visits its own bucket in each table and a number of perturbed ones. A
+perturbation moves some hashes by one, to the side at which the query lies near
+the edge of its slot; perturbation sets are visited in the order of their
+estimated success (the expected squared distances to the edges, so the order is
+one list for all queries, applied to each query's own sorted distances). It does
+so in every band.
+
+Hashes, tables, probes and width are chosen for the data, from ``SETTINGS``. A
+sample of ``SAMPLE_QUERIES`` queries is compared with all vectors; a setting's
+recall is the part of their nearest that lie in buckets they visit, and its cost
+follows from its copies and from the part of ``SAMPLE_VECTORS`` vectors in the
+buckets visited. The cheapest setting with a recall of ``RECALL`` is taken; if
+none has it, a band is one bucket and the search is exact.
 
 Queries that found fewer than k + 1 different vectors while there are more of
-their length are compared with all of them: ``HASHES`` = 3 has only 27
-perturbation sets, so more probes would not do.
+their length are compared with all of them.
 
 Vectors and visits meet by bucket in blocks: a bucket with more than ``BLOCK``
 vectors or visits is dealt into a grid of blocks by hashes, so none grows with
@@ -42,7 +47,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -53,13 +58,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.llm.common import cut, only
+from starloom.operators.joins import small_side
 
 K = 20
 HASHES, TABLES, PROBES, WIDTH = 3, 8, 16, 1.0
+# (hashes, tables, probes, width) that a search chooses from
+SETTINGS = (
+    (16, 4, 32, 1.0), (12, 2, 8, 1.0), (12, 8, 32, 1.0), (10, 2, 16, 1.0), (8, 2, 16, 1.0), (8, 4, 32, 1.0), (8, 8, 48, 1.0),
+    (6, 4, 32, 1.0), (6, 8, 48, 1.0), (8, 4, 48, 2.0), (6, 4, 48, 2.0), (4, 2, 48, 2.0), (3, 2, 16, 2.0), (2, 2, 9, 2.0), (3, 8, 16, 1.0),
+)
+RECALL = 0.97
+SAMPLE_QUERIES, SAMPLE_VECTORS = 100, 2000
+PAIRS_PER_COPY = 400  # products of two vectors that cost as much as a vector sent to a bucket
 BLOCK = 8_192
-WHOLE = 256  # a norm band of at most so many different vectors is not hashed
 SEED = 11
-MAX_LENGTHS = 10_000  # different vector lengths; one number is kept for each
 _CELLS = 4_000_000  # numbers of candidate vectors scored again at a time
 _HELD = 1_000_000  # candidates held by a task before it keeps the best of each query
 
@@ -149,18 +161,22 @@ def _whole(dim: int, band: int) -> int:
     return ~_shift((band << 32) + dim)
 
 
-def _placed(x: np.ndarray, band: int, scale: float | None, index: Index) -> np.ndarray:
-    """Bucket names of vectors of one band; without scale it is one bucket."""
-    if scale is None:
+def _hashed(scale: float, index: Index | None) -> bool:
+    return index is not None and 0 < scale < math.inf
+
+
+def _placed(x: np.ndarray, band: int, scale: float, index: Index | None) -> np.ndarray:
+    """Bucket names of vectors of one band; without index it is one bucket."""
+    if not _hashed(scale, index):
         return np.full((len(x), 1), _whole(x.shape[1], band))
     return buckets(x, scale, index) + np.int64(_shift(band))
 
 
-def _visited(q: np.ndarray, bands: dict[int, float | None], index: Index) -> Iterator[np.ndarray]:
+def _visited(q: np.ndarray, bands: list[tuple[int, float]], index: Index | None) -> Iterator[np.ndarray]:
     """Bucket names each query visits, band by band."""
-    near = visits(q, index).reshape(len(q), -1) if any(s is not None for s in bands.values()) else None
-    for band, scale in bands.items():
-        yield np.full((len(q), 1), _whole(q.shape[1], band)) if scale is None else near + np.int64(_shift(band))
+    near = visits(q, index).reshape(len(q), -1) if any(_hashed(scale, index) for _, scale in bands) else None
+    for band, scale in bands:
+        yield near + np.int64(_shift(band)) if _hashed(scale, index) else np.full((len(q), 1), _whole(q.shape[1], band))
 
 
 def _norm(v: np.ndarray) -> tuple[float, int]:
@@ -202,33 +218,34 @@ def _matrix(vecs: pa.Array, dtype: str, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(vecs.to_pylist()), dtype).reshape(-1, dim).astype(np.float64)
 
 
-def _bands(classes: DataFrame) -> dict[int, dict[int, tuple[int, float]]]:
-    """Number of classes and largest norm in each norm band of each vector
-    length: a length has no more bands than doubles have exponents."""
-    sums = classes.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("norm"))
-    got = sums.groupBy("dim").agg(F.collect_list(F.struct("band", "n", "norm")).alias("bands")).limit(MAX_LENGTHS + 1).collect()
-    if len(got) > MAX_LENGTHS:
-        raise ValueError(f"more than {MAX_LENGTHS} vector lengths")
-    return {r["dim"]: {b["band"]: (b["n"], b["norm"]) for b in r["bands"]} for r in got}
+def _with_bands(classes: DataFrame) -> DataFrame:
+    """Classes with ``scale``, the largest norm of their band, and, where they
+    ask, ``bands``: all bands of their length with their scales, and ``there``,
+    the number of classes of it. A length has no more bands than doubles have
+    exponents."""
+    sums = cut(classes.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("scale")))
+    lengths = sums.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("band", "scale"))).alias("bands"), F.sum("n").alias("there"))
+    rows = classes.drop("norm").join(small_side(sums.drop("n")), ["dim", "band"]).join(small_side(cut(lengths)), "dim")
+    return rows.withColumn("bands", F.when(F.col("asks"), F.col("bands")))
 
 
-def _entries(classes: DataFrame, index: Index, dtype: str, scales: dict[int, dict[int, float | None]], with_vectors: bool) -> DataFrame:
+def _entries(classes: DataFrame, index: Index | None, dtype: str, with_vectors: bool) -> DataFrame:
     """A row for each bucket a vector is in (kind 1) and each that a query
-    visits (kind 0). ``scales`` has the norm bands of the lengths to take."""
+    visits (kind 0)."""
 
     def named(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, pa.Array, np.ndarray]]:
-        dims, bands = (part.column(c).to_numpy() for c in ("dim", "band"))
+        dims, bands, scales = (part.column(c).to_numpy() for c in ("dim", "band", "scale"))
         asks = np.array(part.column("asks").to_pylist(), bool)
         for dim in np.unique(dims).tolist():
-            own = scales.get(dim, {})
-            for band in np.unique(bands[dims == dim]).tolist() if own else ():
+            for band in np.unique(bands[dims == dim]).tolist():
                 rows = np.flatnonzero((dims == dim) & (bands == band))
                 vecs = part.column("vec").take(pa.array(rows))
-                yield 1, rows, vecs, _placed(_matrix(vecs, dtype, dim), band, own[band], index)
+                yield 1, rows, vecs, _placed(_matrix(vecs, dtype, dim), band, float(scales[rows[0]]), index)
             rows = np.flatnonzero((dims == dim) & asks)
-            if own and len(rows):
+            if len(rows):
                 vecs = part.column("vec").take(pa.array(rows))
-                for names in _visited(_matrix(vecs, dtype, dim), own, index):
+                all_bands = [(b["band"], b["scale"]) for b in part.column("bands")[int(rows[0])].as_py()]
+                for names in _visited(_matrix(vecs, dtype, dim), all_bands, index):
                     yield 0, rows, vecs, names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,6 +263,77 @@ def _entries(classes: DataFrame, index: Index, dtype: str, scales: dict[int, dic
     return classes.mapInArrow(run, "bucket long, kind int, cls long, least long, dim int" + (", vec binary" if with_vectors else ""))
 
 
+def _sample_truth(classes: DataFrame, sample: list, dtype: str, k: int) -> DataFrame:
+    """(q, vec, band, scale): the k nearest of each sampled query's vector
+    (number q of the sample) among all classes; a task sends its best k."""
+    by_dim: dict[int, list[int]] = {}
+    for q, r in enumerate(sample):
+        by_dim.setdefault(r["dim"], []).append(q)
+    asked = {dim: np.frombuffer(b"".join(bytes(sample[q]["vec"]) for q in qs), dtype).reshape(-1, dim).astype(np.float64) for dim, qs in by_dim.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dims = b.column("dim").to_numpy()
+            for dim, qs in by_dim.items():
+                rows = np.flatnonzero(dims == dim)
+                if not len(rows):
+                    continue
+                scores = asked[dim] @ _matrix(b.column("vec").take(pa.array(rows)), dtype, dim).T
+                n = min(k, len(rows))
+                best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+                i = np.repeat(np.arange(len(qs)), n)
+                at = pa.array(rows[best.ravel()])
+                cols = [pa.array(np.array(qs, np.int32)[i]), pa.array(scores[i, best.ravel()])]
+                yield pa.RecordBatch.from_arrays([*cols, *(b.column(c).take(at) for c in ("least", "vec", "band", "scale"))], ["q", "score", "least", "vec", "band", "scale"])
+
+    found = classes.select("dim", "least", "vec", "band", "scale").mapInArrow(run, "q int, score double, least long, vec binary, band int, scale double")
+    nearest = W.partitionBy("q").orderBy(F.desc("score"), "least")
+    return found.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k)
+
+
+def choose(classes: DataFrame, dtype: str, k: int, settings: Sequence[tuple[int, int, int, float]] = SETTINGS, recall: float = RECALL) -> Index | None:
+    """The cheapest setting whose recall on the sample is high enough, or none."""
+    few = classes.where("asks").orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE_QUERIES).select("dim", "vec").collect()
+    if not few:
+        return None
+    truth = _sample_truth(classes, few, dtype, k + 1).collect()  # k + 1 vectors a query
+    some = classes.orderBy(F.xxhash64("vec", F.lit(1)), "vec").limit(SAMPLE_VECTORS).select("dim", "band", "scale", "vec").collect()
+    n, asking = classes.agg(F.count(F.lit(1)), F.count_if("asks")).first()
+    read = lambda rows, dim: np.frombuffer(b"".join(bytes(r["vec"]) for r in rows), dtype).reshape(-1, dim).astype(np.float64)
+
+    def grouped(rows: list) -> list[tuple[int, int, float, list]]:
+        """Rows by length and band: what has one scale."""
+        out: dict = {}
+        for r in rows:
+            out.setdefault((r["dim"] if "dim" in r else few[r["q"]]["dim"], r["band"], r["scale"]), []).append(r)
+        return [(*key, own) for key, own in out.items() if 0 < key[2] < math.inf]
+
+    dims = sorted({r["dim"] for r in few})
+    best: tuple[float, Index] | None = None
+    for hashes, tables, probes, width in settings:
+        index = Index(hashes, tables, probes, width)
+        near = {}  # visits of each sampled query, a sorted list a table
+        for dim in dims:
+            own = [q for q, r in enumerate(few) if r["dim"] == dim]
+            for q, seen in zip(own, visits(read([few[q] for q in own], dim), index), strict=True):
+                near[q] = [np.unique(seen[:, t]) for t in range(tables)]
+        met = 0
+        for dim, _, scale, own in grouped(truth):
+            for r, names in zip(own, buckets(read(own, dim), scale, index), strict=True):
+                met += any(names[t] in near[r["q"]][t] for t in range(tables))
+        if met < recall * len(truth):
+            continue
+        pairs = 0
+        for dim, _, scale, own in grouped(some):
+            names = buckets(read(own, dim), scale, index)
+            pairs += sum(int(np.isin(names[:, t], near[q][t]).sum()) for q in near if few[q]["dim"] == dim for t in range(tables))
+        share = pairs / (len(few) * max(1, len(some)))
+        cost = tables * (n + asking * probes) + asking * n * share / PAIRS_PER_COPY
+        if best is None or cost < best[0]:
+            best = cost, index
+    return best and best[1]
+
+
 def _best(found: list[tuple], k: int) -> tuple[np.ndarray, ...]:
     """The k best different candidates of each query; ties to the smaller id."""
     q, c, least, score = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -351,12 +439,12 @@ def _merge(lists: DataFrame, k: int) -> DataFrame:
     return lists.repartition("q").sortWithinPartitions("q").mapInArrow(run, "q long, c long, score double")
 
 
-def _found(classes: DataFrame, index: Index, dtype: str, scales: dict[int, dict[int, float | None]], k: int, block: int) -> DataFrame:
+def _found(classes: DataFrame, index: Index | None, dtype: str, k: int, block: int) -> DataFrame:
     """(q, c, score): the k + 1 nearest classes that each asking class meets."""
-    entries = _entries(classes, index, dtype, scales, False)
+    entries = _entries(classes, index, dtype, False)
     parts = [F.ceil(F.sum((F.col("kind") == kind).cast("long")) / block).cast("int").alias(name) for kind, name in ((1, "v_parts"), (0, "q_parts"))]
     large = cut(entries.groupBy("bucket").agg(*parts).where("v_parts > 1 or q_parts > 1"))
-    dealt = _entries(classes, index, dtype, scales, True).join(large, "bucket", "left")
+    dealt = _entries(classes, index, dtype, True).join(large, "bucket", "left")
     v_parts, q_parts = (F.greatest(F.lit(1), F.coalesce(c, F.lit(1))) for c in ("v_parts", "q_parts"))
     mine = lambda parts: F.array(F.pmod(F.xxhash64("cls"), parts).cast("int"))
     every = lambda parts: F.sequence(F.lit(0), parts - 1)
@@ -366,27 +454,26 @@ def _found(classes: DataFrame, index: Index, dtype: str, scales: dict[int, dict[
     return _merge(_score_blocks(blocks, dtype, k + 1), k + 1)
 
 
-def search(rows: DataFrame, asks: Column, k: int = K, index: Index = Index(), block: int = BLOCK) -> DataFrame:
+def search(rows: DataFrame, asks: Column, k: int = K, index: Index | None = None, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every row of
-    (vec_id, embedding) where ``asks`` (a condition on vec_id) holds."""
+    (vec_id, embedding) where ``asks`` (a condition on vec_id) holds. ``index``
+    sets the parameters instead of choosing them."""
     usable, dtype = _usable(rows)
     usable = cut(usable.distinct())
     is_query = F.coalesce(asks, F.lit(False))
     classes = cut(usable.groupBy("dim", "vec").agg(F.min("vec_id").alias("least"), F.max(is_query).alias("asks"), F.first("norm").alias("norm"), F.first("band").alias("band")))
-    classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()))
-    bands = _bands(classes)
-    scales = {dim: {band: norm if n > WHOLE and 0 < norm < math.inf else None for band, (n, norm) in own.items()} for dim, own in bands.items()}
-    near = cut(_found(classes, index, dtype, scales, k, block))
-    if bands:
-        there = F.broadcast(classes.sparkSession.createDataFrame([(dim, sum(n for n, _ in own.values())) for dim, own in bands.items()], "dim int, there long"))
+    classes = cut(_with_bands(classes.withColumn("cls", F.monotonically_increasing_id())))
+    index = index or choose(classes, dtype, k)
+    near = cut(_found(classes, index, dtype, k, block))
+    if index is not None:
         counts = near.groupBy(F.col("q").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
         few = F.coalesce("n", F.lit(0)) < F.least("there", F.lit(k + 1))
-        short = cut(classes.where("asks").select("cls", "dim").join(there, "dim").join(counts, "cls", "left").where(few).select("cls", "dim"))
-        every = {r["dim"]: dict.fromkeys(bands[r["dim"]]) for r in short.select("dim").distinct().collect()}
-        if every:
+        short = cut(classes.where("asks").select("cls", "dim", "there").join(counts, "cls", "left").where(few).select("cls", "dim"))
+        if not short.isEmpty():
             asking = short.select("cls", F.lit(True).alias("short"))
-            again = classes.join(asking, "cls", "left").withColumn("asks", F.coalesce("short", F.lit(False))).drop("short")
-            whole = _found(cut(again), index, dtype, every, k, block)
+            own = classes.join(small_side(short.select("dim").distinct()), "dim", "left_semi")
+            again = own.join(asking, "cls", "left").withColumn("asks", F.coalesce("short", F.lit(False))).drop("short")
+            whole = _found(cut(again), None, dtype, k, block)
             near = cut(near.join(short.select(F.col("cls").alias("q")), "q", "left_anti").unionByName(whole))
     named = usable.join(classes.select("dim", "vec", "cls"), ["dim", "vec"]).select("vec_id", "cls")
     first = W.partitionBy("cls").orderBy("vec_id")

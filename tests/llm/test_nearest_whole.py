@@ -71,3 +71,39 @@ def test_ties_at_the_cut_go_to_smaller_ids(spark):
     want = brute(x, range(0, 256, 4), 20)
     for block in (8_192, 64):
         assert found(spark, x, F.col("vec_id") % 4 == 0, block=block) == want
+
+
+def _chosen(spark, x):
+    """The setting chosen for these vectors, and the part of them that a query visits with it."""
+    data = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    seen = []
+    choose = ann.choose
+    ann.choose = lambda *a, **k: seen.append(choose(*a, **k)) or seen[0]
+    try:
+        got = {}
+        for r in ann.search(data, F.col("vec_id") % 20 == 0).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+    finally:
+        ann.choose = choose
+    index = seen[0]
+    want = brute(x, range(0, len(x), 20), 20)
+    recall = sum(len({*want[q]} & got[q]) for q in want) / (20 * len(want))
+    if index is None:
+        return None, 1.0, recall
+    names, seen = ann.buckets(x, np.linalg.norm(x, axis=1).max(), index), ann.visits(x[::20], index)
+    share = np.mean([np.any([np.isin(names[:, t], v[:, t]) for t in range(index.tables)], axis=0).mean() for v in seen])
+    return index, share, recall
+
+
+def test_clusters_are_searched_by_few_buckets(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(100, 32))
+    x = centres[rng.integers(0, 100, 6_000)] + 0.1 * rng.normal(size=(6_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index, share, recall = _chosen(spark, x)
+    assert index is not None and share < 0.05 and recall >= 0.95
+
+
+def test_random_vectors_keep_their_recall(spark):
+    _, share, recall = _chosen(spark, unit(3_000, 48, 2))
+    assert recall >= 0.95
