@@ -49,7 +49,7 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_templates.judge(table(spark, sf_dir, "pages"))
+    return url_templates.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +131,21 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from f
 """
 
+# Templates learn from the rules' URLs alone here, so one that has other URLs
+# too has none that are labelled, and keeps the prior: allowed.
+OP6_SQL = f"""
+with s as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+u as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from s),
+r as (select * from (values {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_templates.RULES)}) r(rule_host, rule_path, rule_verdict)),
+f as (
+  select *, row_number() over (partition by rowid order by length(rule_host || rule_path) desc nulls last, length(rule_host) desc) as nth
+  from (select row_number() over () as rowid, * from u) left join r on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
+select page_id, host, path, rule_host || rule_path as rule, coalesce(rule_verdict, 'allow') as verdict from f where nth = 1
+"""
+
 _DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(digest, {at}, 5))::int // {unit}) % 32 + 1, 1)"
 _BASE32 = " || ".join(_DIGIT.format(at=at, unit=unit) for at in range(1, 41, 5) for unit in (32768, 1024, 32, 1))
 
@@ -213,4 +228,4 @@ ranked as (select *, row_number() over (partition by lang order by score desc, a
 select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score from ranked where rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op9_quality": OP9_SQL, "op10_archives": OP10_SQL, "op11_chat": OP11_SQL, "op12_ranked": OP12_SQL, "op13_phrases": OP13_SQL}
+ORACLES: dict[str, str] = {"op9_quality": OP9_SQL, "op6_url_filter": OP6_SQL, "op10_archives": OP10_SQL, "op11_chat": OP11_SQL, "op12_ranked": OP12_SQL, "op13_phrases": OP13_SQL}

@@ -22,7 +22,11 @@ Per host the paths form a tree of segments. It is generalised level by level:
 4. the labelled branches left are merged into ``{alike}``, those without any
    label into ``{unlabelled}``.
 
-Segments below ``depth`` are one ``**``. A template is rejected if its labelled
+The first ``depth`` levels are always walked. Further down the walk goes on as
+long as a template with labels has several paths, whatever their length, in
+steps to the next place where some template's paths differ; a template without
+labels or with a single path gets ``/**`` for its rest, as no split can change
+its verdict. A template is rejected if its labelled
 purity - the share of allowed URLs among the labelled ones, smoothed by
 ``strength`` pseudo-labels of ``prior`` purity - is below ``min_purity``.
 
@@ -39,6 +43,7 @@ rows and ids are judged one by one; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +58,7 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-DEPTH = 4
+DEPTH = 4  # levels that are walked in any case
 MIN_BRANCHES = 8  # a place is variable from so many effective branches on
 MAX_WORD = 24
 Z = 1.96
@@ -107,7 +112,7 @@ def _level(tree: DataFrame, depth: int, min_branches: int, z: float) -> DataFram
         tree.where("segment is not null").groupBy("host", "template", "segment")
         .agg(F.count(F.lit(1)).cast("double").alias("paths"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     )
-    word = ~F.col("segment").rlike(r"^(\{|\*\*$|$)")
+    word = ~F.col("segment").rlike(r"^(\{|$)")
     family = cut(
         branches.where(word).groupBy("host", "template")
         .agg(
@@ -133,6 +138,31 @@ def _level(tree: DataFrame, depth: int, min_branches: int, z: float) -> DataFram
     return cut(joined.withColumn("template", F.when(F.col("segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "step"))).drop("segment", "step"))
 
 
+def _walked(tree: DataFrame, depth: int, min_branches: int, z: float) -> DataFrame:
+    """Goes on from ``depth`` where labelled templates still have several paths."""
+    done, at = [], depth
+    while True:
+        segments = F.split("shaped", "/", -1)
+        going = tree.where(F.size(segments) > at)
+        whole = F.concat("shaped", F.lit("/"))
+        paths = going.groupBy("host", "template").agg(F.count(F.lit(1)).alias("paths"), F.sum("labelled").alias("labelled"), F.min(whole).alias("low"), F.max(whole).alias("high"))
+        low, high = F.split("low", "/", -1), F.split("high", "/", -1)
+        places = F.sequence(F.lit(0), F.least(F.size(low), F.size(high)) - 1)
+        common = F.aggregate(places, F.lit(0), lambda n, i: F.when((n == i) & (F.get(low, i) == F.get(high, i)), n + 1).otherwise(n))
+        several = cut(paths.where("paths > 1 and labelled > 0").select("host", "template", common.alias("common")))
+        done += [tree.where(F.size(segments) <= at), going.join(several, ["host", "template"], "left_anti").withColumn("template", F.concat("template", F.lit("/**")))]
+        differ = several.agg(F.min("common")).first()[0]
+        if differ is None:
+            return cut(reduce(DataFrame.unionByName, done))
+        differ = max(differ, at)
+        shared = F.array_join(F.slice(segments, at + 1, differ - at), "/") if differ > at else None
+        tree = going.join(several.drop("common"), ["host", "template"])
+        if shared is not None:
+            tree = tree.withColumn("template", F.concat("template", F.lit("/"), shared))
+        tree = _level(tree, differ, min_branches, z)
+        at = differ + 1
+
+
 def judge(
     pages: DataFrame, keep: Sequence[str] = ("page_id",), rules: Sequence[tuple[str, str, str]] = RULES, label: Column | None = None, depth: int = DEPTH,
     min_branches: int = MIN_BRANCHES, z: float = Z, prior: float = PRIOR, strength: float = STRENGTH, min_purity: float = MIN_PURITY,
@@ -148,13 +178,13 @@ def judge(
     rows = pages.select(*own, host.alias("host"), path.alias("path"), (label if label is not None else F.lit(None)).cast("boolean").alias("given"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "rule_verdict": verdict})
-    parts = F.split(F.regexp_replace("path", "^/", ""), "/", depth + 1)
-    shaped = F.array_join(F.transform(parts, lambda s, i: F.when(i >= depth, "**").otherwise(shape(s))), "/")
+    shaped = F.array_join(F.transform(F.split(F.regexp_replace("path", "^/", ""), "/", -1), lambda s: shape(s)), "/")
     bad = F.coalesce(F.col("rule_verdict") == "block", F.col("given"))
     rows = cut(rows.withColumns({"shaped": shaped, "bad": bad.cast("int")}).drop("given"))
     tree = _leaves(rows).withColumn("template", F.lit(""))
-    for at in range(depth + 1):
+    for at in range(depth):
         tree = _level(tree, at, min_branches, z)
+    tree = _walked(tree, depth, min_branches, z)
     sums = cut(tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")))
     purity = (F.col("labelled") - F.col("blocked") + F.lit(prior * strength)) / (F.col("labelled") + F.lit(strength))
     scored = sums.select("host", "template", "labelled", purity.alias("purity"))
