@@ -29,9 +29,16 @@ def _named(docs: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that every quality rule keeps."""
+    """Documents that every quality rule keeps. The stop-word rule knows the
+    function words of some languages only: a document that is labelled with
+    another one, or not at all, does not go for lack of them."""
     own, names = _named(docs)
-    return quality.quality_rules(own, keep=names).where("kept").select(*names).toDF(*docs.columns)
+    judged = quality.quality_rules(own, keep=names)
+    kept = F.col("kept")
+    if "lang" in docs.columns:
+        unlisted = ~F.coalesce(F.col(names[docs.columns.index("lang")]).isin(*quality.STOP_WORD_LANGUAGES), F.lit(False))
+        kept = kept | (unlisted & (F.col("failed") == F.array(F.lit("stop_words"))))
+    return judged.where(kept).select(*names).toDF(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
