@@ -34,6 +34,7 @@ STOP_WORDS = (
     "der die das und ein eine ist nicht mit von zu den im auf sich dem es für "
     "el los las del y una por con para se lo como su al más no"
 ).split()
+STOP_WORD_LANGUAGES = ("en", "fr", "de", "es")
 
 
 @dataclass(frozen=True)

@@ -167,3 +167,36 @@ def test_training_order_query(spark):
     assert len(rows) == packed.agg(F.count_distinct("sequence_id")).first()[0]
     assert sum(r.n_tokens for r in rows) == packed.agg(F.sum("length")).first()[0]
     assert sorted(r.slot for r in rows) == sorted(r.sequence_index for r in rows) == list(range(len(rows)))
+
+
+def plain_slot(index, n, key, rounds=8):
+    """The permutation once more, in plain integers."""
+    half = max(1, ((n - 1).bit_length() + 1) // 2)
+    mask, word = (1 << half) - 1, (1 << 64) - 1
+    x = index
+    while True:
+        left, right = x >> half, x & mask
+        for r in range(rounds):
+            m = right + int.from_bytes(hashlib.sha256(f"{key}/{r}".encode()).digest()[:8], "little") & word
+            m = (m ^ m >> 30) * 0xBF58476D1CE4E5B9 & word
+            m = (m ^ m >> 27) * 0x94D049BB133111EB & word
+            left, right = right, left ^ (m ^ m >> 31) & mask
+        x = left << half | right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 5, 64, 1000])
+def test_permutation_equals_plain_integers(n):
+    slots = training_order.Permutation(n, "epoch-3").slot(np.arange(n))
+    assert slots.tolist() == [plain_slot(i, n, "epoch-3") for i in range(n)]
+
+
+def test_every_sequence_is_in_its_slot(spark):
+    """The ids in slot(i) are those of sequence i, the i-th row of the input as stored."""
+    rows = [(np.array([i + 1, i + 7], "<u2").tobytes(),) for i in range(211)]
+    sequences = spark.createDataFrame(rows, "tokens binary").coalesce(1)
+    path = shared_path(spark, "test-order")
+    training_order.write_shards(sequences, path, "k9", 16, shard_rows=10)
+    got = {r.slot: np.frombuffer(bytes(r.tokens), "<u2").tolist() for r in training_order.read_slots(spark, path).collect()}
+    assert [got[plain_slot(i, 211, "k9")] for i in range(211)] == [[i + 1, i + 7] for i in range(211)]
