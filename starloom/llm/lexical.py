@@ -14,8 +14,8 @@ numbers throughout.
 
 1. One pass over the texts keeps of each document n and the occurrences of the
    terms that any item has; N, L and df come from these vectors.
-2. Documents form trees: ``BATCH`` vectors, ordered by their heaviest term, are
-   the root of groups and these of leaves; every node holds the largest value of
+2. Documents form trees: ``BATCH`` vectors, ordered by their commonest and their
+   heaviest term, are the root of groups and these of leaves; every node holds the largest value of
    each coordinate below it. Items form a tree of the same kind. The
    coordinates' weights make the sum over the terms of an item node of a
    document node's maxima a bound for every score of the two.
@@ -56,7 +56,7 @@ from starloom.llm.bpe import slices
 from starloom.llm.common import cut, only, stored
 
 K = 10
-BATCH, FAN, LEAF = 2048, 8, 64  # documents of a tree, of a group of leaves (times LEAF), of a leaf
+BATCH, FAN, LEAF = 2048, 8, 16  # documents of a tree, of a group of leaves (times LEAF), of a leaf
 ITEM_FAN = 16  # items of a lower item node
 GROUP_TERMS, GROUP_ITEMS = 1_000_000, 512
 COLUMNS = 4096  # terms of a dense block
@@ -237,14 +237,14 @@ class _Tree:
 
 
 class ItemTree:
-    """The items of a group, ordered so that neighbours share heavy terms. An
+    """The items of a group, ordered so that neighbours share common terms. An
     item's vector is 1 at its terms: the weights are in the documents'."""
 
     def __init__(self, items: Items, weights: np.ndarray):
-        def heavy(row: np.ndarray) -> tuple:
+        def common(row: np.ndarray) -> tuple:
             return tuple(row[np.lexsort((row, weights[row]))][:4].tolist())
 
-        self.order = sorted(range(len(items.rows)), key=lambda i: heavy(items.rows[i]))
+        self.order = sorted(range(len(items.rows)), key=lambda i: common(items.rows[i]))
         rows = [items.rows[i] for i in self.order]
         n = np.array([len(r) for r in rows])
         ones = _Sparse(np.repeat(np.arange(len(rows)), n), np.concatenate(rows), np.ones(n.sum(), np.int64), len(rows))
@@ -280,11 +280,15 @@ def _doc_tree(doc_ids: list, vectors: pa.RecordBatch, stats: Statistics) -> tupl
     term, tf = lists.flatten().to_numpy().astype(np.int64), vectors.column("tfs").flatten().to_numpy()
     row = np.repeat(np.arange(len(n)), n)
     value = _coordinates(tf, vectors.column("n").to_numpy()[row], term, stats)
-    # ordered by the heaviest coordinate: leaves share what scores most
-    order = np.lexsort((-value, row))
-    first = np.searchsorted(row[order], np.arange(len(n)))
-    heaviest = np.where(n > 0, term[order][np.minimum(first, max(0, len(order) - 1))] if len(order) else -1, -1)
-    by = np.argsort(heaviest, kind="stable")
+    # ordered by the commonest term, then by the heaviest: leaves hold documents
+    # of one language that share what scores most
+
+    def first(*order: np.ndarray) -> np.ndarray:
+        by = np.lexsort((*order, row))
+        at = np.searchsorted(row[by], np.arange(len(n)))
+        return np.where(n > 0, term[by][np.minimum(at, max(0, len(by) - 1))] if len(by) else -1, -1)
+
+    by = np.lexsort((first(-value), first(stats.weights[term], -tf)))
     place = np.empty(len(n), np.int64)
     place[by] = np.arange(len(n))
     return [doc_ids[i] for i in by], _Tree(_Sparse(place[row], term, value, len(n)), [BATCH, FAN * LEAF, LEAF])
