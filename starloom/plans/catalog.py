@@ -7,6 +7,7 @@ the matching SQL oracle in :mod:`starloom.plans.oracles`.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -21,7 +22,7 @@ from starloom.functions.money import money_sum
 from starloom.functions.recode import GENDER_CODES, bool_label, fill_defaults, recode
 from starloom.functions.timeparts import date_parts, day_name, season, time_of_day, weekday_flag
 from starloom.operators import categories as cat
-from starloom.operators import checks, lattice
+from starloom.operators import checks, lattice, layout
 from starloom.operators.dims import (
     DimensionSpec,
     dim_ensure,
@@ -48,8 +49,10 @@ from starloom.operators.intervals import interval_join
 from starloom.operators.joins import anti_join, semi_join
 from starloom.operators.keys import assign_keys
 from starloom.plans import publish, star
+from starloom.plans.difference import difference
 from starloom.sources.fixtures import Sources
 from starloom.sources.readers import rename_columns
+from starloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -541,6 +544,51 @@ def q_moving_frame(spark, sf_dir):
     return moving(sale, ["room_id"], "day", 6, {"week_price": F.sum("price"), "week_sales": F.count(F.lit(1))}, chunk_rows=250)
 
 
+# -- versions and layout -----------------------------------------------------------
+@query("run_difference")
+def q_run_difference(spark, sf_dir):
+    """Two published versions of the orders: in the second one some are gone,
+    some have another status and some come up twice."""
+    src = Sources(spark, sf_dir)
+    root = f"{publish.output_root(spark)}/difference-{uuid.uuid4().hex}"
+    o = src.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("o_date"))
+    old = publish.replace_table(spark, o, "orders", root)
+    key = F.col("o_orderkey")
+    changed = o.where(key % 97 != 0).withColumn("o_orderstatus", F.when(key % 89 == 0, "X").otherwise(F.col("o_orderstatus")))
+    new = publish.replace_table(spark, changed.unionByName(o.where((key % 83 == 0) & (key % 97 != 0) & (key % 89 != 0))), "orders", root)
+    return difference(old, new, ["o_orderkey"])
+
+
+@query("clustered_layout")
+def q_clustered_layout(spark, sf_dir):
+    """Sales written along a curve over (day, product) and read back for a
+    quarter of a year and a tenth of the products."""
+    src = Sources(spark, sf_dir)
+    sale = src.sale.select(F.to_date("ts").alias("day"), "product_id", "room_id", "price")
+    path = f"{publish.output_root(spark)}/clustered-{uuid.uuid4().hex}"
+    columns = ["day", "product_id"]
+    layout.write_clustered(sale, path, columns)
+    top = src.product.agg(F.max("id")).first()[0]
+    return layout.read_clustered(spark, path, columns, {"day": (datetime.date(1998, 1, 1), datetime.date(1998, 3, 31)), "product_id": (0, top // 10)})
+
+
+# -- streaming ----------------------------------------------------------------------
+@query("incremental_events")
+def q_incremental_events(spark, sf_dir):
+    """Events loaded as a stream in two parts, then all of them once more:
+    takings and events per user and day."""
+    e = Sources(spark, sf_dir).table("events").select("event_id", "ts", "user_id", "value")
+    root = f"{publish.output_root(spark)}/incremental-{uuid.uuid4().hex}"
+    measures = [lattice.rows("events"), lattice.total("hundredths", F.round(F.col("value") * 100).cast("long"))]
+    keys = {"user_id": F.col("user_id"), "day": F.to_date("ts")}
+    middle = e.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
+    early = F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(middle)
+    for part in (e.where(early), e.where(~early), e):
+        part.write.mode("append").parquet(f"{root}/in")
+        incremental.load_available(spark, f"{root}/in", e.schema, root, "event_id", "ts", keys, measures, delay="60 days")
+    return incremental.totals(spark, root, ["user_id", "day"], measures)
+
+
 # -- integrity checks --------------------------------------------------------------
 @query("check_pk")
 def q_check_pk(spark, sf_dir):

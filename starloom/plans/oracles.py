@@ -331,6 +331,22 @@ from v_sale group by 1, 2""",
 select room_id, cast(ts as date) "day", price, cast(sum(price) over f as bigint) week_price, count(*) over f week_sales
 from v_sale window f as (partition by room_id order by cast(ts as date)
                          range between interval 6 days preceding and current row)""",
+    # versions and layout
+    "run_difference": """
+with a as (select o_orderkey, o_custkey, o_orderstatus, cast(o_orderdate as date) o_date from orders),
+b as (select o_orderkey, o_custkey, case when o_orderkey % 89 = 0 then 'X' else o_orderstatus end o_orderstatus, o_date
+      from a where o_orderkey % 97 <> 0
+      union all select * from a where o_orderkey % 83 = 0 and o_orderkey % 97 <> 0 and o_orderkey % 89 <> 0)
+select o_orderkey, o_custkey, o_orderstatus, o_date, cast(sum(n) as bigint) change
+from (select *, 1 n from b union all select *, -1 from a) group by all having sum(n) <> 0""",
+    "clustered_layout": with_views("v_sale") + """
+select cast(ts as date) "day", product_id, room_id, price from v_sale
+where cast(ts as date) between date '1998-01-01' and date '1998-03-31'
+  and product_id between 0 and (select max(p_partkey) // 10 from part)""",
+    # streaming
+    "incremental_events": """
+select user_id, cast(ts as date) "day", count(*) events, cast(sum(cast(round(value * 100) as bigint)) as bigint) hundredths
+from events group by 1, 2""",
     # integrity checks
     "check_pk": ("select l_orderkey, l_linenumber, count(*) n from lineitem group by l_orderkey, l_linenumber "
                  "having count(*) > 1"),

@@ -1,6 +1 @@
-"""Streaming: intentionally empty.
-
-The modelled job is a full batch reload (tables are reset and rebuilt on
-every run); it has no stream, watermark, trigger or state. Nothing here is
-needed to run any query of the catalogue.
-"""
+"""Incremental loads as streams (:mod:`starloom.streaming.incremental`)."""
