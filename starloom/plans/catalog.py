@@ -51,7 +51,7 @@ from starloom.operators.keys import assign_keys
 from starloom.plans import publish, star
 from starloom.plans.difference import difference
 from starloom.sources.fixtures import Sources
-from starloom.sources.readers import rename_columns
+from starloom.sources.readers import read_insert_script, rename_columns
 from starloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -589,6 +589,16 @@ def q_incremental_events(spark, sf_dir):
     return incremental.totals(spark, root, ["user_id", "day"], measures)
 
 
+@query("bridge_script")
+def q_bridge_script(spark, sf_dir):
+    """Bridge pairs written as a script of INSERT statements and read back."""
+    src = Sources(spark, sf_dir)
+    path = f"{publish.output_root(spark)}/bridge-{uuid.uuid4().hex}"
+    statement = F.concat(F.lit("\nINSERT INTO shop.product_categories (product_id, category_id)\n VALUES ("), "product_id", F.lit(", "), "category_id", F.lit(")"))
+    src.product_categories().select(statement.alias("value")).write.option("lineSep", ";").text(path)
+    return read_insert_script(spark, path, "product_categories", ["product_id", "category_id"])
+
+
 # -- integrity checks --------------------------------------------------------------
 @query("check_pk")
 def q_check_pk(spark, sf_dir):

@@ -347,6 +347,7 @@ where cast(ts as date) between date '1998-01-01' and date '1998-03-31'
     "incremental_events": """
 select user_id, cast(ts as date) "day", count(*) events, cast(sum(cast(round(value * 100) as bigint)) as bigint) hundredths
 from events group by 1, 2""",
+    "bridge_script": with_views("v_product_categories") + "select product_id, category_id from v_product_categories",
     # integrity checks
     "check_pk": ("select l_orderkey, l_linenumber, count(*) n from lineitem group by l_orderkey, l_linenumber "
                  "having count(*) > 1"),

@@ -11,9 +11,9 @@ the newest one, so at every moment they see a complete warehouse.
 from __future__ import annotations
 
 import tempfile
-import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,14 +71,31 @@ def write_run(spark: SparkSession, tables: dict[str, DataFrame], root: str | Non
 
 
 def _point(spark: SparkSession, base: str, run_id: str) -> None:
-    """Appends a pointer file, which appears as a whole when its write commits."""
-    pointer = spark.range(1).select(F.lit(time.time_ns()).alias("seq"), F.lit(run_id).alias("run_id"))
+    """Appends a pointer file, which appears as a whole when its write commits.
+    Its sequence number follows the largest one there, so the order of runs
+    does not depend on any driver's clock; of two drivers that publish at the
+    same moment, the larger run id counts."""
+    pointer = spark.range(1).select(F.lit(_last(spark, base)[0] + 1).alias("seq"), F.lit(run_id).alias("run_id"))
     pointer.coalesce(1).write.mode("append").json(f"{base}/pointers")
 
 
+def _last(spark: SparkSession, base: str) -> tuple[int, str | None]:
+    """(sequence number, run id) of the newest pointer; (0, None) without any."""
+    try:
+        pointers = spark.read.schema("seq long, run_id string").json(f"{base}/pointers")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return 0, None
+    last = pointers.agg(F.max(F.struct("seq", "run_id")).alias("last")).first()["last"]
+    return (0, None) if last is None else (last["seq"], last["run_id"])
+
+
 def _pointed(spark: SparkSession, base: str) -> str:
-    pointers = spark.read.schema("seq long, run_id string").json(f"{base}/pointers")
-    return pointers.agg(F.max_by("run_id", "seq").alias("run_id")).first()["run_id"]
+    run_id = _last(spark, base)[1]
+    if run_id is None:
+        raise ValueError(f"nothing is published below {base}")
+    return run_id
 
 
 def publish_run(spark: SparkSession, run_id: str, root: str | None = None) -> None:

@@ -8,9 +8,11 @@ prunes columns and pushes filters into the scan.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -58,3 +60,29 @@ def read_pairs(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     if fmt == "csv":
         return spark.read.schema(schema).option("header", "true").csv(path)
     return spark.read.schema(schema).format(fmt).load(path)
+
+
+def read_insert_script(spark: SparkSession, path: str, table: str, columns: Sequence[str], line_end: str = ";") -> DataFrame:
+    """Rows of the ``INSERT INTO <table> (...) VALUES (...)`` statements of SQL
+    scripts, as whole numbers: the form in which a bridge table is kept as a
+    script. Statements end with ``line_end`` and may span lines; several rows
+    after one VALUES and any order of the named columns are read; statements on
+    other tables are left alone. A statement that lacks one of ``columns`` or
+    has other values than numbers or NULL there is an error. Files are split at
+    the statement's end, so a script is read in parallel."""
+    statements = spark.read.option("lineSep", line_end).text(path)
+    name = re.escape(table)
+    pattern = rf"(?is)^\s*insert\s+into\s+(?:[\w\"]+\.)?\"?{name}\"?\s*\(([^)]*)\)\s*values\s*(.*)$"
+    own = statements.where(F.col("value").rlike(pattern))
+    named = F.transform(F.split(F.regexp_extract("value", pattern, 1), ","), lambda c: F.lower(F.trim(F.translate(c, '"\n\r\t', ""))))
+    rows = own.select(named.alias("named"), F.explode(F.regexp_extract_all("value", F.lit(r"\(([^()]*)\)"), F.lit(1))).alias("row"), F.monotonically_increasing_id().alias("_at"))
+    # the first brackets are the column list
+    listed = F.transform(F.split("row", ","), lambda c: F.lower(F.trim(F.translate(c, '"\n\r\t', ""))))
+    values = rows.where(listed != F.col("named")).select("named", F.transform(F.split("row", ","), lambda v: F.trim(F.translate(v, "\n\r\t", ""))).alias("values"))
+
+    def value(column: str) -> Column:
+        at = F.array_position("named", column.lower())
+        text = F.when(at > 0, F.get("values", (at - 1).cast("int"))).otherwise(F.raise_error(F.lit(f"a statement without column {column}")).cast("string"))
+        return F.when(F.upper(text) != "NULL", text).cast("long").alias(column)
+
+    return values.select(*[value(c) for c in columns])
