@@ -10,7 +10,6 @@ the newest one, so at every moment they see a complete warehouse.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom import schemas
+from starloom.session import checkpoint_dir
 
 OUTPUT_CONF = "starloom.output.dir"
 TARGET_SCHEMAS = {"product": schemas.PRODUCT, "member": schemas.MEMBER, "room": schemas.ROOM,
@@ -26,16 +26,14 @@ TARGET_SCHEMAS = {"product": schemas.PRODUCT, "member": schemas.MEMBER, "room":
 
 
 def output_root(spark: SparkSession) -> str:
-    """Shared output folder: ``starloom.output.dir``. Without it a local
-    session gets a fresh scratch folder; on a cluster that is an error, as any
-    default may be a folder of one machine."""
+    """Shared output folder: ``starloom.output.dir``. Without it a session
+    gets a folder of its own below its checkpoint folder, which executors share;
+    on a cluster without that either it is an error, as any default may be a
+    folder of one machine."""
     root = spark.conf.get(OUTPUT_CONF, None)
     if root:
         return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="starloom-out-")
-    else:
-        raise RuntimeError(f"{OUTPUT_CONF} must name a shared folder on a cluster")
+    root = f"{checkpoint_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}"
     spark.conf.set(OUTPUT_CONF, root)
     return root
 

@@ -55,7 +55,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM runs everything; ``local-cluster[...]`` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

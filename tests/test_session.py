@@ -62,3 +62,12 @@ def test_output_root_is_configured_on_a_cluster():
     s = _Session("spark://cluster:7077", session_conf={"spark.sql.warehouse.dir": "/local/warehouse"})
     with pytest.raises(RuntimeError, match="shared folder"):
         publish.output_root(s)
+
+
+@pytest.mark.parametrize("master", ["spark://cluster:7077", "local-cluster[3,2,3000]"])
+def test_output_root_on_a_cluster_falls_back_to_the_shared_folder(master):
+    s = _Session(master, conf={"spark.checkpoint.dir": "hdfs://shared/ckpt/"})
+    root = publish.output_root(s)
+    assert root.startswith("hdfs://shared/ckpt/out-") and publish.output_root(s) == root
+    with pytest.raises(RuntimeError, match="shared folder"):
+        publish.output_root(_Session(master))
