@@ -455,8 +455,8 @@ def q_interval_join(spark, sf_dir):
     """Events within two hours from each signup (the end is outside)."""
     e = Sources(spark, sf_dir).table("events")
     opened = e.where("event_type = 'signup'").select(F.col("event_id").alias("signup_id"), F.col("ts").alias("opens"), (F.col("ts") + F.expr("interval 2 hours")).alias("closes"))
-    pairs = interval_join(opened, e.select("event_id", "ts", "value"), ("opens", "closes"), ("ts", "ts"), half_open=True)
-    return pairs.groupBy("signup_id").agg(F.count(F.lit(1)).alias("events"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("hundredths"))
+    near = interval_join(opened, e.select("event_id", "ts", "value"), ("opens", "closes"), ("ts", "ts"), half_open=True, rows="events", sums={"hundredths": F.round(F.col("value") * 100)})
+    return near.groupBy("signup_id").agg(F.sum("events").alias("events"), F.sum("hundredths").alias("hundredths"))
 
 
 @query("interval_join_keyed")

@@ -43,6 +43,43 @@ def test_interval_join_equals_brute_force(spark, half_open, keyed):
     assert len(want) > 50
 
 
+@pytest.mark.parametrize("half_open", [False, True])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_sums_equal_those_of_the_pairs(spark, half_open, keyed):
+    rng = random.Random(8)
+    key = "k" if keyed else "k2"
+    ls = spark.createDataFrame([tuple(x.values()) for x in _intervals(rng, 150, 1500, ("i", "k", "a", "b"))], "i int, k string, a long, b long").distinct()
+    rows = [(*x.values(), rng.choice([None, -3, 2**55])) for x in _intervals(rng, 120, 6000, ("j", key, "c", "d"))]
+    rs = spark.createDataFrame(rows, f"j int, {key} string, c long, d long, v long")
+    on = (("a", "b"), ("c", "d"), ["k"] if keyed else [], half_open)
+    want = interval_join(ls, rs, *on).groupBy("i", "k", "a", "b").agg(F.count("*"), F.sum("v"))
+    got = interval_join(ls, rs, *on, rows="n", sums={"v": F.col("v")})
+    assert sorted(map(tuple, got.select("i", "k", "a", "b", "n", "v").collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert got.count() > 50
+    assert interval_join(ls, rs.limit(0), *on, sums={"v": F.col("v")}).count() == 0
+    assert interval_join(ls.limit(0), rs, *on, sums={"v": F.col("v")}).count() == 0
+
+
+def test_sums_list_no_pairs(spark):
+    """All pairs meet: 40,000 times 40,000 of them are counted."""
+    points = spark.range(40_000).select("id", (F.col("id") % 1000).alias("t"))
+    spans = spark.range(40_000).select(F.col("id").alias("j"), F.lit(0).alias("c"), F.lit(1000).alias("e"))
+    got = interval_join(spans, points, ("c", "e"), ("t", "t"), sums={"s": F.col("id")})
+    assert got.select("rows", "s").distinct().collect() == [(40_000, 40_000 * 39_999 // 2)]
+
+
+def test_only_keys_with_many_rows_on_both_sides_are_cut_into_bins(spark):
+    ls = spark.range(600).select(F.col("id").alias("i"), F.when(F.col("id") < 300, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"), (F.col("id") + 5).alias("b"))
+    rs = spark.range(900).select(F.col("id").alias("j"), F.when(F.col("id") < 400, 0).otherwise(300 + F.col("id") % 300).alias("k"), F.col("id").alias("t"))
+    on = (("a", "b"), ("t", "t"), ["k"])
+    want = sorted(map(tuple, ls.join(rs, "k").where("t between a and b").select("i", "j").collect()))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    few = interval_join(ls.where("k > 0"), rs, *on)
+    assert "_bin" not in plan(few) and "_bin" in plan(interval_join(ls, rs, *on))
+    assert sorted(map(tuple, interval_join(ls, rs, *on).select("i", "j").collect())) == want and len(want) > 1000
+    assert few.where("k = 0").count() == 0
+
+
 def test_interval_join_points_dates_and_empty(spark):
     d = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
     ls = spark.createDataFrame([(1, d(0)), (2, d(5)), (3, d(10)), (4, None)], "i int, day date")
