@@ -21,20 +21,24 @@ from starloom import schemas
 from starloom.session import checkpoint_dir
 
 OUTPUT_CONF = "starloom.output.dir"
+_OWN_CONF = "starloom.output.own"  # the folder a session got without the setting
 TARGET_SCHEMAS = {"product": schemas.PRODUCT, "member": schemas.MEMBER, "room": schemas.ROOM,
                   "time": schemas.TIME, "salesfact": schemas.SALESFACT}
 
 
 def output_root(spark: SparkSession) -> str:
     """Shared output folder: ``starloom.output.dir``. Without it a session
-    gets a folder of its own below its checkpoint folder, which executors share;
-    on a cluster without that either it is an error, as any default may be a
-    folder of one machine."""
+    gets a folder of its own below its checkpoint folder, which executors share,
+    and another one once that is moved; on a cluster without either it is an
+    error, as any default may be a folder of one machine."""
     root = spark.conf.get(OUTPUT_CONF, None)
     if root:
         return root.rstrip("/")
-    root = f"{checkpoint_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}"
-    spark.conf.set(OUTPUT_CONF, root)
+    own = f"{checkpoint_dir(spark).rstrip('/')}/out-"
+    root = spark.conf.get(_OWN_CONF, None)
+    if not (root and root.startswith(own)):
+        root = f"{own}{uuid.uuid4().hex}"
+        spark.conf.set(_OWN_CONF, root)
     return root
 
 

@@ -71,3 +71,13 @@ def test_output_root_on_a_cluster_falls_back_to_the_shared_folder(master):
     assert root.startswith("hdfs://shared/ckpt/out-") and publish.output_root(s) == root
     with pytest.raises(RuntimeError, match="shared folder"):
         publish.output_root(_Session(master))
+
+
+def test_output_root_follows_the_shared_folder():
+    """A remembered folder would lie below a checkpoint folder that is no longer shared."""
+    s = _Session("local-cluster[3,2,3000]", conf={"spark.checkpoint.dir": "hdfs://shared/one"})
+    assert publish.output_root(s).startswith("hdfs://shared/one/out-")
+    s.sparkContext.setCheckpointDir("hdfs://shared/two")
+    assert publish.output_root(s).startswith("hdfs://shared/two/out-")
+    s.conf.set(publish.OUTPUT_CONF, "hdfs://shared/wh")
+    assert publish.output_root(s) == "hdfs://shared/wh"
