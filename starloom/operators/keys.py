@@ -20,6 +20,7 @@ the same keys; the persisted input is released once the keys are stored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -95,6 +96,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like :func:`materialize`, as a compressed table: for results of the size
+    of the sales, which are smaller on disk and pruned by column when read."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path, compression="zstd")
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def next_key(dim: DataFrame, key: str) -> int:
     """1 + the largest key of a dimension (1 when empty)."""
     top = dim.agg(F.max(key).alias("m")).collect()[0]["m"]

@@ -70,3 +70,9 @@ def test_ensure_needs_an_order_for_attributes(spark):
     with pytest.raises(ValueError, match="seq"):
         dim_ensure(dim, rows, spec)
     assert [tuple(r) for r in dim_ensure(dim, rows, spec, seq="other").collect()] == [(1, "a", 1)]
+
+
+def test_sales_are_joined_once(spark, src):
+    """Fact and time members come from the stored aggregate, not from the sale tables again."""
+    files = star.keys_first_load(spark, *src).salesfact.inputFiles()
+    assert files and all("/stored-" in f for f in files)
