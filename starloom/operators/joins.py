@@ -105,18 +105,23 @@ def join_sides(big: DataFrame, sides: dict[str, DataFrame], how: str = "inner",
                measured: Sequence[tuple[int, int]] | None = None) -> DataFrame:
     """``big`` joined to each side by the key column that names it.
 
-    Sides that fit the plan's budget together are joined map-side first. Each
-    of the others costs one shuffle of ``big``, of the rows that may find a
-    partner only (a Bloom filter of the side's keys, probed before the
-    exchange); the sort-merge hint keeps Catalyst from broadcasting it after
-    all on a wrong estimate, and AQE splits the partition of a hot key.
+    Sides that fit the plan's budget together are joined map-side. Each of the
+    others costs one shuffle of ``big``, of the rows that may find a partner
+    only (a Bloom filter of the side's keys, probed before the exchange); the
+    sort-merge hint keeps Catalyst from broadcasting it after all on a wrong
+    estimate, and AQE splits the partition of a hot key. So that no shuffle
+    carries what a later join can still add, wide sides come after narrow ones
+    and, if they are joined map-side, after every shuffle.
     ``bounds`` gives cheaper frames that are at least as large as the sides, to
     be measured in their place; their first column holds all keys of the side.
     ``measured`` gives (rows, bytes) that are known already, at least as large."""
     bounds = list(bounds or [side.select(key, *[c for c in side.columns if c != key]) for key, side in sides.items()])
     measured = sizes(bounds) if measured is None else measured
     small = _chosen(measured, big.sparkSession, max_rows)
-    order = sorted(range(len(sides)), key=lambda i: not small[i])
+    width = [b / max(1, n) for n, b in measured]
+    # a semi join adds nothing; a number for a key adds no width
+    first = [s and (how == "left_semi" or w <= 2 * _FIXED_WIDTH) for s, w in zip(small, width)]
+    order = sorted(range(len(sides)), key=lambda i: (not first[i], small[i], width[i]))
     for i in order:
         key, side = list(sides.items())[i]
         if small[i]:

@@ -76,3 +76,15 @@ def test_sales_are_joined_once(spark, src):
     """Fact and time members come from the stored aggregate, not from the sale tables again."""
     files = star.keys_first_load(spark, *src).salesfact.inputFiles()
     assert files and all("/stored-" in f for f in files)
+
+
+def test_wide_sides_are_added_after_the_shuffles(spark):
+    from starloom.operators.joins import join_sides
+
+    big = spark.createDataFrame([(1, 2, 3, 5)], "a long, b long, c long, price long")
+    sides = {"a": spark.createDataFrame([(1, "wide")], "a long, name string"), "b": spark.createDataFrame([(2, "x" * 40)], "b long, label string"),
+             "c": spark.createDataFrame([(3, "F")], "c long, gender string")}
+    measured = [(10, 1_000), (5_000_000, 200_000_000), (4_000_000, 36_000_000)]
+    joined = join_sides(big, sides, measured=measured)
+    assert joined.columns[:3] == ["a", "b", "c"]  # the last join's key comes first
+    assert [tuple(r) for r in joined.select("price", "name", "label", "gender").collect()] == [(5, "wide", "x" * 40, "F")]
