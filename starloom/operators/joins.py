@@ -83,6 +83,11 @@ def fits_budget(spark: SparkSession, size: tuple[int, int], max_rows: int | None
     return _chosen([size], spark, max_rows, max_bytes)[0]
 
 
+def all_fit(spark: SparkSession, measured: Sequence[tuple[int, int]], max_rows: int | None = None) -> bool:
+    """True when sides of these (rows, bytes) can all be broadcast in one plan."""
+    return all(_chosen(measured, spark, max_rows))
+
+
 def sized(df: DataFrame, max_rows: int | None = None,
           max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """(``df`` with a broadcast hint, True) if its size is proven small,

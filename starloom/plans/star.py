@@ -52,7 +52,7 @@ from starloom.operators.facts import (
     staged_sales,
     time_dimension,
 )
-from starloom.operators.joins import join_sides, sizes, small_side
+from starloom.operators.joins import all_fit, join_sides, sizes, small_side
 from starloom.operators.keys import materialize, stored
 
 # Default members seeded before any load.
@@ -294,21 +294,24 @@ def sized_time_dimension(moments: DataFrame, pad_day_name: bool = False) -> tupl
 def keys_first_load(spark: SparkSession, src: Operational, levels: DataFrame,
                     on_missing_product: str = "default", max_broadcast_rows: int | None = None,
                     insert_only_product: bool = False, pad_day_name: bool = False, trusted: bool = False) -> Warehouse:
-    """The sales are joined once: their aggregate is stored in the shared
-    folder, and both the time dimension and the fact are made from it.
-    ``trusted``: every sale refers to a product, room and member that exist. The
-    moment scan then needs no joins, so it reads the sales' times and nothing is
-    stored; a sale that breaks the promise fails the load instead of being left
-    out."""
+    """Key maps beyond the broadcast budget cost a shuffle of the sales each.
+    Then the sales are joined once: their aggregate is stored in the shared
+    folder, and both the time dimension and the fact are made from it. Otherwise
+    a narrow scan finds the moments and the fact streams to its writer.
+    ``trusted``: every sale refers to a product, room and member that exist. It
+    spares the moment scan its joins; a sale that breaks the promise fails the
+    load instead of being left out."""
     known = source_sizes(src, levels)
     names = product_names(src, known)
     product = product_dimension(spark, product_rows(src, levels, names, known), insert_only_product, known.product[0])
     member = member_dimension(spark, src.member)
     room = room_dimension(spark, src.room, known.room[0])
     agg = keyed_sales(src, product, member, room, on_missing_product, max_broadcast_rows, trusted, names, known)
-    if not trusted:
-        agg = stored(agg)  # the time members need no second pass over the sales and its joins
-    time, moments = sized_time_dimension(sold_moments(src, trusted=True) if trusted else agg, pad_day_name)
+    if trusted or all_fit(spark, _map_sizes(known), max_broadcast_rows):
+        sold = sold_moments(src, max_broadcast_rows, trusted, known)
+    else:
+        sold = agg = stored(agg)
+    time, moments = sized_time_dimension(sold, pad_day_name)
     tkeys = small_side(time.select("timeid", *TIME_LOOKUP), size=(moments, 64 * moments))
     fact = agg.join(tkeys, TIME_LOOKUP).select(
         *FACT_KEYS, hundredths_to_money("price").alias("kroner_sales"),
