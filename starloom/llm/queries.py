@@ -27,8 +27,8 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     written to the shared folder and every record is read back."""
     sequences = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), sequences="<u2")
     path = shared_path(spark, "training-order")
-    layout = training_order.write_shards(sequences, path, key="epoch-0", stride=packing.CAPACITY)
-    return training_order.described(training_order.read_slots(spark, path), layout)
+    training_order.write_shards(sequences, path, key="epoch-0", stride=packing.CAPACITY)
+    return training_order.read_slots(spark, path, describe=True)
 
 
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

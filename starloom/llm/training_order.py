@@ -31,7 +31,7 @@ from __future__ import annotations
 import hashlib
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -159,13 +159,18 @@ def read_layout(spark: SparkSession, path: str) -> Layout:
     return Layout(**json.loads(spark.read.text(f"{path}/layout").first()["value"]))
 
 
-def read_slots(spark: SparkSession, path: str, start: int = 0, stop: int | None = None) -> DataFrame:
+_DESCRIBED = "sequence_index long, slot long, shard int, offset long, n_tokens long, ids_crc32 long"
+
+
+def read_slots(spark: SparkSession, path: str, start: int = 0, stop: int | None = None, describe: bool = False) -> DataFrame:
     """(slot, shard, offset, tokens) of the slots from ``start`` up to ``stop``:
     only the shards of that range are read, each as one file. ``offset`` is the
-    record's first byte in its shard."""
+    record's first byte in its shard. With ``describe`` the rows are those of
+    :func:`described`, made by the worker that reads the shard: a pass of its
+    own would hold a second worker for each task."""
     layout = read_layout(spark, path)
     stop = layout.n if stop is None else min(stop, layout.n)
-    schema = "slot long, shard int, offset long, tokens binary"
+    schema = _DESCRIBED if describe else "slot long, shard int, offset long, tokens binary"
     if start >= stop:
         return spark.createDataFrame([], schema)
     end = layout.record
@@ -189,13 +194,12 @@ def read_slots(spark: SparkSession, path: str, start: int = 0, stop: int | None
 
     first, last = start // layout.shard_rows, (stop - 1) // layout.shard_rows
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/shards")
-    return files.where(F.col("shard").between(first, last)).select(F.col("shard").cast("int"), "content").mapInArrow(run, schema)
-
+    wanted_files = files.where(F.col("shard").between(first, last)).select(F.col("shard").cast("int"), "content")
+    digests = _digests(layout)
+    return wanted_files.mapInArrow((lambda batches: digests(run(batches))) if describe else run, schema)
 
-def described(slots: DataFrame, layout: Layout) -> DataFrame:
-    """(sequence_index, slot, shard, offset, n_tokens, ids_crc32) of slots read
-    back; the CRC-32 is over the ids as little-endian unsigned 32-bit integers."""
 
+def _digests(layout: Layout) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = Permutation(max(1, layout.n), layout.key)
         for b in batches:
@@ -203,4 +207,10 @@ def described(slots: DataFrame, layout: Layout) -> DataFrame:
             index = order.index(b.column("slot").to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(index), b.column("slot"), b.column("shard"), b.column("offset"), pa.array([len(i) for i in ids], pa.int64()), pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64())], ["sequence_index", "slot", "shard", "offset", "n_tokens", "ids_crc32"])
 
-    return slots.mapInArrow(run, "sequence_index long, slot long, shard int, offset long, n_tokens long, ids_crc32 long")
+    return run
+
+
+def described(slots: DataFrame, layout: Layout) -> DataFrame:
+    """(sequence_index, slot, shard, offset, n_tokens, ids_crc32) of slots read
+    back; the CRC-32 is over the ids as little-endian unsigned 32-bit integers."""
+    return slots.mapInArrow(_digests(layout), _DESCRIBED)

@@ -200,3 +200,12 @@ def test_every_sequence_is_in_its_slot(spark):
     training_order.write_shards(sequences, path, "k9", 16, shard_rows=10)
     got = {r.slot: np.frombuffer(bytes(r.tokens), "<u2").tolist() for r in training_order.read_slots(spark, path).collect()}
     assert [got[plain_slot(i, 211, "k9")] for i in range(211)] == [[i + 1, i + 7] for i in range(211)]
+
+
+def test_slots_are_described_by_the_worker_that_reads_them(spark, tmp_path):
+    rows = spark.createDataFrame([(np.arange(i % 9, dtype="<u2").tobytes(),) for i in range(40)], "tokens binary")
+    layout = training_order.write_shards(rows, str(tmp_path / "order"), "k", 8, shard_rows=16)
+    once = training_order.read_slots(spark, str(tmp_path / "order"), 3, 39, describe=True)
+    assert once._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    twice = training_order.described(training_order.read_slots(spark, str(tmp_path / "order"), 3, 39), layout)
+    assert sorted(once.collect()) == sorted(twice.collect()) and once.count() == 36
