@@ -5,7 +5,7 @@ and these into words; an n-gram lies within one piece. All counts are per
 language.
 
 1. Survivors, one pass a size (1 word first): every task sums up its n-grams by
-   64-bit hash and sends them by hash partition. A partition merges what it gets
+   the upper ``SENT_BITS`` bits of a hash and sends them by hash partition. A partition merges what it gets
    into a Misra-Gries summary with more counters than its mass divided by the
    threshold; the masses come first, so the capacity is known before the
    counters. What it subtracts from a counter (``error``) is below the
@@ -59,6 +59,7 @@ MAP_BITS = 26  # the map of survivors has 2 ** MAP_BITS bits
 MIN_PARTITIONS = 64
 BLOCK_BYTES = 8 << 20
 HELD = 4_000_000  # hashes a task holds before it sums them up
+SENT_BITS = 40  # of a hash, in summaries
 _WORD, _GAP, _CUT = range(3)
 # What separates words and pieces.
 GAPS, CUTS = b" \t", b".,;:!?\n\x0b\x0c\r"
@@ -208,7 +209,8 @@ def _local(docs: DataFrame, size: int, part_bits: int, known: Broadcast | None)
             if bits is not None:
                 there = _marked(bits, shorter)
                 at = at[there[at] & there[at + 1]]
-            k, c = np.unique(own[at], return_counts=True)
+            # the lower bits would be most of what is sent; equal hashes only add up
+            k, c = np.unique(own[at] & np.uint64((1 << 64) - (1 << 64 - SENT_BITS)), return_counts=True)
             keys.append(k)
             counts.append(c)
             held += len(k)
@@ -310,13 +312,14 @@ def survivor_maps(spark: SparkSession, docs: DataFrame, part_bits: int, min_coun
     return maps
 
 
-_COUNTED = ("lang", "size", "phrase", "f")
+_COUNTED = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
+_SENT = "part int, bytes long, data binary"
 
 
 def _exact(docs: DataFrame, maps: list[Broadcast], part_bits: int) -> DataFrame:
     """Counts of the marked n-grams in each block of text, a row for every hash
-    partition with lists of language, size, phrase and count; size 0 counts all
-    words of a language."""
+    partition with a record batch of language, size, phrase and count, compressed;
+    size 0 counts all words of a language."""
 
     def counted(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, int, pa.Array, np.ndarray]]:
         langs, n = np.unique(words.lang, return_counts=True)
@@ -348,15 +351,16 @@ def _exact(docs: DataFrame, maps: list[Broadcast], part_bits: int) -> DataFrame:
             order = np.argsort(part, kind="stable")
             part = part[order]
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            offsets = pa.array(np.append(first, len(part)).astype(np.int32))
             values = [words.langs.take(pa.array(np.concatenate(langs)[order])), pa.array(np.concatenate(sizes)[order]), pa.concat_arrays(phrases).take(pa.array(order)), pa.array(np.concatenate(n)[order].astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([pa.array(part[first].astype(np.int32)), *(pa.ListArray.from_arrays(offsets, v) for v in values)], ["part", *_COUNTED])
+            rows = pa.RecordBatch.from_arrays(values, schema=_COUNTED)
+            sent = [rows.slice(i, n).serialize() for i, n in zip(first.tolist(), np.diff(first, append=len(part)).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[first].astype(np.int32)), pa.array([s.size for s in sent], pa.int64()), pa.array([pa.compress(s, codec="zstd", asbytes=True) for s in sent], pa.binary())], ["part", "bytes", "data"])
 
-    return docs.mapInArrow(run, "part int, lang array<string>, size array<int>, phrase array<string>, f array<long>")
+    return docs.mapInArrow(run, _SENT)
 
 
 def _totals(counted: DataFrame, min_count: int) -> DataFrame:
-    """(lang, size, phrase, f): the sums of each partition's lists, for phrases
+    """(lang, size, phrase, f): the sums of each partition's batches, for phrases
     that come up ``min_count`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,7 +372,7 @@ def _totals(counted: DataFrame, min_count: int) -> DataFrame:
         def done() -> Iterator[pa.RecordBatch]:
             t = summed()
             t = t.filter(pc.or_(pc.equal(t["size"], 0), pc.greater_equal(t["f"], min_count)))
-            yield from t.select(list(_COUNTED)).to_batches(max_chunksize=65_536)
+            yield from t.select(_COUNTED.names).to_batches(max_chunksize=65_536)
 
         for b in batches:
             for at in range(b.num_rows):
@@ -377,7 +381,8 @@ def _totals(counted: DataFrame, min_count: int) -> DataFrame:
                     yield from done()
                     held, rows = [], 0
                 part = p
-                held.append(pa.table([b.column(c).slice(at, 1).flatten() for c in _COUNTED], list(_COUNTED)))
+                data = pa.decompress(b.column("data")[at].as_buffer(), decompressed_size=b.column("bytes")[at].as_py(), codec="zstd")
+                held.append(pa.Table.from_batches([pa.ipc.read_record_batch(data, _COUNTED)]))
                 rows += len(held[-1])
                 if rows > HELD:
                     held = [summed()]

@@ -109,3 +109,20 @@ def test_phrases_oracle(spark):
     want = con.execute(ORACLES["op13_phrases"]).fetchall()
     got = QUERIES["op13_phrases"](spark, sf).select(*[d[0] for d in con.description]).collect()
     assert sorted(map(tuple, got)) == sorted(want) and len(got) > 20
+
+
+def test_summaries_carry_short_hashes(spark):
+    docs = spark.createDataFrame([(f"w{i} x{i % 7} y{i}", "en") for i in range(300)], "text string, lang string")
+    rows = phrases._local(docs, 1, 2, None).where("kind = 1").collect()
+    keys = np.concatenate([phrases._unpacked(bytes(r["keys"])) for r in rows])
+    assert len(set(keys.tolist())) == 607 and not (keys & np.uint64((1 << 64 - phrases.SENT_BITS) - 1)).any()
+
+
+def test_counts_travel_compressed(spark):
+    docs = spark.createDataFrame([("some words come again and again, " * 400, "en")], "text string, lang string")
+    maps = [spark.sparkContext.broadcast(b"\xff" * (1 << phrases.MAP_BITS - 3)) for _ in range(2)]
+    counted = phrases._exact(docs, maps, 0)
+    (row,) = counted.collect()
+    assert row["bytes"] > len(row["data"])
+    got = {(r["size"], r["phrase"]): r["f"] for r in phrases._totals(counted, 1).collect()}
+    assert got[0, ""] == 2400 and got[2, "again and"] == 400 and got[1, "again"] == 800
