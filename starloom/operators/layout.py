@@ -37,22 +37,28 @@ def slices(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> dict[str,
     return {c: sorted(set(found[f"q{i}"] or [])) for i, c in enumerate(columns)}
 
 
-def curve_key(df: DataFrame, bounds: Mapping[str, list], bits: int = BITS) -> Column:
-    """Bits of the columns' slice numbers, interleaved, the highest first."""
-    out = F.lit(0).cast("long")
+def slice_number(value: Column, cuts: Sequence, bits: int = BITS) -> Column:
+    """The number of cuts below the value plus one, by halving; 0 for NULL."""
+    known = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    state = F.struct(F.lit(0).alias("a"), F.lit(len(cuts)).alias("b"))
+    step = lambda s, _: F.when(s["a"] >= s["b"], s).otherwise(F.when(F.get(known, F.floor((s["a"] + s["b"]) / 2).cast("int")) < value, F.struct((F.floor((s["a"] + s["b"]) / 2).cast("int") + 1).alias("a"), s["b"].alias("b"))).otherwise(F.struct(s["a"].alias("a"), F.floor((s["a"] + s["b"]) / 2).cast("int").alias("b"))))
+    number = F.aggregate(F.sequence(F.lit(0), F.lit(bits)), state, step, lambda s: s["a"])
+    return F.coalesce(F.when(value.isNotNull(), number + 1), F.lit(0)).cast("long")  # NULLs first
+
+
+def with_curve_key(df: DataFrame, bounds: Mapping[str, list], key: str, bits: int = BITS) -> DataFrame:
+    """``df`` with ``key``: the bits of the columns' slice numbers, interleaved,
+    the highest first. The numbers are columns of their own, so that each is
+    computed once a row and stands once in the plan, not once for each bit."""
     n = len(bounds)
-    for i, (column, cuts) in enumerate(bounds.items()):
-        value = whole_number(df, column)
-        # the number of cuts below the value, by halving
-        known = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
-        low, high = F.lit(0), F.lit(len(cuts))
-        state = F.struct(low.alias("a"), high.alias("b"))
-        step = lambda s, _: F.when(s["a"] >= s["b"], s).otherwise(F.when(F.get(known, F.floor((s["a"] + s["b"]) / 2).cast("int")) < value, F.struct((F.floor((s["a"] + s["b"]) / 2).cast("int") + 1).alias("a"), s["b"].alias("b"))).otherwise(F.struct(s["a"].alias("a"), F.floor((s["a"] + s["b"]) / 2).cast("int").alias("b"))))
-        number = F.aggregate(F.sequence(F.lit(0), F.lit(bits)), state, step, lambda s: s["a"])
-        number = F.coalesce(F.when(value.isNotNull(), number + 1), F.lit(0)).cast("long")  # NULLs first
+    numbers = [f"{key}_slice_{i}" for i in range(n)]
+    numbered = df.withColumns({c: slice_number(whole_number(df, column), cuts, bits)
+                               for c, (column, cuts) in zip(numbers, bounds.items(), strict=True)})
+    out = F.lit(0).cast("long")
+    for i, c in enumerate(numbers):
         for bit in range(bits + 1):
-            out = out.bitwiseOR(F.shiftleft(F.shiftright(number, bit).bitwiseAND(1), bit * n + (n - 1 - i)))
-    return out
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(c, bit).bitwiseAND(1), bit * n + (n - 1 - i)))
+    return numbered.withColumn(key, out).drop(*numbers)
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int = FILES, bits: int = BITS) -> None:
@@ -61,12 +67,13 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     if not columns or len(columns) * (bits + 1) > 62:
         raise ValueError("at least one column, and no more bits than a long has")
     spark = df.sparkSession
-    key = curve_key(df, slices(df, columns, bits), bits)
-    ordered = df.withColumn("_z", key).repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
+    keyed = with_curve_key(df, slices(df, columns, bits), "_z", bits)
+    ordered = keyed.repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
     ordered.write.parquet(f"{path}/data")
     stored = spark.read.parquet(f"{path}/data")
     bounds = [f(F.col(f"`{c}`")).alias(f"{name}_{i}") for i, c in enumerate(columns) for f, name in ((F.min, "low"), (F.max, "high"))]
-    zones = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), *bounds)
+    # the name alone: the path comes URL-encoded, and a folder may be moved
+    zones = stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"), *bounds)
     zones.coalesce(1).write.parquet(f"{path}/zones")
 
 
@@ -76,7 +83,7 @@ def matching_files(spark: SparkSession, path: str, columns: Sequence[str], range
     for column, (low, high) in ranges.items():
         i = list(columns).index(column)
         zones = zones.where((F.col(f"high_{i}") >= F.lit(low)) & (F.col(f"low_{i}") <= F.lit(high)))
-    return sorted(r["file"] for r in zones.select("file").collect())  # at most one a file written
+    return sorted(f"{path}/data/{r['file']}" for r in zones.select("file").collect())  # at most one a file written
 
 
 def read_clustered(spark: SparkSession, path: str, columns: Sequence[str], ranges: Mapping[str, tuple[Any, Any]]) -> DataFrame:

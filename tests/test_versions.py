@@ -75,3 +75,27 @@ def test_filters_on_two_columns_leave_most_files_out(spark, clustered):
         assert len(layout.matching_files(spark, path, ["day", "product"], ranges)) < 0.75 * every
     with pytest.raises(ValueError):
         layout.write_clustered(df, path + "x", [], 4)
+
+
+def test_layout_below_a_folder_with_odd_characters(spark, tmp_path):
+    """Spark gives the path of a file URL-encoded."""
+    df = spark.range(300).select("id", (F.col("id") % 7).alias("p"))
+    for name in ("a b", "a%20b", "a+b"):
+        path = str(tmp_path / name)
+        layout.write_clustered(df, path, ["id", "p"], files=4, bits=2)
+        got = layout.read_clustered(spark, path, ["id", "p"], {"id": (10, 40)})
+        assert sorted(r.id for r in got.collect()) == list(range(10, 41))
+
+
+def test_slice_numbers_are_computed_once_a_row(spark):
+    rows = [(None, 3), (-5, None), (0, 0), (7, 9), (8, -1), (99, 4)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    cuts = {"a": [0, 7, 8], "b": [2, 4]}
+    keyed = layout.with_curve_key(df, cuts, "_z", bits=2)
+    assert keyed.columns == ["a", "b", "_z"]
+    want = {}
+    for row in rows:
+        numbers = [0 if v is None else 1 + sum(c < v for c in cuts[k]) for k, v in zip("ab", row)]
+        want[row] = sum((n >> bit & 1) << (2 * bit + 1 - i) for i, n in enumerate(numbers) for bit in range(3))
+    assert {(r.a, r.b): r._z for r in keyed.collect()} == want
+    assert keyed._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 2
