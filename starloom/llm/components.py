@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import cut
+from starloom.llm.common import stored
 
 
 def _mapped(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
-    """Replaces ``column`` by its root where ``mapping`` (node, root) has one."""
-    m = mapping.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    """Replaces ``column`` by its root where ``mapping`` (node, root) has one.
+    Merged, as a compressed table's size says little about its rows."""
+    m = mapping.select(F.col("node").alias("_node"), F.col("root").alias("_root")).hint("merge")
     return df.join(m, df[column] == m["_node"], "left").withColumn(column, F.coalesce("_root", column)).drop("_node", "_root")
 
 
@@ -24,17 +25,17 @@ def components(links: DataFrame) -> DataFrame:
     even for chains. Every step reads checkpointed tables, so joins on a root
     with very many links are plain shuffles that Spark may split.
     """
-    edges = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
+    edges = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "links")
     roots = None
     while not edges.isEmpty():
-        step = cut(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")))
+        step = stored(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "roots")
         while True:
-            jumped = cut(_mapped(step.withColumn("was", F.col("root")), "root", step))
+            jumped = stored(_mapped(step.withColumn("was", F.col("root")), "root", step), "roots")
             moved = not jumped.where("root <> was").isEmpty()
             step = jumped.drop("was")
             if not moved:
                 break
-        roots = step if roots is None else cut(_mapped(roots, "root", step).unionByName(step))
+        roots = step if roots is None else stored(_mapped(roots, "root", step).unionByName(step), "roots")
         ends = _mapped(_mapped(edges, "a", step), "b", step).where("a <> b")
-        edges = cut(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        edges = stored(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     return links.sparkSession.createDataFrame([], links.select(F.col("a").alias("node"), F.col("b").alias("root")).schema) if roots is None else roots

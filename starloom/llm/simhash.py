@@ -19,6 +19,10 @@ exactly once, from the smaller fingerprint's home; no link is lost.
 Only distinct fingerprints are compared, so copies cost nothing however many
 there are. Components are found on distinct fingerprints and joined back.
 
+Joins whose sides Spark would size too low are merged, by a hint: visits pass for
+a table as small as the fingerprints that they come from, and a stored table
+for its compressed files. Broadcast, either would be held by the driver.
+
 Defined results: null and empty texts have no words (fingerprint zero) and are
 one group like any other; repeated rows and ids are kept, each with its
 component; null ids are ignored for the smallest id of a component, which is
@@ -147,7 +151,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     home = _homes_and_visits(distinct, distance, False).select("anchor", F.col("fp").alias("a"))
     visit = _homes_and_visits(distinct, distance, True).select("anchor", F.col("fp").alias("b"))
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-    return home.join(visit, (home["anchor"] == visit["anchor"]) & close).select("a", "b")
+    return home.join(visit.hint("merge"), (home["anchor"] == visit["anchor"]) & close).select("a", "b")
 
 
 def groups(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -155,7 +159,7 @@ def groups(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     fingerprint reachable over links."""
     distinct = cut(fps.select("fp").distinct())
     roots = components(links(distinct, distance)).select(F.col("node").alias("fp"), "root")
-    return distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return distinct.join(roots.hint("merge"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -163,10 +167,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     doc_id reachable over links, the document's own included."""
     fps = stored(fingerprints(only(docs, "doc_id", "text"), shingle=shingle), "fingerprints")
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = cut(groups(fps, distance).join(least, "fp"))
+    rooted = cut(groups(fps, distance).join(least.hint("merge"), "fp"))
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = cut(rooted.join(component, "root").select("fp", "component_id"))
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(by_fp.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -178,6 +182,6 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     rows = stored(fingerprints(own, keep=[c for c in own.columns if c != "text"], shingle=shingle), "rows")
     doc_id = F.col(f"c{names.index('doc_id')}")
     first = F.min(F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), F.col("_row")))
-    best = cut(rows.groupBy("fp").agg(first.alias("best")).join(groups(rows, distance), "fp"))
+    best = cut(rows.groupBy("fp").agg(first.alias("best")).join(groups(rows, distance).hint("merge"), "fp"))
     chosen = cut(best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best._row").alias("_row")))
     return rows.join(chosen, "_row", "left_semi").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

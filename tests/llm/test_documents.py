@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from starloom.llm import components as components_module
 from starloom.llm import langid, quality, simhash
 from starloom.llm.components import components
 from starloom.llm.queries import ORACLES, QUERIES
@@ -172,6 +173,36 @@ def test_components_of_chains_stars_and_rings(spark):
     assert components(links.limit(0)).count() == 0
 
 
+def test_roots_of_a_long_chain_keep_a_size_estimate(spark):
+    """Checkpointed joins had the product of their sides as size, squared by each jump."""
+    links = spark.range(60).select(F.xxhash64("id").alias("a"), F.xxhash64(F.col("id") + 1).alias("b"))
+    nodes = {x for r in links.collect() for x in (r.a, r.b)}
+    roots = components(links)
+    assert {(r.node, r.root) for r in roots.collect()} == {(x, min(nodes)) for x in nodes - {min(nodes)}}
+    assert roots._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 1 << 30
+
+
+def test_near_duplicates_broadcast_nothing_by_an_estimate(spark, monkeypatch):
+    """Visits are about 61 times the fingerprints, whatever Spark takes them for."""
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.sha1(F.col("id").cast("string")), F.lit("of the"), F.sha1((F.col("id") % 200).cast("string"))).alias("text"))
+    plans = []
+
+    def noted(made):
+        def run(df, *args):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return made(df, *args)
+
+        return run
+
+    for module in (simhash, components_module):
+        for name in {"cut", "stored"} & {*dir(module)}:
+            monkeypatch.setattr(module, name, noted(getattr(module, name)))
+    for df in (simhash.near_duplicates(docs), simhash.keep_one(docs)):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert sum("MapInArrow" in p and "SortMergeJoin" in p for p in plans) == 2
+    assert not [p for p in plans if "Broadcast" in p]
+
+
 def test_near_duplicates_query(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     fps = {i: brute_fingerprint(t) for i, t in sorted(docs.items())}
